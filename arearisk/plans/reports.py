@@ -8,16 +8,19 @@ Scale notes
   produces totals, category counts (and the city vote) together. Only this
   one shuffle moves data proportional to the input; everything after it
   works on per-area rows.
-* Per-area top lists use a ranked window with a group limit (pre-shuffle),
-  so a hot area still sends at most 5 rows per map task.
+* The aggregated profile is hash partitioned by area once; the window that
+  ranks categories per (area, dim) and the final per-area aggregate reuse
+  that partitioning. Rows per area after aggregation are bounded by the
+  category vocabulary, not by the input size, so a hot area stays small.
 * The three summaries are per-area and small; AQE broadcasts them in the
   join when their measured size allows and sort-merges otherwise.
-* Classification bounds are a one-row scalar subquery.
+* The joined profile is checkpointed before classification; the bounds are
+  a one-row scalar subquery over that small table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arearisk.functions.expr import (
@@ -30,8 +33,9 @@ from arearisk.operators.clean import filter_date_range, filter_nonempty, text_fi
 from arearisk.operators.joins import join_three_way, resolve_names
 from arearisk.operators.keys import apportion_by_agreement, explode_multi_key
 from arearisk.operators.clean import reject_malformed_key
-from arearisk.operators.topk import rank_within, tier_width
+from arearisk.operators.topk import tier_width
 from arearisk.plans import presets as P
+from arearisk.session import cut_lineage
 
 TOTALS = "__totals__"
 KEY = "area"
@@ -40,45 +44,60 @@ KEY = "area"
 # ------------------------------------------------------------ shared pieces
 
 def profile_by_key(df: DataFrame, key: str, sums: dict[str, object],
-                   dims: dict[str, list]) -> DataFrame:
+                   slots: list[tuple[object, object]]) -> DataFrame:
     """One-pass per-key profile ``(key, dim, category, n, sums...)``.
 
-    For each input row: one ``dim = '__totals__'`` row carrying the measures in
-    ``sums`` (name -> column), and one row per entry of ``dims`` (dim name ->
-    list of category columns), empty categories dropped. ``n`` counts rows.
+    For each input row: one ``dim = '__totals__'`` row carrying the measures
+    in ``sums`` (name -> column), and one row per ``(dim, category)`` pair of
+    ``slots``; empty or NULL categories are dropped. ``n`` counts rows. The
+    aggregate runs partial before its shuffle, so the exploded rows collapse
+    inside each map task.
     """
-    zero = {s: F.lit(None).cast("bigint") for s in sums}
+    def c_(x):
+        return F.col(x) if isinstance(x, str) else x
+
+    def d_(x):
+        return F.lit(x) if isinstance(x, str) else x
+
+    nulls = [F.lit(None).cast("bigint").alias(s) for s in sums]
     structs = [F.struct(F.lit(TOTALS).alias("dim"), F.lit("").alias("category"),
-                        *[F.col(c).cast("bigint").alias(s) if isinstance(c, str) else c.cast("bigint").alias(s)
-                          for s, c in sums.items()])]
-    for dim, cols in dims.items():
-        for c in cols:
-            structs.append(F.struct(F.lit(dim).alias("dim"),
-                                    (F.col(c) if isinstance(c, str) else c).cast("string").alias("category"),
-                                    *[z.alias(s) for s, z in zero.items()]))
+                        *[c_(c).cast("bigint").alias(s) for s, c in sums.items()])]
+    structs += [F.struct(d_(d).alias("dim"), c_(c).cast("string").alias("category"), *nulls)
+                for d, c in slots]
     long = df.select(key, F.explode(F.array(*structs)).alias("_p")).select(key, "_p.*")
     long = long.filter((F.col("dim") == TOTALS) | nonempty("category"))
     return long.groupBy(key, "dim", "category").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(s).cast("bigint").alias(s) for s in sums])
 
 
-def top_columns(counts: DataFrame, key: str, dims: dict[str, tuple[str, int, list]],
-                rank: str = "rank") -> DataFrame:
-    """Per key and dim: the ranked top entries as struct columns ``<prefix><i>``
-    plus ``<prefix>width`` (number of categories), gated by the dim's tiers.
+def summarize_profile(prof: DataFrame, key: str, totals: dict[str, str],
+                      dims: dict[str, tuple[str, int, list]]) -> DataFrame:
+    """One row per key from a ``profile_by_key`` frame: the totals row's
+    values (``out name -> profile column``), and per dim the number of
+    categories ``<prefix>width`` and the top entries ``<prefix><i>`` as
+    ``struct(name, n)`` — NULL beyond the dim's tier width.
 
-    ``dims``: dim -> (column prefix, k, tiers).
+    ``dims``: dim -> (column prefix, k, tiers). The profile is hash
+    partitioned by key once; the window over (key, dim) and the final
+    per-key aggregate both reuse that partitioning, so no further shuffle.
     """
     kmax = max(k for _, k, _ in dims.values())
-    ranked = rank_within(counts, [key, "dim"], "category", "n", kmax, rank)
-    widths = counts.groupBy(key).agg(
-        *[F.count_if(F.col("dim") == d).alias(f"{p}width") for d, (p, _, _) in dims.items()])
+    by_key = prof.repartition(key)
+    w = Window.partitionBy(key, "dim").orderBy(F.col("n").desc(), F.col("category").asc())
+    ranked = (by_key
+              .withColumn("rank", F.row_number().over(w))
+              .withColumn("width", F.count(F.lit(1)).over(
+                  w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+              .filter((F.col("dim") == TOTALS) | (F.col("rank") <= kmax)))
+    is_tot = F.col("dim") == TOTALS
     entry = F.struct(F.col("category").alias("name"), F.col("n").alias("n"))
-    cols = ranked.groupBy(key).agg(*[
-        F.max(F.when((F.col("dim") == d) & (F.col(rank) == i), entry)).alias(f"{p}{i}")
-        for d, (p, k, _) in dims.items() for i in range(1, k + 1)])
-    out = widths.join(cols, key, "left")
-    return out.select(key, *[f"{p}width" for p, _, _ in dims.values()], *[
+    one = ranked.groupBy(key).agg(
+        *[F.max(F.when(is_tot, F.col(c))).alias(o) for o, c in totals.items()],
+        *[F.coalesce(F.max(F.when(F.col("dim") == d, F.col("width"))), F.lit(0)).alias(f"{p}width")
+          for d, (p, _, _) in dims.items()],
+        *[F.max(F.when((F.col("dim") == d) & (F.col("rank") == i), entry)).alias(f"{p}{i}")
+          for d, (p, k, _) in dims.items() for i in range(1, k + 1)])
+    return one.select(key, *totals, *[f"{p}width" for p, _, _ in dims.values()], *[
         F.when(F.lit(i) <= tier_width(F.col(f"{p}width"), tiers), F.col(f"{p}{i}")).alias(f"{p}{i}")
         for p, k, tiers in dims.values() for i in range(1, k + 1)])
 
@@ -107,15 +126,12 @@ def incidents_by_area(inc: DataFrame, key: str = KEY, ignore=None, tiers=None) -
     tiers = P.TIERS_FIVE if tiers is None else tiers
     sums = {m: m for m in P.MEASURES}
     sums["vehicles"] = count_nonempty(P.VEHICLE_SLOTS)
-    prof = profile_by_key(inc, key, sums, {"slot": P.FACTOR_SLOTS + P.VEHICLE_SLOTS})
-    totals = prof.filter(F.col("dim") == TOTALS).select(
-        key, F.col("n").alias("total_accidents"), F.col("vehicles").alias("total_vehicles"),
-        *[F.col(m).alias("total_" + m) for m in P.MEASURES])
-    counts = (prof.filter((F.col("dim") == "slot") & ~F.col("category").isin(*ignore))
-              .select(key, F.when(case_class_upper("category"), F.lit("vehicle"))
-                      .otherwise(F.lit("factor")).alias("dim"), "category", "n"))
-    tops = top_columns(counts, key, {"factor": ("f", 5, tiers), "vehicle": ("v", 5, tiers)})
-    j = totals.join(tops, key, "left")
+    slots = [(F.when(case_class_upper(c), F.lit("vehicle")).otherwise(F.lit("factor")),
+              F.when(~F.col(c).isin(*ignore), F.col(c)))
+             for c in P.FACTOR_SLOTS + P.VEHICLE_SLOTS]
+    prof = profile_by_key(inc, key, sums, slots)
+    totals = {"total_accidents": "n", "total_vehicles": "vehicles", **{"total_" + m: m for m in P.MEASURES}}
+    j = summarize_profile(prof, key, totals, {"factor": ("f", 5, tiers), "vehicle": ("v", 5, tiers)})
 
     def pct0(part: str, whole: str):
         return label_count_pct0(F.col(part), share_pct(F.col(part), F.col(whole)))
@@ -144,14 +160,11 @@ def clean_requests(req: DataFrame, lo: str, hi: str, key: str = KEY) -> DataFram
 def requests_by_area(req: DataFrame, key: str = KEY) -> DataFrame:
     """11-column complaint summary per area: total, top 3 types (upper case),
     top 5 descriptors, and the most frequent city (ties by name)."""
-    prof = profile_by_key(req, key, {}, {"complaint": [upper_label("kind")],
-                                         "descriptor": ["descriptor"], "city": ["city"]})
-    totals = prof.filter(F.col("dim") == TOTALS).select(key, F.col("n").alias("total_complaints"))
-    counts = prof.filter(F.col("dim") != TOTALS).select(key, "dim", "category", "n")
-    tops = top_columns(counts, key, {"complaint": ("c", 3, P.TIERS_THREE),
-                                     "descriptor": ("d", 5, P.TIERS_FIVE),
-                                     "city": ("city", 1, [(1, 1)])})
-    j = totals.join(tops, key, "left")
+    prof = profile_by_key(req, key, {}, [("complaint", upper_label("kind")),
+                                         ("descriptor", "descriptor"), ("city", "city")])
+    j = summarize_profile(prof, key, {"total_complaints": "n"},
+                          {"complaint": ("c", 3, P.TIERS_THREE), "descriptor": ("d", 5, P.TIERS_FIVE),
+                           "city": ("city", 1, [(1, 1)])})
     return j.select(
         key, "total_complaints",
         *[entry_label(f"c{i}", "total_complaints").alias(f"top_complaint_{i}") for i in range(1, 4)],
@@ -207,8 +220,11 @@ def area_profile(volume: DataFrame, incidents: DataFrame, requests: DataFrame, k
         *PROFILE_COLUMNS[6:])
 
 
-def area_risk(profile: DataFrame) -> DataFrame:
-    """28-column classified report."""
+def area_risk(profile: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """28-column classified report. The per-area profile is cut from its
+    lineage first, so the bounds and the rows read one small table."""
+    if checkpoint:
+        profile = cut_lineage(profile)
     c = classify_three_level(profile, "accidents_per_1000_vehicles", "injuries_per_1000_accidents",
                              "deaths_per_1000_accidents", out="safety_class")
     return c.select("city", KEY, "safety_class", *PROFILE_COLUMNS[2:])

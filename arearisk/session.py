@@ -17,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -66,3 +67,13 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.normpath(path)
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and continue from it.
+
+    Reliable under executor loss (unlike a local checkpoint) and it stops
+    later consumers of a small derived table from re-running its lineage.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
