@@ -179,3 +179,88 @@ RISK = ("risk AS (SELECT p.city, p.area, " + CLASS_SQL + " AS safety_class, "
 
 RISK_CHAIN = PROFILE_CHAIN + [BOUNDS, RISK]
 REPORT_VIEWS = ("incident", "request", "volume")
+
+
+# ------------------------------------------------------- raw line fixtures
+
+RI = "ri AS (SELECT value, string_split(value, ',') AS f, len(string_split(value, ',')) AS nf FROM raw_incident)"
+RR = "rr AS (SELECT value, string_split(value, ',') AS f, len(string_split(value, ',')) AS nf FROM raw_request)"
+
+
+def inc_field(idx: int) -> str:
+    """Collision field ``idx`` (0-based) with the 30-field shift, on ``ri``."""
+    if idx < P.INCIDENT_SHIFT_FROM:
+        return f"f[{idx + 1}]"
+    return f"f[{idx + 1} + nf - {P.INCIDENT_BASE_ARITY}]"
+
+
+INCIDENT_SPEC = {**P.INCIDENT_FIELDS, **P.INCIDENT_INT_FIELDS, **P.INCIDENT_FACTOR_FIELDS,
+                 **P.INCIDENT_VEHICLE_FIELDS}
+INC_FIELDS_SQL = ("ri_f AS (SELECT " + ", ".join(f"{inc_field(i)} AS {n}" for n, i in INCIDENT_SPEC.items())
+                  + " FROM ri WHERE nf IN (29, 30))")
+
+INT_RE = r"'\s*[+-]?[0-9]+\s*'"
+
+
+def is_int_sql(x: str) -> str:
+    return f"coalesce(regexp_full_match({x}, {INT_RE}), false)"
+
+
+def lenient_sql(x: str) -> str:
+    return f"CASE WHEN {is_int_sql(x)} THEN CAST(trim({x}) AS BIGINT) ELSE 0 END"
+
+
+def ordinal_sql(x: str) -> str:
+    w = "w"
+    suffix = (f"CASE WHEN length({w}) >= 2 AND TRY_CAST(right({w}, 2) AS INTEGER) BETWEEN 11 AND 19 THEN 'th' "
+              f"WHEN right({w}, 1) = '1' THEN 'st' WHEN right({w}, 1) = '2' THEN 'nd' "
+              f"WHEN right({w}, 1) = '3' THEN 'rd' ELSE 'th' END")
+    body = (f"trim(array_to_string(list_transform(string_split(trim({x}), ' '), lambda {w}: "
+            f"CASE WHEN regexp_full_match({w}, '[0-9]+') THEN {w} || {suffix} ELSE {w} END), ' '))")
+    return f"CASE WHEN trim({x}) = 'AVE OF THE AMER' THEN 'AVE OF THE AMERICAS' ELSE {body} END"
+
+
+RR_REALIGN = (
+    "rr_a AS (SELECT f[1] AS event_id, f[6] AS kind, f[2] AS created, "
+    f"CASE WHEN {is_int_sql('f[9]')} THEN CAST(TRY_CAST(trim(f[9]) AS BIGINT) AS VARCHAR) WHEN f[9] = '' THEN NULL "
+    "WHEN contains(f[6], 'Street Sign') THEN f[11] ELSE f[10] END AS area, "
+    f"CASE WHEN {is_int_sql('f[9]')} THEN f[7] WHEN f[9] = '' THEN NULL "
+    "WHEN contains(f[6], 'Street Sign') THEN concat_ws(' ', f[7], f[8], f[9]) ELSE concat_ws(' ', f[7], f[8]) END AS descriptor, "
+    f"CASE WHEN {is_int_sql('f[9]')} THEN f[17] WHEN f[9] = '' THEN NULL "
+    "WHEN contains(f[6], 'Street Sign') THEN f[19] ELSE f[18] END AS city FROM rr)")
+
+STREET_NAMED = ("st_n AS (SELECT segment, " + ordinal_sql("roadway") + " AS road, " + ordinal_sql("from_name")
+                + " AS start, " + ordinal_sql("to_name") + " AS \"end\", vehicles, samples FROM street)")
+LOOKUP_ONE = "lk AS (SELECT name, min(postcode) AS postcode FROM lookup GROUP BY name)"
+RESOLVED = ("res AS (SELECT s.segment, s.vehicles, s.samples, a.postcode AS road_zip, b.postcode AS start_zip, "
+            "c.postcode AS end_zip FROM st_n s JOIN lk a ON s.road = a.name JOIN lk b ON s.start = b.name "
+            "JOIN lk c ON s.\"end\" = c.name)")
+
+
+def _apportion_branch(cond: str, zip_: str, share: str) -> str:
+    v = {"all": "vehicles", "third": "vehicles // 3", "two": "(vehicles // 3) * 2"}[share]
+    s = {"all": "samples", "third": "samples // 3", "two": "(samples // 3) * 2"}[share]
+    return f"SELECT segment, {zip_} AS area, {v} AS vehicles, {s} AS samples FROM res WHERE {cond}"
+
+
+APPORTIONED = "app AS (" + " UNION ALL ".join([
+    # from and to differ
+    _apportion_branch("start_zip <> end_zip AND road_zip = start_zip", "start_zip", "two"),
+    _apportion_branch("start_zip <> end_zip AND road_zip = start_zip", "end_zip", "third"),
+    _apportion_branch("start_zip <> end_zip AND road_zip <> start_zip AND road_zip = end_zip", "start_zip", "third"),
+    _apportion_branch("start_zip <> end_zip AND road_zip <> start_zip AND road_zip = end_zip", "end_zip", "two"),
+    _apportion_branch("start_zip <> end_zip AND road_zip <> start_zip AND road_zip <> end_zip", "start_zip", "third"),
+    _apportion_branch("start_zip <> end_zip AND road_zip <> start_zip AND road_zip <> end_zip", "end_zip", "third"),
+    _apportion_branch("start_zip <> end_zip AND road_zip <> start_zip AND road_zip <> end_zip", "road_zip", "third"),
+    # from and to agree
+    _apportion_branch("start_zip = end_zip AND road_zip = start_zip", "road_zip", "all"),
+    _apportion_branch("start_zip = end_zip AND road_zip <> start_zip", "start_zip", "two"),
+    _apportion_branch("start_zip = end_zip AND road_zip <> start_zip", "road_zip", "third"),
+]) + ")"
+SEGMENT_CHAIN = [STREET_NAMED, LOOKUP_ONE, RESOLVED, APPORTIONED]
+
+RANK_LISTS = "lists AS (" + " UNION ALL ".join(
+    f"SELECT '{d}_{m}' AS list, row_number() OVER (ORDER BY {m} {o} NULLS LAST, area ASC) AS rank, "
+    f"area, CAST({m} AS DOUBLE) AS value FROM prof"
+    for m in P.RATE_COLUMNS for d, o in (("top", "DESC"), ("bottom", "ASC"))) + ")"
+RANK_SELECT = "SELECT list, rank, area, value FROM lists WHERE rank <= 10"

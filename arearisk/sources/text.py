@@ -52,11 +52,23 @@ def split_fields(df: DataFrame, spec: dict[str, int], col: str = "value",
 
 
 def read_quoted_csv(spark: SparkSession, path: str, schema: T.StructType,
-                    header: bool = False) -> DataFrame:
-    """Quote-aware CSV with a fixed schema: a quoted ``"(lat, lon)"`` stays one field."""
-    return (spark.read.schema(schema)
-            .option("header", header).option("quote", '"').option("escape", '"')
-            .option("mode", "PERMISSIVE").csv(path))
+                    header: bool = False, blank_as_empty: bool = True) -> DataFrame:
+    """Quote-aware CSV with a fixed schema: a quoted ``"(lat, lon)"`` stays one field.
+
+    Missing text is the empty string in this data model, so empty (or absent)
+    text fields come back as '' rather than NULL unless ``blank_as_empty`` is off.
+    """
+    df = (spark.read.schema(schema)
+          .option("header", header).option("quote", '"').option("escape", '"')
+          .option("mode", "PERMISSIVE").csv(path))
+    return empty_strings(df) if blank_as_empty else df
+
+
+def empty_strings(df: DataFrame) -> DataFrame:
+    """NULL text fields -> ''."""
+    return df.select(*[F.coalesce(F.col(f.name), F.lit("")).alias(f.name)
+                       if isinstance(f.dataType, T.StringType) else F.col(f.name)
+                       for f in df.schema.fields])
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
