@@ -62,3 +62,23 @@ def risk(spark, d):
 def fresh(spark: SparkSession, label: str) -> str:
     """A new location in the shared folder for a round-trip through a sink."""
     return fresh_path(spark, label)
+
+
+# Raw text inputs: the raw fixture views are written once per session as
+# text files in the shared folder, then scanned like the reference's CSVs.
+_RAW_FILES: dict[tuple[str, str, str], str] = {}
+
+
+def raw_file(spark: SparkSession, d: str, view: str) -> str:
+    key = (spark.sparkContext.applicationId, d, view)
+    path = _RAW_FILES.get(key)
+    if path is None:
+        path = fresh(spark, view.replace("_", "-"))
+        fixture(spark, d, view).write.text(path)
+        _RAW_FILES[key] = path
+    return path
+
+
+def raw_lines(spark: SparkSession, d: str, view: str) -> DataFrame:
+    """The raw fixture ``view`` as scanned text lines (column ``value``)."""
+    return spark.read.text(raw_file(spark, d, view))

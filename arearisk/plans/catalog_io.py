@@ -14,7 +14,9 @@ from arearisk.plans import city as C
 from arearisk.plans import oracle as O
 from arearisk.plans import presets as P
 from arearisk.plans import reports as R
-from arearisk.plans.base import fresh, incidents, profile, register, request_report, incident_report
+from arearisk.plans.base import (
+    fresh, incident_report, incidents, profile, raw_lines, register, request_report,
+)
 from arearisk.plans.fixtures import fixture
 from arearisk.sinks.writers import write_csv, write_facts, write_lines, write_records
 from arearisk.sources.text import (
@@ -64,7 +66,7 @@ def scan_lines_drop_header(spark, d):
 @register("split_positional", O.views("raw_incident", extra=[O.RI])
           + "SELECT value, f[1] AS date, f[2] AS time, f[4] AS area, f[24] AS field_23, f[29] AS field_28 FROM ri")
 def split_positional(spark, d):
-    return split_fields(fixture(spark, d, "raw_incident"),
+    return split_fields(raw_lines(spark, d, "raw_incident"),
                         {"date": 0, "time": 1, "area": 3, "field_23": 23, "field_28": 28}, keep=["value"])
 
 
@@ -151,6 +153,6 @@ FACT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in FACT_COLUM
 @register("sink_facts_drop_columns", O.views("raw_incident", extra=[O.RI, O.INC_FIELDS_SQL])
           + "SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in FACT_COLUMNS) + " FROM ri_f")
 def sink_facts_drop_columns(spark, d):
-    facts = C.incident_fields(fixture(spark, d, "raw_incident"), extra={"location": 6, "unique_key": 23})
+    facts = C.incident_fields(raw_lines(spark, d, "raw_incident"), extra={"location": 6, "unique_key": 23})
     path = write_facts(facts, fresh(spark, "incident-facts"))
     return read_quoted_csv(spark, path, FACT_SCHEMA, header=True)

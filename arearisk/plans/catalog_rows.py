@@ -16,7 +16,7 @@ from arearisk.operators.joins import resolve_names
 from arearisk.plans import city as C
 from arearisk.plans import oracle as O
 from arearisk.plans import presets as P
-from arearisk.plans.base import incidents, register, requests
+from arearisk.plans.base import incidents, raw_lines, register
 from arearisk.plans.fixtures import fixture
 from arearisk.sources.text import field, split_array
 
@@ -26,7 +26,7 @@ RR_VIEWS = O.views("raw_request", extra=[O.RR])
 
 def raw(spark, d, view):
     """Raw lines with their naive split ``f``."""
-    return fixture(spark, d, view).select("value", split_array("value").alias("f"))
+    return raw_lines(spark, d, view).select("value", split_array("value").alias("f"))
 
 
 # ------------------------------------------------------------ 2.3 filters
@@ -39,7 +39,7 @@ def filter_arity(spark, d):
 
 @register("project_by_arity", O.views("raw_incident", extra=[O.RI, O.INC_FIELDS_SQL]) + "SELECT * FROM ri_f")
 def project_by_arity(spark, d):
-    return C.incident_fields(fixture(spark, d, "raw_incident"))
+    return C.incident_fields(raw_lines(spark, d, "raw_incident"))
 
 
 @register("parse_datetime_parts", RI_VIEWS
@@ -110,7 +110,7 @@ def normalize_int_key(spark, d):
           + "SELECT date, time, area, " + ", ".join(f"CAST(trim({m}) AS INTEGER) AS {m}" for m in P.MEASURES)
           + " FROM ri_f")
 def strict_int_cast(spark, d):
-    f = C.incident_fields(fixture(spark, d, "raw_incident"))
+    f = C.incident_fields(raw_lines(spark, d, "raw_incident"))
     return f.select("date", "time", "area", *[X.strict_int(m).alias(m) for m in P.MEASURES])
 
 

@@ -6,9 +6,11 @@ engines read exactly the same derived input (see FIXTURES.md).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
-from arearisk.sources.tables import register_tables
+from arearisk.sources.tables import TABLES, register_tables
 
 FIXTURE_SQL: dict[str, str] = {}
 
@@ -96,9 +98,15 @@ FROM events
 INCIDENT_RANGE = ("1996-01-01 00:00:00", "1997-12-31 23:59:00")
 
 
+def tables_of(name: str) -> list[str]:
+    """Driver tables a fixture view reads."""
+    sql = FIXTURE_SQL[name]
+    return [t for t in TABLES if re.search(rf"\b(FROM|JOIN)\s+{t}\b", sql)]
+
+
 def fixture(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """The fixture view ``name`` over the tables in ``data_dir``."""
-    register_tables(spark, data_dir)
+    register_tables(spark, data_dir, tables_of(name))
     return spark.sql(FIXTURE_SQL[name])
 
 

@@ -97,9 +97,10 @@ def summarize_profile(prof: DataFrame, key: str, totals: dict[str, str],
           for d, (p, _, _) in dims.items()],
         *[F.max(F.when((F.col("dim") == d) & (F.col("rank") == i), entry)).alias(f"{p}{i}")
           for d, (p, k, _) in dims.items() for i in range(1, k + 1)])
+    shown = {p: tier_width(F.col(f"{p}width"), tiers) for p, _, tiers in dims.values()}
     return one.select(key, *totals, *[f"{p}width" for p, _, _ in dims.values()], *[
-        F.when(F.lit(i) <= tier_width(F.col(f"{p}width"), tiers), F.col(f"{p}{i}")).alias(f"{p}{i}")
-        for p, k, tiers in dims.values() for i in range(1, k + 1)])
+        F.when(F.lit(i) <= shown[p], F.col(f"{p}{i}")).alias(f"{p}{i}")
+        for p, k, _ in dims.values() for i in range(1, k + 1)])
 
 
 def entry_label(c: str, total: str) -> F.Column:

@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Python call-site capture costs a JVM round trip per column function;
+    # plan construction of the wide report projections is several times faster without it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

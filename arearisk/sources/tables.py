@@ -7,14 +7,54 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# A source smaller than this is never worth spreading over more tasks.
+SPREAD_MIN_BYTES = 1 << 20
+
 
 def table_path(data_dir: str, name: str) -> str:
     return f"{data_dir.rstrip('/')}/{name}.parquet"
 
 
-def load_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path`` (Hadoop file system of the session)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def spread(df: DataFrame, spark: SparkSession, size_bytes: int) -> DataFrame:
+    """Parallelism guard for under-split sources.
+
+    A file with one large row group is read by one task, which would run the
+    whole map side of every plan on one core. When a non-trivial source has
+    fewer read partitions than the cluster's default parallelism, rows are
+    dealt round-robin to that many partitions (one shuffle of the pruned
+    columns; deterministic on retry). Big inputs already have thousands of
+    splits, so at scale this is a no-op.
+    """
+    want = spark.sparkContext.defaultParallelism
+    if size_bytes >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
+# Loaded scans per (application, path): reading a Parquet schema costs a
+# small job, so each table is opened once per session and its lazy plan reused.
+_LOADED: dict[tuple[str, str, bool], DataFrame] = {}
+
+
+def load_table(spark: SparkSession, data_dir: str, name: str, spread_small_splits: bool = True) -> DataFrame:
     """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(table_path(data_dir, name))
+    path = table_path(data_dir, name)
+    key = (spark.sparkContext.applicationId, path, spread_small_splits)
+    df = _LOADED.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        if spread_small_splits:
+            df = spread(df, spark, stored_bytes(spark, path))
+        _LOADED[key] = df
+    return df
 
 
 def register_tables(spark: SparkSession, data_dir: str, names=TABLES) -> None:
