@@ -111,9 +111,10 @@ def entry_label(c: str, total: str) -> F.Column:
 
 # -------------------------------------------------------------- incidents
 
-def clean_incidents(inc: DataFrame, lo: str, hi: str, key: str = KEY) -> DataFrame:
-    """Date range and non-empty key (the collision record filter)."""
-    return filter_nonempty(filter_date_range(inc, "ts", lo, hi), key)
+def clean_incidents(inc: DataFrame, lo: str | None, hi: str | None, key: str = KEY) -> DataFrame:
+    """Date range (skipped when ``lo`` is None) and non-empty key."""
+    dated = inc if lo is None else filter_date_range(inc, "ts", lo, hi)
+    return filter_nonempty(dated, key)
 
 
 def incidents_by_area(inc: DataFrame, key: str = KEY, ignore=None, tiers=None) -> DataFrame:
