@@ -12,9 +12,10 @@ def _writer(df: DataFrame, single_file: bool):
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, header: bool = True) -> str:
-    """Flat CSV with one header line per file; fields with commas are quoted."""
-    (_writer(df, single_file).option("header", header)
-     .option("quoteAll", False).option("emptyValue", "").csv(path))
+    """Flat CSV with one header line per file; fields with commas are quoted and
+    quotes doubled (RFC 4180), which ``read_quoted_csv`` reads back unchanged."""
+    (_writer(df, single_file).option("header", header).option("quote", '"').option("escape", '"')
+     .option("emptyValue", "").csv(path))
     return path
 
 
