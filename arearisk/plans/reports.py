@@ -226,7 +226,7 @@ def area_risk(profile: DataFrame, checkpoint: bool = True) -> DataFrame:
     """28-column classified report. The per-area profile is cut from its
     lineage first, so the bounds and the rows read one small table."""
     if checkpoint:
-        profile = cut_lineage(profile)
+        profile = cut_lineage(profile, "area-profile")
     c = classify_three_level(profile, "accidents_per_1000_vehicles", "injuries_per_1000_accidents",
                              "deaths_per_1000_accidents", out="safety_class")
     return c.select("city", KEY, "safety_class", *PROFILE_COLUMNS[2:])

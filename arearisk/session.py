@@ -72,11 +72,15 @@ def local_path(path: str) -> str:
     return os.path.normpath(path)
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the shared checkpoint folder and continue from it.
+def cut_lineage(df, label: str = "cut"):
+    """Materialise ``df`` as a Parquet table in the shared folder and continue
+    from a fresh scan of it.
 
-    Reliable under executor loss (unlike a local checkpoint) and it stops
-    later consumers of a small derived table from re-running its lineage.
+    The plan runs once (a reliable ``checkpoint()`` of an unpersisted plan
+    runs it twice: once to count, once to write), the files survive executor
+    loss, and later readers get column pruning and size statistics.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
