@@ -1,0 +1,3 @@
+"""The batch operators over a folder of raw files that keeps growing."""
+
+from arearisk.streaming.incremental import incident_lines_stream, incident_totals, run_available  # noqa: F401

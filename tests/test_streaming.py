@@ -1,0 +1,22 @@
+"""Streaming totals over two arriving files equal the batch totals."""
+
+from arearisk.plans import presets as P
+from arearisk.session import fresh_path
+from arearisk.streaming import incident_lines_stream, incident_totals, run_available
+from conftest import SF001, rows
+from arearisk.plans.fixtures import fixture
+
+
+def test_stream_equals_batch(spark):
+    raw = fixture(spark, SF001, "raw_incident")
+    src = fresh_path(spark, "stream-src")
+    a, b = raw.randomSplit([0.5, 0.5], seed=3)
+    a.write.text(src + "/part-a")
+    lo, hi = P.TEST_INCIDENT_RANGE
+    out, ckpt = fresh_path(spark, "stream-out"), fresh_path(spark, "stream-ckpt")
+    run_available(incident_totals(incident_lines_stream(spark, src + "/*"), lo, hi), out, ckpt)
+    b.write.text(src + "/part-b")
+    run_available(incident_totals(incident_lines_stream(spark, src + "/*"), lo, hi), out, ckpt)
+    streamed = rows(spark.read.parquet(out))
+    batch = rows(incident_totals(spark.read.text([src + "/part-a", src + "/part-b"]), lo, hi))
+    assert streamed == batch and len(batch) > 0
