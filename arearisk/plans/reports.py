@@ -128,10 +128,13 @@ def incidents_by_area(inc: DataFrame, key: str = KEY, ignore=None, tiers=None) -
     tiers = P.TIERS_FIVE if tiers is None else tiers
     sums = {m: m for m in P.MEASURES}
     sums["vehicles"] = count_nonempty(P.VEHICLE_SLOTS)
-    slots = [(F.when(case_class_upper(c), F.lit("vehicle")).otherwise(F.lit("factor")),
-              F.when(~F.col(c).isin(*ignore), F.col(c)))
-             for c in P.FACTOR_SLOTS + P.VEHICLE_SLOTS]
-    prof = profile_by_key(inc, key, sums, slots)
+    prof = profile_by_key(inc, key, sums, [("slot", c) for c in P.FACTOR_SLOTS + P.VEHICLE_SLOTS])
+    # Routing depends on the name only, so it runs on the aggregated
+    # (area, name) rows rather than on every slot of every record.
+    slot = F.col("dim") == "slot"
+    prof = (prof.filter(~slot | ~F.col("category").isin(*ignore))
+            .withColumn("dim", F.when(~slot, F.col("dim"))
+                        .when(case_class_upper("category"), F.lit("vehicle")).otherwise(F.lit("factor"))))
     totals = {"total_accidents": "n", "total_vehicles": "vehicles", **{"total_" + m: m for m in P.MEASURES}}
     j = summarize_profile(prof, key, totals, {"factor": ("f", 5, tiers), "vehicle": ("v", 5, tiers)})
 
