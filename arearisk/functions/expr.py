@@ -78,6 +78,22 @@ def hsum(cols: list[ColumnOrName]) -> Column:
 
 
 # --------------------------------------------------------------------- labels
+# SQL-text forms build a whole label in one JVM call (wide report projections
+# would otherwise cost a round trip per operator); the Column forms below
+# compute the same values.
+
+def share_pct_sql(part: str, total: str) -> str:
+    return f"(CASE WHEN {total} = 0 THEN 0D ELSE CAST({part} AS DOUBLE) / {total} * 100D END)"
+
+
+def label_name_count_pct_sql(name: str, n: str, total: str) -> str:
+    return (f"concat({name}, ': ', CAST({n} AS STRING), ': ', "
+            f"CAST(round({share_pct_sql(n, total)}, 2) AS STRING), '%')")
+
+
+def label_count_pct0_sql(part: str, total: str) -> str:
+    return f"concat(CAST({part} AS STRING), ': ', CAST(round({share_pct_sql(part, total)}, 0) AS STRING), '%')"
+
 
 def num_text(c: ColumnOrName) -> Column:
     """Shortest decimal text of a DOUBLE ("38.0", "4.4", "18.18")."""

@@ -34,12 +34,20 @@ def project_by_arity(df: DataFrame, arr: str, spec: dict[str, int], base_arity:
 
 
 def parse_datetime_parts(date_col: str, time_col: str, fmt: str) -> Column:
-    """Date text + time text -> TIMESTAMP; NULL when it does not parse."""
-    return F.try_to_timestamp(F.concat_ws(" ", F.col(date_col), F.col(time_col)), F.lit(fmt))
+    """Date text + time text -> wall-clock TIMESTAMP_NTZ; NULL when it does not parse."""
+    return parse_text_timestamp(F.concat_ws(" ", F.col(date_col), F.col(time_col)), fmt)
 
 
 def parse_datetime(c: str, fmt: str) -> Column:
-    return F.try_to_timestamp(F.col(c), F.lit(fmt))
+    return parse_text_timestamp(F.col(c), fmt)
+
+
+def parse_text_timestamp(text: Column, fmt: str) -> Column:
+    """Local date-time text as TIMESTAMP_NTZ: the wall clock as written, under
+    any session time zone (no daylight-saving gap). Text that does not parse
+    gives NULL; the tolerant parser only guards the exact one."""
+    f = F.lit(fmt)
+    return F.when(F.try_to_timestamp(text, f).isNotNull(), F.to_timestamp_ntz(text, f))
 
 
 def parse_datetime_or_drop(df: DataFrame, c: str, fmt: str, out: str = "ts") -> DataFrame:
@@ -49,7 +57,7 @@ def parse_datetime_or_drop(df: DataFrame, c: str, fmt: str, out: str = "ts") ->
 
 def filter_date_range(df: DataFrame, c: str, lo: str, hi: str) -> DataFrame:
     """Closed range ``lo <= c <= hi`` (on Parquet it becomes a pushed filter)."""
-    return df.filter(F.col(c).between(F.to_timestamp(F.lit(lo)), F.to_timestamp(F.lit(hi))))
+    return df.filter(F.col(c).between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")))
 
 
 def filter_nonempty(df: DataFrame, *cols: str) -> DataFrame:

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arearisk.functions.expr import (
-    case_class_upper, count_nonempty, label_count_pct0, label_name_count_pct, nonempty,
-    ordinal_street_name, rate_per_1000, ratio_rounded, share_pct, upper_label,
+    case_class_upper, count_nonempty, label_count_pct0_sql, label_name_count_pct_sql, nonempty,
+    ordinal_street_name, rate_per_1000, ratio_rounded, upper_label,
 )
 from arearisk.operators.aggregate import extrapolate_volume
 from arearisk.operators.classify import classify_three_level
@@ -105,8 +105,7 @@ def summarize_profile(prof: DataFrame, key: str, totals: dict[str, str],
 
 def entry_label(c: str, total: str) -> F.Column:
     """"NAME: n: pct%" for a ranked struct column, '' when absent."""
-    return F.coalesce(label_name_count_pct(F.col(c + ".name"), F.col(c + ".n"),
-                                           share_pct(F.col(c + ".n"), F.col(total))), F.lit(""))
+    return F.expr(f"coalesce({label_name_count_pct_sql(c + '.name', c + '.n', total)}, '')")
 
 
 # -------------------------------------------------------------- incidents
@@ -139,7 +138,7 @@ def incidents_by_area(inc: DataFrame, key: str = KEY, ignore=None, tiers=None) -
     j = summarize_profile(prof, key, totals, {"factor": ("f", 5, tiers), "vehicle": ("v", 5, tiers)})
 
     def pct0(part: str, whole: str):
-        return label_count_pct0(F.col(part), share_pct(F.col(part), F.col(whole)))
+        return F.expr(label_count_pct0_sql(part, whole))
 
     return j.select(
         key, "total_accidents", "total_vehicles",
