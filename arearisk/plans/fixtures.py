@@ -10,7 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arearisk.sources.tables import TABLES, register_tables
+from arearisk.sources.tables import TABLES, load_table
 
 FIXTURE_SQL: dict[str, str] = {}
 
@@ -105,9 +105,15 @@ def tables_of(name: str) -> list[str]:
 
 
 def fixture(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    """The fixture view ``name`` over the tables in ``data_dir``."""
-    register_tables(spark, data_dir, tables_of(name))
-    return spark.sql(FIXTURE_SQL[name])
+    """The fixture view ``name`` over the tables in ``data_dir``.
+
+    The tables are passed to ``spark.sql`` as DataFrame parameters, so the
+    session's catalog is left untouched."""
+    tables = tables_of(name)
+    sql = FIXTURE_SQL[name]
+    for t in tables:
+        sql = re.sub(rf"\b(FROM|JOIN)\s+{t}\b", rf"\1 {{{t}}}", sql)
+    return spark.sql(sql, **{t: load_table(spark, data_dir, t) for t in tables})
 
 
 def with_views(*names: str) -> str:

@@ -24,6 +24,18 @@ DEFAULT_CONF = {
 }
 
 
+# Starting points for a large cluster (pass as ``extra``): many initial shuffle
+# partitions that AQE coalesces to ~256 MB each, 256 MB input splits, and a
+# broadcast threshold that keeps every broadcast side size-checked and small.
+SCALE_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "arearisk", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session. ``master``/partitions are only for local runs."""

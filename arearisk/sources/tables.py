@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -15,15 +17,19 @@ def table_path(data_dir: str, name: str) -> str:
     return f"{data_dir.rstrip('/')}/{name}.parquet"
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes stored under ``path`` (Hadoop file system of the session)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+def stored_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files behind a scan when they are local files; None when
+    the store is remote (then the size gate is not applied)."""
+    total = 0
+    for f in df.inputFiles():
+        if not f.startswith("file:"):
+            return None
+        local = f[5:].lstrip("/")
+        total += os.path.getsize("/" + local)
+    return total
 
 
-def spread(df: DataFrame, spark: SparkSession, size_bytes: int) -> DataFrame:
+def spread(df: DataFrame, spark: SparkSession, size_bytes: int | None) -> DataFrame:
     """Parallelism guard for under-split sources.
 
     A file with one large row group is read by one task, which would run the
@@ -34,9 +40,11 @@ def spread(df: DataFrame, spark: SparkSession, size_bytes: int) -> DataFrame:
     splits, so at scale this is a no-op.
     """
     want = spark.sparkContext.defaultParallelism
-    if size_bytes >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    if size_bytes is not None and size_bytes < SPREAD_MIN_BYTES:
+        return df
+    return df.repartition(want)
 
 
 # Loaded scans per (application, path): reading a Parquet schema costs a
@@ -52,7 +60,7 @@ def load_table(spark: SparkSession, data_dir: str, name: str, spread_small_split
     if df is None:
         df = spark.read.parquet(path)
         if spread_small_splits:
-            df = spread(df, spark, stored_bytes(spark, path))
+            df = spread(df, spark, stored_bytes(df))
         _LOADED[key] = df
     return df
 
