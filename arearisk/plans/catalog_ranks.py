@@ -24,16 +24,16 @@ VEH_COUNTS = (f"vc AS (SELECT area, category, count(*) AS n FROM (SELECT area, u
 
 
 @register("topk_per_key", O.views("incident", extra=[O.INC_CLEAN, VEH_COUNTS])
-          + "SELECT area, category, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY n DESC, "
-          "category ASC) AS rank FROM vc) r WHERE rank <= 3")
+          + "SELECT area, category, n, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY area ORDER BY n DESC, "
+          "category ASC) AS INTEGER) AS rank FROM vc) r WHERE rank <= 3")
 def topk_per_key(spark, d):
     counts = AG.category_counts(incidents(spark, d), "area", P.VEHICLE_SLOTS)
     return TK.rank_within(counts, "area", "category", "n", 3).select("area", "category", "n", "rank")
 
 
 def tiered_sql(label: str, tiers) -> str:
-    return (REQ + "SELECT area, category, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY area "
-            "ORDER BY n DESC, category ASC) AS rank, count(*) OVER (PARTITION BY area) AS width FROM "
+    return (REQ + "SELECT area, category, n, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY area "
+            "ORDER BY n DESC, category ASC) AS INTEGER) AS rank, count(*) OVER (PARTITION BY area) AS width FROM "
             f"(SELECT area, {label} AS category, count(*) AS n FROM req GROUP BY area, {label}) c) r "
             f"WHERE rank <= {O.tier_sql('width', tiers)}")
 

@@ -9,6 +9,9 @@ from arearisk.sources.tables import TABLES, table_path
 from conftest import SF001
 from tools.oracle_check import digest
 
+# Spark type name -> DuckDB type name
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT",
+         "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
 
@@ -28,6 +31,8 @@ def test_matches_oracle(spark, con, name):
     rel = con.sql(ORACLE[name])
     ocols, want = list(rel.columns), rel.fetchall()
     assert sorted(cols) == sorted(ocols)
+    otypes = dict(zip(ocols, [str(t) for t in rel.types]))
+    assert {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields} == otypes
     assert len(got) == len(want)
     assert digest(cols, got)[0] == digest(ocols, want)[0]
 
