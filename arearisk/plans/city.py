@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arearisk.functions.expr import hsum, lenient_int, strict_int
-from arearisk.operators.aggregate import first_seen
+from arearisk.operators.aggregate import describe, first_seen
+from arearisk.operators.topk import rank_multi_metric
+from arearisk.session import cut_lineage
 from arearisk.operators.clean import (
     filter_arity, filter_date_range, filter_nonempty, parse_datetime, parse_datetime_parts,
     realign_shifted_fields, shifted_field, text_filter,
@@ -99,17 +101,33 @@ def segments_from_lines(lines: DataFrame) -> DataFrame:
                       {"vehicles": "vehicles"}, "samples")
 
 
+def city_profile(spark: SparkSession, collisions: str, complaints: str, volume: str,
+                 complaints_header: str | None = None, collision_range: tuple[str, str] = P.CITY_RANGE,
+                 complaint_range: tuple[str, str] = P.CITY_RANGE) -> DataFrame:
+    """The joined per-area profile (27 columns) from the three raw inputs."""
+    inc = R.incidents_by_area(incidents_from_lines(read_lines(spark, collisions), *collision_range))
+    req = R.requests_by_area(requests_from_lines(read_lines(spark, complaints), complaints_header,
+                                                 *complaint_range))
+    vol = R.volume_by_area(volume_from_csv(spark, volume))
+    return R.area_profile(vol, inc, req)
+
+
 def city_report(spark: SparkSession, collisions: str, complaints: str, volume: str,
-                complaints_header: str | None = None) -> DataFrame:
+                complaints_header: str | None = None, collision_range: tuple[str, str] = P.CITY_RANGE,
+                complaint_range: tuple[str, str] = P.CITY_RANGE) -> DataFrame:
     """The whole classified area report from the three raw inputs."""
-    inc = R.incidents_by_area(incidents_from_lines(read_lines(spark, collisions)))
-    req = R.requests_by_area(requests_from_lines(read_lines(spark, complaints), complaints_header))
-    vol = R.volume_by_area(volume_from_csv(spark, volume))
-    return R.area_risk(R.area_profile(vol, inc, req))
+    return R.area_risk(city_profile(spark, collisions, complaints, volume, complaints_header,
+                                    collision_range, complaint_range))
 
 
-def write_city_outputs(risk: DataFrame, out_dir: str, lists: DataFrame, stats: DataFrame) -> None:
-    """Final report as one CSV with header; ranking lists and statistics as JSON."""
+def write_city_outputs(profile: DataFrame, out_dir: str) -> DataFrame:
+    """The job's outputs from one profile: the classified report as one CSV
+    with header, the top/bottom-10 lists of the four rates and the rate
+    statistics as JSON records. Returns the classified report."""
+    profile = cut_lineage(profile, "city-profile")
+    risk = R.area_risk(profile, checkpoint=False)
     write_csv(risk, f"{out_dir}/results/final_result", single_file=True)
-    write_records(lists, f"{out_dir}/totals/rankings", single_file=True)
-    write_records(stats, f"{out_dir}/totals/aggregations", single_file=True)
+    write_records(rank_multi_metric(profile, "area", P.RATE_COLUMNS, 10), f"{out_dir}/totals/rankings",
+                  single_file=True)
+    write_records(describe(profile, P.RATE_COLUMNS), f"{out_dir}/totals/aggregations", single_file=True)
+    return risk
