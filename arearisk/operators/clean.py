@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arearisk.functions.expr import col, concat_fields, is_int_text, nonempty, normalize_int_key
+from arearisk.functions.expr import concat_fields, is_int_text, nonempty, normalize_int_key
 from arearisk.sources.text import field
 
 
@@ -104,14 +104,3 @@ def realign_shifted_fields(arr: Column, kind: Column, key_idx: int, desc_idx: in
     city = (F.when(ok, field(arr, city_idx)).when(empty, F.lit(None))
             .when(two, field(arr, city_idx + 2)).otherwise(field(arr, city_idx + 1)))
     return key, desc, city
-
-
-def with_columns(df: DataFrame, **cols: Column) -> DataFrame:
-    return df.withColumns(cols)
-
-
-def keep_nonempty_expr(*cols: str) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & nonempty(col(c))
-    return cond

@@ -12,8 +12,6 @@ from arearisk.plans import presets as P
 from arearisk.plans import reports as R
 from arearisk.plans.base import incidents, profile, register, requests
 from arearisk.plans.catalog_groups import TOTALS_REPORT_SQL, totals_report
-from arearisk.plans.catalog_rows import resolved_segments
-from arearisk.operators.keys import apportion_by_agreement
 from arearisk.plans.fixtures import fixture
 
 INC = O.views("incident", extra=[O.INC_CLEAN])
@@ -99,5 +97,3 @@ def classify_q(spark, d):
 def report_segment_volume(spark, d):
     return R.segment_volume(fixture(spark, d, "street"), fixture(spark, d, "lookup"))
 
-
-__all__ = ["apportion_by_agreement", "resolved_segments"]

@@ -17,7 +17,7 @@ from arearisk.operators.topk import rank_multi_metric
 from arearisk.session import cut_lineage
 from arearisk.operators.clean import (
     filter_arity, filter_date_range, filter_nonempty, parse_datetime, parse_datetime_parts,
-    realign_shifted_fields, shifted_field, text_filter,
+    project_by_arity, realign_shifted_fields, text_filter,
 )
 from arearisk.plans import presets as P
 from arearisk.plans import reports as R
@@ -35,9 +35,7 @@ def incident_fields(lines: DataFrame, marker: str = P.INCIDENT_HEADER_MARKER,
     ok = filter_arity(arr, "f", P.INCIDENT_ARITIES)
     spec = {**P.INCIDENT_FIELDS, **P.INCIDENT_INT_FIELDS, **P.INCIDENT_FACTOR_FIELDS,
             **P.INCIDENT_VEHICLE_FIELDS, **(extra or {})}
-    a = F.col("f")
-    return ok.select(*[shifted_field(a, i, P.INCIDENT_BASE_ARITY, P.INCIDENT_SHIFT_FROM).alias(n)
-                       for n, i in spec.items()])
+    return project_by_arity(ok, "f", spec, P.INCIDENT_BASE_ARITY, P.INCIDENT_SHIFT_FROM)
 
 
 def incidents_from_lines(lines: DataFrame, lo: str = P.CITY_RANGE[0], hi: str = P.CITY_RANGE[1],
