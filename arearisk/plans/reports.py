@@ -8,10 +8,10 @@ Scale notes
   produces totals, category counts (and the city vote) together. Only this
   one shuffle moves data proportional to the input; everything after it
   works on per-area rows.
-* The aggregated profile is hash partitioned by area once; the window that
-  ranks categories per (area, dim) and the final per-area aggregate reuse
-  that partitioning. Rows per area after aggregation are bounded by the
-  category vocabulary, not by the input size, so a hot area stays small.
+* Categories are ranked per (area, dim) by a ``row_number`` limit that Spark
+  applies partially before the window's shuffle, so at most k rows per
+  (area, dim) leave each task even for a hot area with many categories; the
+  per-area fold that follows moves only those rows.
 * The three summaries are per-area and small; AQE broadcasts them in the
   join when their measured size allows and sort-merges otherwise.
 * The joined profile is checkpointed before classification; the bounds are
@@ -73,28 +73,26 @@ def profile_by_key(df: DataFrame, key: str, sums: dict[str, object],
 def summarize_profile(prof: DataFrame, key: str, totals: dict[str, str],
                       dims: dict[str, tuple[str, int, list]]) -> DataFrame:
     """One row per key from a ``profile_by_key`` frame: the totals row's
-    values (``out name -> profile column``), and per dim the number of
-    categories ``<prefix>width`` and the top entries ``<prefix><i>`` as
-    ``struct(name, n)`` — NULL beyond the dim's tier width.
-
-    ``dims``: dim -> (column prefix, k, tiers). The profile is hash
-    partitioned by key once; the window over (key, dim) and the final
-    per-key aggregate both reuse that partitioning, so no further shuffle.
+    values (``out name -> profile column``), and per dim the top entries
+    ``<prefix><i>`` as ``struct(name, n)`` — NULL beyond the dim's tier width —
+    plus ``<prefix>width``, the number of categories capped at the rank limit.
+
+    ``dims``: dim -> (column prefix, k, tiers). The tier rule only compares
+    the width with thresholds no larger than the rank limit, so the capped
+    width (rows that survive ``rank <= limit``) decides it exactly. The window
+    is therefore a pure ``row_number`` limit, which Spark runs partially
+    before its shuffle: each task forwards at most ``limit`` rows per
+    (key, dim), however many distinct categories a hot key has.
     """
-    kmax = max(k for _, k, _ in dims.values())
-    by_key = prof.repartition(key)
+    limit = max(max(k, max(lo for lo, _ in tiers)) for _, k, tiers in dims.values())
     w = Window.partitionBy(key, "dim").orderBy(F.col("n").desc(), F.col("category").asc())
-    ranked = (by_key
-              .withColumn("rank", F.row_number().over(w))
-              .withColumn("width", F.count(F.lit(1)).over(
-                  w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-              .filter((F.col("dim") == TOTALS) | (F.col("rank") <= kmax)))
+    # the totals row is alone in its (key, dim) window, so it always ranks 1
+    ranked = prof.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
     is_tot = F.col("dim") == TOTALS
     entry = F.struct(F.col("category").alias("name"), F.col("n").alias("n"))
     one = ranked.groupBy(key).agg(
         *[F.max(F.when(is_tot, F.col(c))).alias(o) for o, c in totals.items()],
-        *[F.coalesce(F.max(F.when(F.col("dim") == d, F.col("width"))), F.lit(0)).alias(f"{p}width")
-          for d, (p, _, _) in dims.items()],
+        *[F.count_if(F.col("dim") == d).alias(f"{p}width") for d, (p, _, _) in dims.items()],
         *[F.max(F.when((F.col("dim") == d) & (F.col("rank") == i), entry)).alias(f"{p}{i}")
           for d, (p, k, _) in dims.items() for i in range(1, k + 1)])
     shown = {p: tier_width(F.col(f"{p}width"), tiers) for p, _, tiers in dims.values()}

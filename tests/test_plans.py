@@ -20,21 +20,24 @@ def exchanges(text: str) -> list[str]:
     return re.findall(r"Arguments: (hashpartitioning\([^)]*\)|RoundRobinPartitioning\(\d+\)|SinglePartition)", text)
 
 
-def test_incident_report_single_scan_two_shuffles(spark):
+def test_incident_report_single_scan_bounded_shuffles(spark):
     text = plan(B.incident_report(spark, SF001))
     assert text.count("lineitem.parquet") == 1                     # one scan of the facts
     assert "GreaterThanOrEqual(l_shipdate" in text                 # date range pushed into the scan
     schema = re.search(r"ReadSchema: (struct<l_[^\n]*)", text).group(1)
     assert "l_extendedprice" not in schema and "l_discount" not in schema
     hashed = [e for e in exchanges(text) if e.startswith("hashpartitioning")]
-    assert len(hashed) == 2                                        # profile aggregate + per-area fold
-    assert "Window" in text and "PythonUDF" not in text and "BatchEvalPython" not in text
+    # profile aggregate (partial before it), rank window (group limit before it), per-area fold
+    assert len(hashed) == 3
+    assert len(re.findall(r"^\(\d+\) WindowGroupLimit", text, re.M)) == 2   # partial + final top-k
+    assert "PythonUDF" not in text and "BatchEvalPython" not in text
 
 
 def test_request_report_single_scan(spark):
     text = plan(B.request_report(spark, SF001))
     assert text.count("events.parquet") == 1
-    assert len([e for e in exchanges(text) if e.startswith("hashpartitioning")]) == 2
+    assert len([e for e in exchanges(text) if e.startswith("hashpartitioning")]) == 3
+    assert "WindowGroupLimit" in text
 
 
 def test_global_lists_use_take_ordered(spark):
