@@ -42,11 +42,17 @@ def category_widths(counts: DataFrame, key, out: str = "width") -> DataFrame:
 
 def tiered_topk(counts: DataFrame, key, cat: str, n: str, tiers: list[tuple[int, int]],
                 rank: str = "rank") -> DataFrame:
-    """Top categories per key where how many are shown depends on how many exist."""
-    k = max(s for _, s in tiers)
-    ranked = rank_within(counts, key, cat, n, k, rank)
-    widths = category_widths(counts, key, "_width")
-    return (ranked.join(widths, _keys(key))
+    """Top categories per key where how many are shown depends on how many exist.
+
+    The tiers compare the number of categories only with thresholds up to
+    ``limit``, so counting the rows that survive ``rank <= limit`` (at most
+    ``limit`` per key, after a group limit that also runs before the shuffle)
+    decides the width exactly; no step sees a whole group.
+    """
+    limit = max(max(s for _, s in tiers), max(lo for lo, _ in tiers))
+    ranked = rank_within(counts, key, cat, n, limit, rank)
+    capped = F.count(F.lit(1)).over(Window.partitionBy(*_keys(key)))
+    return (ranked.withColumn("_width", capped)
             .filter(F.col(rank) <= tier_width(F.col("_width"), tiers)).drop("_width"))
 
 
