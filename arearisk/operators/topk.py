@@ -35,11 +35,6 @@ def tier_width(width: Column, tiers: list[tuple[int, int]]) -> Column:
     return expr.otherwise(F.lit(0))
 
 
-def category_widths(counts: DataFrame, key, out: str = "width") -> DataFrame:
-    """Number of distinct categories per key (partial aggregate, skew-safe)."""
-    return counts.groupBy(*_keys(key)).agg(F.count(F.lit(1)).alias(out))
-
-
 def tiered_topk(counts: DataFrame, key, cat: str, n: str, tiers: list[tuple[int, int]],
                 rank: str = "rank") -> DataFrame:
     """Top categories per key where how many are shown depends on how many exist.
