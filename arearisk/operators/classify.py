@@ -37,7 +37,8 @@ def classify_expr(a: Column, i: Column, d: Column, ua, la, ui, li, ud, ld) -> Co
 def classify_three_level(df: DataFrame, a: str, i: str, d: str, out: str = "safety_class",
                          k: float = 1.0) -> DataFrame:
     """Add the class column. The bounds are one global aggregate row, used as
-    a scalar subquery (no join, nothing collected to the driver)."""
+    a scalar subquery that Spark executes once and reuses for all six
+    comparisons (no join, nothing collected to the driver)."""
     bounds = mean_sigma_bounds(df, [a, i, d], k=k)
     b = bounds.select(F.struct(*bounds.columns).alias("b")).scalar()
 

@@ -14,8 +14,9 @@ Scale notes
   per-area fold that follows moves only those rows.
 * The three summaries are per-area and small; AQE broadcasts them in the
   join when their measured size allows and sort-merges otherwise.
-* The joined profile is checkpointed before classification; the bounds are
-  a one-row scalar subquery over that small table.
+* The joined per-area profile is written as a Parquet table in the shared
+  folder before classification (a lineage cut); the bounds are a one-row
+  scalar subquery over that small table, executed once.
 """
 
 from __future__ import annotations
@@ -29,10 +30,9 @@ from arearisk.functions.expr import (
 )
 from arearisk.operators.aggregate import extrapolate_volume
 from arearisk.operators.classify import classify_three_level
-from arearisk.operators.clean import filter_date_range, filter_nonempty, text_filter
+from arearisk.operators.clean import filter_date_range, filter_nonempty, reject_malformed_key, text_filter
 from arearisk.operators.joins import join_three_way, resolve_names
 from arearisk.operators.keys import apportion_by_agreement, explode_multi_key
-from arearisk.operators.clean import reject_malformed_key
 from arearisk.operators.topk import tier_width
 from arearisk.plans import presets as P
 from arearisk.session import cut_lineage
