@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from arearisk.plans import presets as P
 from arearisk.plans import reports as R
 from arearisk.plans.fixtures import fixture
-from arearisk.session import fresh_path
+from arearisk.session import app_key, fresh_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -70,7 +70,7 @@ _RAW_FILES: dict[tuple[str, str, str], str] = {}
 
 
 def raw_file(spark: SparkSession, d: str, view: str) -> str:
-    key = (spark.sparkContext.applicationId, d, view)
+    key = (app_key(spark), d, view)
     path = _RAW_FILES.get(key)
     if path is None:
         path = fresh(spark, view.replace("_", "-"))

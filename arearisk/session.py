@@ -53,6 +53,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def app_key(spark: SparkSession) -> str:
+    """Identity of the running application (for per-session caches)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediates.
 
@@ -60,12 +65,18 @@ def shared_dir(spark: SparkSession) -> str:
     session. Only when it is unset (local tests) is a private folder created
     and registered as the checkpoint directory.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) sessions have no SparkContext
+        sc = None
+    if sc is not None:
+        d = sc.getCheckpointDir() or d
     if not d:
         d = tempfile.mkdtemp(prefix="arearisk-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
     return d
 
 

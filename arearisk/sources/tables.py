@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from arearisk.session import app_key
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -39,8 +41,11 @@ def spread(df: DataFrame, spark: SparkSession, size_bytes: int | None) -> DataFr
     columns; deterministic on retry). Big inputs already have thousands of
     splits, so at scale this is a no-op.
     """
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= want:
+            return df
+    except Exception:  # remote (Connect) sessions: no partition count; leave the scan as is
         return df
     if size_bytes is not None and size_bytes < SPREAD_MIN_BYTES:
         return df
@@ -55,7 +60,7 @@ _LOADED: dict[tuple[str, str, bool], DataFrame] = {}
 def load_table(spark: SparkSession, data_dir: str, name: str, spread_small_splits: bool = True) -> DataFrame:
     """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it."""
     path = table_path(data_dir, name)
-    key = (spark.sparkContext.applicationId, path, spread_small_splits)
+    key = (app_key(spark), path, spread_small_splits)
     df = _LOADED.get(key)
     if df is None:
         df = spark.read.parquet(path)
