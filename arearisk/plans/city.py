@@ -129,3 +129,10 @@ def write_city_outputs(profile: DataFrame, out_dir: str) -> DataFrame:
                   single_file=True)
     write_records(describe(profile, P.RATE_COLUMNS), f"{out_dir}/totals/aggregations", single_file=True)
     return risk
+
+
+def segment_volume_from_lines(lines: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Hourly segment-count lines + a name -> postcode lookup ``(name, postcode)``
+    -> apportioned ``(area, vehicles, samples)`` rows, the input of the area
+    volume report."""
+    return R.segment_volume(segments_from_lines(lines), lookup)

@@ -71,3 +71,18 @@ def test_segment_lines(spark):
     day2 = "2,7,W 14 STREET,3 AVE,2 AVE,NB,01/02/2012," + ",".join(["1"] * 24)
     got = C.segments_from_lines(lines(spark, [head, day1, day2])).collect()
     assert [(r.segment, r.roadway, r.vehicles, r.samples) for r in got] == [("7", "WEST 14 ST", 254, 2)]
+
+
+def test_segment_lines_to_area_volume(spark):
+    head = "ID,Segment ID,Roadway Name,From,To,Direction,Date," + ",".join(f"h{i}" for i in range(24))
+    rows_ = [
+        "1,7,WEST 14 ST,3 AVE,2 AVE,NB,01/01/2012," + ",".join(["10"] * 24),    # 240
+        "2,7,WEST 14 ST,3 AVE,2 AVE,NB,01/02/2012," + ",".join(["5"] * 24),     # 120
+        "3,8,AVE OF THE AMER,22 ST,23 ST,NB,01/01/2012," + ",".join(["1"] * 24),  # 24, unresolved '23rd ST'
+    ]
+    lookup = spark.createDataFrame([("WEST 14th ST", "10011"), ("3rd AVE", "10003"), ("2nd AVE", "10003"),
+                                    ("AVE OF THE AMERICAS", "10001"), ("22nd ST", "10001")],
+                                   "name string, postcode string")
+    got = rows(C.segment_volume_from_lines(lines(spark, [head] + rows_), lookup))
+    # road 10011, from = to = 10003: from gets two thirds, road one third (360 vehicles, 2 samples)
+    assert got == [("10003", 240, 0), ("10011", 120, 0)]
