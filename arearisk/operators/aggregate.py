@@ -78,13 +78,23 @@ def grand_totals(df: DataFrame, sums: list[str]) -> DataFrame:
     return df.agg(*[F.sum(s).cast("bigint").alias(s) for s in sums])
 
 
-def totals_report(totals: DataFrame, measures: list[str], category_totals: DataFrame,
-                  category: str = "category", n: str = "n") -> DataFrame:
-    """One long ``(category, count)`` table: named measure totals (one row
-    frame) unioned with per-category totals."""
-    long = totals.unpivot([], measures, "category", "count")
-    cats = category_totals.groupBy(category).agg(F.sum(n).cast("bigint").alias("count"))
-    return long.unionByName(cats.withColumnRenamed(category, "category"))
+def totals_report(df: DataFrame, measures: dict[str, object], slots: list[str]) -> DataFrame:
+    """One long ``(category, count)`` table of named measure totals and
+    per-category counts over all rows, from a single pass: every record is
+    exploded into one (kind, name, value) row per measure and per filled slot,
+    then one partially aggregated ``groupBy`` sums them. ``kind`` keeps
+    measure names and category names apart."""
+    def c_(x):
+        return F.col(x) if isinstance(x, str) else x
+
+    rows = [F.struct(F.lit("measure").alias("kind"), F.lit(name).alias("category"),
+                     c_(v).cast("bigint").alias("v")) for name, v in measures.items()]
+    rows += [F.struct(F.lit("category").alias("kind"), F.col(sl).alias("category"), F.lit(1).cast("bigint").alias("v"))
+             for sl in slots]
+    long = df.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+    long = long.filter((F.col("kind") == "measure") | nonempty("category"))
+    return (long.groupBy("kind", "category").agg(F.sum("v").cast("bigint").alias("count"))
+            .select("category", "count"))
 
 
 def sort_totals(df: DataFrame) -> DataFrame:

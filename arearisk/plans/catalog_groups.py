@@ -169,10 +169,9 @@ TOTALS_REPORT_SQL = (
 
 
 def totals_report(spark, d):
-    inc = incidents(spark, d)
-    totals = agg_grand_totals(spark, d)
-    cats = AG.category_counts(inc, "area", P.FACTOR_SLOTS + P.VEHICLE_SLOTS)
-    return AG.totals_report(totals, GRAND, cats)
+    measures = {"total_accidents": F.lit(1), "total_vehicles": X.count_nonempty(P.VEHICLE_SLOTS),
+                **{f"total_{m}": m for m in P.MEASURES}}
+    return AG.totals_report(incidents(spark, d), measures, P.FACTOR_SLOTS + P.VEHICLE_SLOTS)
 
 
 register("agg_totals_report", TOTALS_REPORT_SQL)(totals_report)
