@@ -75,17 +75,20 @@ def bottom_n_global(df: DataFrame, metric: str, key: str, n: int = 10) -> DataFr
 
 
 def rank_multi_metric(df: DataFrame, key: str, metrics: list[str], n: int = 10,
-                      value: str = "value") -> DataFrame:
+                      value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """Top-n and bottom-n lists of several metrics in one frame:
-    ``(list, rank, key, value)`` with list = 'top_<metric>' / 'bottom_<metric>'."""
-    long = df.select(F.col(key), F.explode(F.array(*[
+    ``(list, rank, key, value, keep...)`` with list = 'top_<metric>' /
+    'bottom_<metric>'; ``keep`` carries more columns of the row (e.g. all of
+    it). Each list is a ``row_number`` group limit, applied before the shuffle."""
+    carry = [c for c in (keep or []) if c not in (key, value)]
+    long = df.select(F.col(key), *carry, F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias(value)) for m in metrics
-    ])).alias("_m")).select(key, "_m.metric", f"_m.{value}")
+    ])).alias("_m")).select(key, *carry, "_m.metric", f"_m.{value}")
     out = None
     for direction, desc in (("top", True), ("bottom", False)):
         w = Window.partitionBy("metric").orderBy(order_metric(value, desc), F.col(key).asc())
         part = (long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
                 .select(F.concat(F.lit(direction + "_"), F.col("metric")).alias("list"),
-                        "rank", key, value))
+                        "rank", key, value, *carry))
         out = part if out is None else out.unionByName(part)
     return out

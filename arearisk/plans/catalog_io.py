@@ -124,15 +124,13 @@ def sink_csv_with_header(spark, d):
     return read_quoted_csv(spark, path, REQUEST_REPORT_SCHEMA, header=True)
 
 
-LIST_SCHEMA = T.StructType([T.StructField("list", T.StringType()), T.StructField("rank", T.IntegerType()),
-                            T.StructField("area", T.StringType()), T.StructField("value", T.DoubleType())])
-
-
 @register("sink_records", O.views(*O.REPORT_VIEWS, extra=O.PROFILE_CHAIN + [O.RANK_LISTS]) + O.RANK_SELECT)
 def sink_records(spark, d):
-    lists = rank_multi_metric(profile(spark, d), "area", P.RATE_COLUMNS, 10)
+    """The eight top/bottom lists with whole area records, as JSON lines."""
+    prof = profile(spark, d)
+    lists = rank_multi_metric(prof, "area", P.RATE_COLUMNS, 10, keep=prof.columns)
     path = write_records(lists, fresh(spark, "rank-lists"), single_file=True)
-    return spark.read.schema(LIST_SCHEMA).json(path)
+    return spark.read.schema(lists.schema).json(path)
 
 
 @register("sink_plain_lines", O.views("incident", extra=O.INC_CHAIN)

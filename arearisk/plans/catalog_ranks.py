@@ -75,7 +75,8 @@ def bottom_n_global(spark, d):
 
 @register("rank_multi_metric", O.views(*O.REPORT_VIEWS, extra=O.PROFILE_CHAIN + [O.RANK_LISTS]) + O.RANK_SELECT)
 def rank_multi_metric(spark, d):
-    return TK.rank_multi_metric(profile(spark, d), "area", P.RATE_COLUMNS, 10)
+    prof = profile(spark, d)
+    return TK.rank_multi_metric(prof, "area", P.RATE_COLUMNS, 10, keep=prof.columns)
 
 
 @register("sort_totals", TOTALS_REPORT_SQL + " ORDER BY count DESC, category ASC")

@@ -125,8 +125,8 @@ def write_city_outputs(profile: DataFrame, out_dir: str) -> DataFrame:
     profile = cut_lineage(profile, "city-profile")
     risk = R.area_risk(profile, checkpoint=False)
     write_csv(risk, f"{out_dir}/results/final_result", single_file=True)
-    write_records(rank_multi_metric(profile, "area", P.RATE_COLUMNS, 10), f"{out_dir}/totals/rankings",
-                  single_file=True)
+    write_records(rank_multi_metric(profile, "area", P.RATE_COLUMNS, 10, keep=profile.columns),
+                  f"{out_dir}/totals/rankings", single_file=True)
     write_records(describe(profile, P.RATE_COLUMNS), f"{out_dir}/totals/aggregations", single_file=True)
     return risk
 

@@ -261,6 +261,6 @@ SEGMENT_CHAIN = [STREET_NAMED, LOOKUP_ONE, RESOLVED, APPORTIONED]
 
 RANK_LISTS = "lists AS (" + " UNION ALL ".join(
     f"SELECT '{d}_{m}' AS list, CAST(row_number() OVER (ORDER BY {m} {o} NULLS LAST, area ASC) AS INTEGER) AS rank, "
-    f"area, CAST({m} AS DOUBLE) AS value FROM prof"
+    f"CAST({m} AS DOUBLE) AS value, prof.* FROM prof"
     for m in P.RATE_COLUMNS for d, o in (("top", "DESC"), ("bottom", "ASC"))) + ")"
-RANK_SELECT = "SELECT list, rank, area, value FROM lists WHERE rank <= 10"
+RANK_SELECT = "SELECT * FROM lists WHERE rank <= 10"
