@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arearisk.functions.expr import hsum, lenient_int, strict_int
-from arearisk.operators.aggregate import describe, first_seen
+from arearisk.functions.expr import count_nonempty, hsum, lenient_int, strict_int
+from arearisk.operators.aggregate import describe, first_seen, sort_totals, totals_report
 from arearisk.operators.topk import rank_multi_metric
 from arearisk.session import cut_lineage
 from arearisk.operators.clean import (
@@ -136,3 +136,31 @@ def segment_volume_from_lines(lines: DataFrame, lookup: DataFrame) -> DataFrame:
     -> apportioned ``(area, vehicles, samples)`` rows, the input of the area
     volume report."""
     return R.segment_volume(segments_from_lines(lines), lookup)
+
+
+def run_city_job(spark: SparkSession, collisions: str, complaints: str, volume: str, out_dir: str,
+                 complaints_header: str | None = None, collision_range: tuple[str, str] = P.CITY_RANGE,
+                 complaint_range: tuple[str, str] = P.CITY_RANGE, download: bool = False) -> DataFrame:
+    """The whole job: classified report, ranking lists and statistics; with
+    ``download`` also the three per-area reports and the two totals tables
+    (each as one CSV with header). Sub-reports are computed once: they are
+    cut into the shared folder and every output reads the cut tables."""
+    inc_facts = incidents_from_lines(read_lines(spark, collisions), *collision_range)
+    req_facts = requests_from_lines(read_lines(spark, complaints), complaints_header, *complaint_range)
+    inc = cut_lineage(R.incidents_by_area(inc_facts), "incidents-by-area")
+    req = cut_lineage(R.requests_by_area(req_facts), "requests-by-area")
+    vol = cut_lineage(R.volume_by_area(volume_from_csv(spark, volume)), "volume-by-area")
+    risk = write_city_outputs(R.area_profile(vol, inc, req), out_dir)
+    if download:
+        write_csv(inc, f"{out_dir}/results/incidents_by_area", single_file=True)
+        write_csv(req, f"{out_dir}/results/requests_by_area", single_file=True)
+        write_csv(vol, f"{out_dir}/results/volume_by_area", single_file=True)
+        inc_measures = {"total_accidents": F.lit(1), "total_vehicles": count_nonempty(P.VEHICLE_SLOTS),
+                        **{f"total_{m}": m for m in P.MEASURES}}
+        write_csv(sort_totals(totals_report(inc_facts, inc_measures, P.FACTOR_SLOTS + P.VEHICLE_SLOTS)),
+                  f"{out_dir}/totals/incidents", single_file=True)
+        req_cats = req_facts.withColumn("complaint", F.upper("kind"))
+        write_csv(sort_totals(totals_report(req_cats, {"total_complaints": F.lit(1)},
+                                            ["complaint", "descriptor"])),
+                  f"{out_dir}/totals/requests", single_file=True)
+    return risk

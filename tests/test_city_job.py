@@ -30,3 +30,20 @@ def test_city_job_end_to_end(spark):
         assert len(files) == 1
     assert spark.read.json(out + "/totals/aggregations").count() == 5
     assert spark.read.option("header", True).csv(out + "/results/final_result").count() == n
+
+
+def test_city_job_download_outputs(spark):
+    collisions = B.raw_file(spark, SF001, "raw_incident")
+    complaints = B.raw_file(spark, SF001, "raw_request")
+    volume = write_csv(fixture(spark, SF001, "volume"), fresh_path(spark, "volume-csv"), single_file=True)
+    out = fresh_path(spark, "city-job")
+    risk = C.run_city_job(spark, collisions, complaints, volume, out, collision_range=P.TEST_INCIDENT_RANGE,
+                          complaint_range=("2024-01-01 00:00:00", "2024-12-31 23:59:00"), download=True)
+    assert risk.count() > 0
+    for part in ("results/incidents_by_area", "results/requests_by_area", "results/volume_by_area",
+                 "totals/incidents", "totals/requests", "results/final_result"):
+        assert spark.read.option("header", True).csv(out + "/" + part).count() > 0, part
+    tot = {r["category"]: int(r["count"]) for r in
+           spark.read.option("header", True).csv(out + "/totals/incidents").collect()}
+    inc = spark.read.option("header", True).csv(out + "/results/incidents_by_area")
+    assert tot["total_accidents"] == sum(int(r.total_accidents) for r in inc.collect())
