@@ -38,7 +38,9 @@ def classify_three_level(df: DataFrame, a: str, i: str, d: str, out: str = "safe
                          k: float = 1.0) -> DataFrame:
     """Add the class column. The bounds are one global aggregate row, used as
     a scalar subquery that Spark executes once and reuses for all six
-    comparisons (no join, nothing collected to the driver)."""
+    comparisons (no join, nothing collected to the driver). The subquery
+    re-reads ``df``, so pass a small or cut table (``session.cut_lineage``),
+    not a long lineage."""
     bounds = mean_sigma_bounds(df, [a, i, d], k=k)
     b = bounds.select(F.struct(*bounds.columns).alias("b")).scalar()
 

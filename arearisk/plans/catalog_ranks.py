@@ -13,6 +13,7 @@ from arearisk.plans import reports as R
 from arearisk.plans.base import incidents, profile, register, requests
 from arearisk.plans.catalog_groups import TOTALS_REPORT_SQL, totals_report
 from arearisk.plans.fixtures import fixture
+from arearisk.session import cut_lineage
 
 INC = O.views("incident", extra=[O.INC_CLEAN])
 REQ = O.views("request", extra=[O.REQ_CLEAN])
@@ -89,7 +90,9 @@ def sort_totals(spark, d):
 @register("classify_three_level", O.views(*O.REPORT_VIEWS, extra=O.PROFILE_CHAIN + [O.BOUNDS])
           + "SELECT p.area, " + O.CLASS_SQL + " AS safety_class FROM prof p CROSS JOIN bnd b")
 def classify_q(spark, d):
-    c = classify_three_level(profile(spark, d), P.RATE_COLUMNS[0], P.RATE_COLUMNS[1], P.RATE_COLUMNS[2])
+    # bounds and rows read one cut copy of the small per-area profile
+    prof = cut_lineage(profile(spark, d), "area-profile")
+    c = classify_three_level(prof, P.RATE_COLUMNS[0], P.RATE_COLUMNS[1], P.RATE_COLUMNS[2])
     return c.select("area", "safety_class")
 
 
