@@ -7,9 +7,8 @@ views (FIXTURES.md), whole — no row caps or id subsets.
 from __future__ import annotations
 
 from arearisk.plans import oracle as O
-from arearisk.plans.base import (  # noqa: F401
-    ORACLE, QUERIES, incident_report, incidents, profile, register, request_report, requests, risk,
-    volume_report,
+from arearisk.plans.base import (  # noqa: F401  (QUERIES, ORACLE and risk are re-exported)
+    ORACLE, QUERIES, incident_report, profile, register, request_report, risk, volume_report,
 )
 from arearisk.plans import reports as R
 
