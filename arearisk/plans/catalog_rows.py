@@ -6,16 +6,18 @@ except where a query first needs a per-area total.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from arearisk.functions import expr as X
 from arearisk.operators import clean as CL
-from arearisk.operators.aggregate import category_counts, sum_measures
+from arearisk.operators.aggregate import sum_measures
 from arearisk.operators.keys import apportion_by_agreement, explode_multi_key
 from arearisk.operators.joins import resolve_names
 from arearisk.plans import city as C
 from arearisk.plans import oracle as O
 from arearisk.plans import presets as P
+from arearisk.plans import reports as R
 from arearisk.plans.base import incidents, raw_lines, register
 from arearisk.plans.fixtures import fixture
 from arearisk.sources.text import field, split_array
@@ -247,12 +249,16 @@ def label_count_pct0(spark, d):
           + "SELECT c.area, c.category, " + O.label_sql("c.category", "c.n", "t.vehicles")
           + " AS label FROM inc_cnt c JOIN tot t ON c.area = t.area")
 def label_name_count_pct(spark, d):
-    inc = incidents(spark, d)
-    counts = category_counts(inc, "area", P.FACTOR_SLOTS + P.VEHICLE_SLOTS)
-    counts = counts.filter(~F.col("category").isin(*P.IGNORE_CATEGORIES))
-    t = inc_totals(spark, d).select("area", "vehicles")
-    return counts.join(t, "area").select(
-        "area", "category", X.label_name_count_pct("category", "n", X.share_pct("n", "vehicles")).alias("label"))
+    # One pass: the profile aggregate yields each area's totals row and its
+    # category rows; a per-area window (over aggregated rows, at most the
+    # category vocabulary per area) hands the vehicle total to every category.
+    prof = R.profile_by_key(incidents(spark, d), "area", {"vehicles": X.count_nonempty(P.VEHICLE_SLOTS)},
+                            [("slot", c) for c in P.FACTOR_SLOTS + P.VEHICLE_SLOTS])
+    total = F.max(F.when(F.col("dim") == R.TOTALS, F.col("vehicles"))).over(Window.partitionBy("area"))
+    rows_ = prof.withColumn("total_vehicles", total)
+    rows_ = rows_.filter((F.col("dim") == "slot") & ~F.col("category").isin(*P.IGNORE_CATEGORIES))
+    return rows_.select("area", "category", X.label_name_count_pct(
+        "category", "n", X.share_pct("n", "total_vehicles")).alias("label"))
 
 
 @register("case_class", O.views("incident", extra=[O.INC_CLEAN])
