@@ -52,3 +52,9 @@ def test_entry_contract(spark):
     assert df.count() > 0 and len(df.columns) == 28
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q) and len(q) >= 70
+
+
+def test_class_totals_equal_area_count(spark):
+    risk = B.risk(spark, SF01)
+    dist = R.class_distribution(risk)
+    assert sum(r.areas for r in dist.collect()) == risk.count() == B.profile(spark, SF01).count()
