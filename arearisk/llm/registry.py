@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from . import packing, ring
+from . import chunkdedup, fmindex, huffman, packing, ring
 
 QUERIES = {
+    "op1_token_files": huffman.op1_token_files,
     "op2_sharding": ring.op2_sharding,
     "op3_packing": packing.op3_packing,
+    "op8_exact_dedup": chunkdedup.op8_exact_dedup,
+    "op10_decontamination": fmindex.op10_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op8_exact_dedup": chunkdedup.ORACLE_SQL,
+    "op10_decontamination": fmindex.ORACLE_SQL,
+}
