@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from . import chunkdedup, fmindex, huffman, packing, ring
+from . import chunkdedup, fmindex, huffman, packing, ring, segjoin
 
 QUERIES = {
     "op1_token_files": huffman.op1_token_files,
     "op2_sharding": ring.op2_sharding,
     "op3_packing": packing.op3_packing,
     "op8_exact_dedup": chunkdedup.op8_exact_dedup,
+    "op9_ngram_join": segjoin.op9_ngram_join,
     "op10_decontamination": fmindex.op10_decontamination,
 }
 
 ORACLE = {
     "op8_exact_dedup": chunkdedup.ORACLE_SQL,
+    "op9_ngram_join": segjoin.ORACLE_SQL,
     "op10_decontamination": fmindex.ORACLE_SQL,
 }
