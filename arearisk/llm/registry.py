@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import chunkdedup, fmindex, huffman, packing, ring, segjoin
+from . import chunkdedup, fmindex, huffman, langid, packing, ring, secrets, segjoin, toxicity
 
 QUERIES = {
     "op1_token_files": huffman.op1_token_files,
     "op2_sharding": ring.op2_sharding,
     "op3_packing": packing.op3_packing,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op6_secrets": secrets.op6_secrets,
+    "op7_language": langid.op7_language,
     "op8_exact_dedup": chunkdedup.op8_exact_dedup,
     "op9_ngram_join": segjoin.op9_ngram_join,
     "op10_decontamination": fmindex.op10_decontamination,

@@ -1,0 +1,154 @@
+"""Secret scans with SQL functions only: fixed patterns, and a battery of randomness tests on long tokens.
+
+Fixed kinds are found by pattern; a match's place comes from the lengths of the pieces between matches. Besides
+them, every maximal token of at least ``SHORTEST`` characters of a base-64 alphabet is tested. Its encoding is
+inferred (hexadecimal, base 32, else base 64), and on the symbols' values in that alphabet run
+
+* a chi-squared test of uniformity (normal by Wilson-Hilferty),
+* a runs test about the middle of the alphabet,
+* a lag-one serial correlation test.
+
+A token that fails any at ``ALPHA`` is no random string. For the others the same statistics are read against
+ordinary text: the rate of equal symbol pairs is far lower than in words, and changes between capitals, small
+letters and digits are far more frequent. Both deviations, scaled by what the token's length allows, are combined
+(Stouffer) to a p-value under "ordinary token". Benjamini-Hochberg at ``RATE`` over all tokens of the corpus, within
+each length band, decides: p-values fall into equal bins of their logarithm, so the control needs one count per band
+and bin (a bounded table) and no sort of all tokens.
+
+Defined results: a null or empty text has no spans. Repeated rows are scanned each. An empty table gives an empty
+result. Places are code points, ends exclusive. A found token that overlaps a fixed kind's span is not added again.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from . import common as C
+
+KINDS = ("assign", "access", "hex", "random")
+ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+#: a maximal run of which enough is long enough is the run itself, so these hold the least length
+ACCESS = r"AKIA[A-Z0-9]{14,}"
+HEX = r"[0-9a-f]{16,}"
+SHORTEST = 20
+TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+ALPHA = 0.001
+RATE = 0.01
+#: ordinary words: rate of equal letter pairs, sum of cubed letter shares, share of neighbours of different class
+PAIR_RATE, CUBES, CHANGES = 0.065, 0.0055, 0.15
+BINS, DEEPEST = 20, 60.0
+
+_SPAN = "array<struct<start:int,kind:int,end:int>>"
+
+
+def _quoted(pattern: str) -> str:
+    return "r\"" + pattern.replace('"', r"\x22") + "\""
+
+
+def located(pattern: str, kind: int, keep: str = "true") -> str:
+    """SQL: (start, kind, end) of the matches of ``pattern`` in column t; ``keep`` may use i and g (second group)."""
+    p = _quoted(pattern)
+    group = f"regexp_extract_all(t, {p}, 2)" if "g[" in keep else "array('')"
+    found = f"named_struct('m', regexp_extract_all(t, {p}, 0), 's', split(t, {p}, -1), 'g', {group})"
+    return f"""
+    CASE WHEN t RLIKE {p} THEN aggregate(array({found}), cast(array() AS {_SPAN}), (_, f) -> aggregate(
+      sequence(0, size(f.m) - 1), named_struct('at', 0, 'out', cast(array() AS {_SPAN})),
+      (a, i) -> named_struct(
+        'at', a.at + char_length(f.s[i]) + char_length(f.m[i]),
+        'out', CASE WHEN {keep.replace('g[', 'f.g[')} THEN concat(a.out, array(named_struct('start', a.at + char_length(f.s[i]), 'kind', {kind},
+                 'end', a.at + char_length(f.s[i]) + char_length(f.m[i])))) ELSE a.out END),
+      a -> a.out)) ELSE cast(array() AS {_SPAN}) END"""
+
+
+def upper_tail(z: str) -> str:
+    """SQL: probability that a standard normal exceeds z (Borjesson and Sundberg's bound, within 0.3 percent)."""
+    q = "exp(-{0} * {0} / 2) / 2.5066282746 / (0.661 * {0} + 0.339 * sqrt({0} * {0} + 5.51))"
+    return f"CASE WHEN {z} >= 0 THEN {q.format(f'({z})')} ELSE 1 - {q.format(f'(-({z}))')} END"
+
+
+def tested(tokens: DataFrame) -> DataFrame:
+    """Add the test statistics to rows with a ``token``: z_uniform, z_runs, z_serial, random, p."""
+    out = tokens.withColumn("bare", F.regexp_replace("token", "=+$", "")).withColumn("symbols", F.expr("""
+        CASE WHEN bare RLIKE '^([0-9a-f]+|[0-9A-F]+)$' THEN '0123456789abcdef'
+             WHEN bare RLIKE '^[A-Z2-7]+$' THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
+             ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/' END"""))
+    out = out.withColumn("v", F.expr("""
+        transform(filter(split(CASE WHEN char_length(symbols) = 16 THEN lower(bare) ELSE translate(bare, '-_', '+/') END, ''), x -> x <> ''),
+                  x -> instr(symbols, x) - 1)"""))
+    out = out.withColumns({
+        "n": F.expr("cast(size(v) AS double)"), "k": F.expr("cast(char_length(symbols) AS double)"),
+        "mean": F.expr("aggregate(v, 0D, (a, x) -> a + x) / size(v)"),
+        "squares": F.expr("aggregate(array_distinct(v), 0D, (a, x) -> a + pow(size(filter(v, y -> y = x)), 2))"),
+        "high": F.expr("cast(size(filter(v, x -> 2 * x >= char_length(symbols))) AS double)"),
+        "runs": F.expr("1D + size(filter(sequence(1, size(v) - 1), i -> (2 * v[i] >= char_length(symbols)) <> (2 * v[i - 1] >= char_length(symbols))))"),
+        "classes": F.expr("regexp_replace(regexp_replace(regexp_replace(bare, '[a-z]', 'a'), '[A-Z]', 'A'), '[^aA]', '0')"),
+    })
+    out = out.withColumns({
+        "chi": F.expr("k / n * squares - n"),
+        "changes": F.expr("cast(size(filter(sequence(2, char_length(classes)), i -> substring(classes, i, 1) <> substring(classes, i - 1, 1))) AS double)"),
+        "spread": F.expr("aggregate(v, 0D, (a, x) -> a + pow(x - mean, 2))"),
+        "lagged": F.expr("aggregate(sequence(1, size(v) - 1), 0D, (a, i) -> a + (v[i] - mean) * (v[i - 1] - mean))"),
+    })
+    out = out.withColumns({
+        "z_uniform": F.expr("(pow(chi / (k - 1), 1 / 3D) - (1 - 2 / (9 * (k - 1)))) / sqrt(2 / (9 * (k - 1)))"),
+        "z_runs": F.expr("""CASE WHEN high = 0 OR high = n THEN -9D ELSE
+            (runs - 1 - 2 * high * (n - high) / n) / sqrt(2 * high * (n - high) * (2 * high * (n - high) - n) / (n * n * (n - 1))) END"""),
+        "z_serial": F.expr("CASE WHEN spread = 0 THEN 9D ELSE (lagged / spread + 1 / n) * sqrt(n) END"),
+        "z_pairs": F.expr(f"""({PAIR_RATE} - (squares - n) / (n * (n - 1)))
+            / sqrt(2 * {PAIR_RATE} * (1 - {PAIR_RATE}) / (n * (n - 1)) + 4 * ({CUBES} - {PAIR_RATE} * {PAIR_RATE}) / n)"""),
+        "z_changes": F.expr(f"(changes - {CHANGES} * (n - 1)) / sqrt({CHANGES} * (1 - {CHANGES}) * (n - 1))"),
+    })
+    return out.withColumns({
+        "random": F.expr(f"{upper_tail('z_uniform')} >= {ALPHA} AND 2 * ({upper_tail('abs(z_runs)')}) >= {ALPHA} AND 2 * ({upper_tail('abs(z_serial)')}) >= {ALPHA}"),
+        "p": F.expr(upper_tail("((z_pairs + z_changes) / sqrt(2D))")),
+    }).withColumns({
+        "band": F.expr("CASE WHEN n < 32 THEN 0 WHEN n < 64 THEN 1 ELSE 2 END"),
+        "bin": F.expr(f"cast(least({DEEPEST}, greatest(0, -log10(greatest(p, 1e-100)))) * {BINS} AS int)"),
+    })
+
+
+def discoveries(tokens: DataFrame, rate: float = RATE) -> DataFrame:
+    """(band, least_bin): tokens of a band in this bin or a deeper one pass Benjamini-Hochberg at ``rate``."""
+    counts = tokens.groupBy("band", "bin").agg(F.count("*").alias("here"))  # bands * BINS * DEEPEST rows at most
+    deeper = Window.partitionBy("band").orderBy(F.desc("bin"))
+    return (counts.withColumn("rank", F.sum("here").over(deeper)).withColumn("all", F.sum("here").over(Window.partitionBy("band")))
+            .where(F.expr(f"pow(10D, -bin / {BINS}D) <= {rate} * rank / all")).groupBy("band").agg(F.min("bin").alias("least_bin")))
+
+
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and the spans of every row: counts per kind, digest of the fixed kinds, all spans as text."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
+                       F.monotonically_increasing_id().alias("row"))
+    token = _quoted(TOKEN)
+    found = rows.select(
+        "row", "doc_id", F.expr(located(ASSIGN, 0, "char_length(g[i]) >= 12")).alias("assign"), F.expr(located(ACCESS, 1)).alias("access"),
+        F.expr(located(HEX, 2)).alias("hex"),
+        F.expr(located(TOKEN, 3)).alias("tokens"),
+        F.expr(f"CASE WHEN t RLIKE {token} THEN regexp_extract_all(t, {token}, 0) ELSE cast(array() AS array<string>) END").alias("texts"))
+    found = found.select("row", "doc_id", F.concat("assign", "access", "hex").alias("base"), "tokens", "texts",
+                         *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]])
+    found = C.cut_lineage(found, "spans")  # spans and tokens, no texts
+
+    tokens = (found.where("size(tokens) > 0")
+              .select("row", F.explode(F.filter(F.arrays_zip("tokens", "texts"), lambda x: F.lit(True))).alias("x"), "base")
+              .select("row", F.col("x.tokens").alias("span"), F.col("x.texts").alias("token"), "base")
+              .where("NOT exists(base, b -> b.start < span.end AND span.start < b.end)"))
+    judged = C.cut_lineage(tested(tokens.select("row", "span", "token")).select("row", "span", "band", "bin", "random"), "tokens")
+    added = (judged.join(F.broadcast(discoveries(judged)), "band")  # three rows at most
+             .where("random AND bin >= least_bin").groupBy("row").agg(F.collect_list("span").alias("added")))  # of one text
+    added = C.cut_lineage(added, "added")
+    base = F.array_sort("base")
+    names = ", ".join(f"'{k}'" for k in KINDS)
+
+    def shown(column: str) -> str:
+        return f"concat_ws(',', transform({column}, x -> concat_ws(':', element_at(array({names}), x.kind + 1), x.start, x.end)))"
+
+    return (found.join(added, "row", "left").withColumn("base", base)
+            .withColumn("every", F.array_sort(F.concat("base", F.coalesce("added", F.expr(f"cast(array() AS {_SPAN})")))))
+            .select("doc_id", *[f"n_{k}" for k in KINDS[:3]], F.sha2(F.expr(shown("base")), 256).alias("base_sha256"),
+                    F.expr(shown("every")).alias("spans")))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(C.table(spark, sf_dir, "documents"))
