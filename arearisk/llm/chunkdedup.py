@@ -74,7 +74,7 @@ def identifier(chunk, bits: int) -> bytes:
 
 
 def recipes(docs: DataFrame, id_col: str, text_col: str, bits: int) -> DataFrame:
-    """row, doc_id, points, text_sha256, recipe (identifiers side by side) of every row."""
+    """row, doc_id, text_hash, points, text_sha256, recipe (identifiers side by side) of every row."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
@@ -88,14 +88,14 @@ def recipes(docs: DataFrame, id_col: str, text_col: str, bits: int) -> DataFrame
                     shas.append(hashlib.sha256(raw[a:b]).hexdigest())
                     made.append(b"".join([identifier(raw[x:y], bits) for x, y in zip([a, *ends], ends)]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + hi - lo)), batch.column(0).slice(lo, hi - lo), pa.array(points),
-                     pa.array(shas, pa.string()), pa.array(made, pa.binary())],
-                    ["row", "doc_id", "points", "text_sha256", "recipe"])
+                    [pa.array(np.arange(row, row + hi - lo)), batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo),
+                     pa.array(points), pa.array(shas, pa.string()), pa.array(made, pa.binary())],
+                    ["row", "doc_id", "text_hash", "points", "text_sha256", "recipe"])
                 row += hi - lo
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return C.map_arrow(docs.select(id_col, text_col), read,
-                       f"row long, doc_id {kind}, points long, text_sha256 string, recipe binary")
+    return C.map_arrow(docs.select(id_col, text_col, C.text_hash(text_col)), read,
+                       f"row long, doc_id {kind}, text_hash long, points long, text_sha256 string, recipe binary")
 
 
 def chunks(docs: DataFrame, text_col: str, bits: int) -> DataFrame:
@@ -121,7 +121,7 @@ def ambiguous(docs: DataFrame, text_col: str, bits: int) -> bool:
 
 
 def group_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 64) -> DataFrame:
-    """One row per input row: row, doc_id, keep_id, group_size, kept, text_sha256."""
+    """One row per input row: row, doc_id, keep_id, group_size, kept, text_sha256, and a hash of the text as it is."""
     while ambiguous(docs, text_col, bits):
         if bits >= 128:
             raise ValueError("two chunks with equal 128-bit identifiers")
@@ -136,11 +136,16 @@ def group_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return made.join(groups, "recipe", "left").select(
         "row", "doc_id", F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        (single | (F.col("keep_row") == F.col("row"))).alias("kept"), "text_sha256")
+        (single | (F.col("keep_row") == F.col("row"))).alias("kept"), "text_sha256", "text_hash")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that stay."""
+    return C.without(docs, group_copies(docs, id_col, text_col).where("group_size > 1"), id_col, text_col)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group_copies(C.table(spark, sf_dir, "documents")).drop("row")
+    return group_copies(C.table(spark, sf_dir, "documents")).drop("row", "text_hash")
 
 
 ORACLE_SQL = r"""

@@ -52,8 +52,22 @@ def id_hash(col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
 
 
-def empty_result(schema: str, spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def text_hash(col: str):
+    return F.xxhash64(F.coalesce(F.col(col), F.lit("")))
+
+
+def without(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs``, all columns, less the dropped rows of groups. ``decided``: doc_id, text_hash, kept of every row that is
+    in a group. Of rows with equal id and text of which one is kept, one stays."""
+    verdict = cut_lineage(decided.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("kept"), F.count("*").alias("copies"))
+                          .withColumnRenamed("doc_id", "_id"), "verdict")
+    same = docs[id_col].eqNullSafe(verdict["_id"]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == verdict["text_hash"])
+    names = [docs[c] for c in docs.columns]
+    repeated = verdict.where("kept AND copies > 1")
+    kept = docs.join(verdict.where("NOT kept OR copies > 1"), same, "left_anti").select(*names)
+    if repeated.isEmpty():
+        return kept
+    return kept.unionByName(docs.join(repeated, same, "left_semi").select(*names).dropDuplicates([id_col, text_col]))
 
 
 # ---- text blocks -----------------------------------------------------------------------------------------

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from . import chunkdedup, fmindex, huffman, langid, packing, ring, secrets, segjoin, toxicity
+from . import chunkdedup, fmindex, hostpaths, huffman, langid, packing, ring, secret_scan, segjoin, toxicity
 
 QUERIES = {
     "op1_token_files": huffman.op1_token_files,
     "op2_sharding": ring.op2_sharding,
     "op3_packing": packing.op3_packing,
     "op4_toxicity": toxicity.op4_toxicity,
-    "op6_secrets": secrets.op6_secrets,
+    "op5_html_extraction": hostpaths.op5_html_extraction,
+    "op6_secrets": secret_scan.op6_secrets,
     "op7_language": langid.op7_language,
     "op8_exact_dedup": chunkdedup.op8_exact_dedup,
     "op9_ngram_join": segjoin.op9_ngram_join,

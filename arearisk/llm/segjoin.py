@@ -5,7 +5,7 @@
 1. One narrow row per document: size and hash of its shingle set. Documents with equal sets are one class; only one
    copy of a set per task goes on.
 2. Signatures leave a task packed per bucket. A bucket is sorted in arrays; a signature that few sets share gives
-   pairs, one that many share a row per set (a frequent segment).
+   pairs (kept if they share as many segments as a linked pair must), one that many share a row per set (a frequent segment).
 3. A set may leave out ``slack`` - 1 segments; it leaves out its most frequent ones. The order by frequency is the
    same for all sets, so the rarest segment that a linked pair shares is kept on both sides.
 4. Frequent segments left over (large groups of near copies) are compared with one member first, the set with the
@@ -45,7 +45,7 @@ READ_BYTES = 4 << 20
 
 
 def doc_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, node (64-bit hash of the set; null if empty) of every row."""
+    """doc_id, text_hash, n_shingles, node (64-bit hash of the set; null if empty) of every row."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,11 +53,11 @@ def doc_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 sets, bounds = S.shingle_sets(data, offs)
                 n = np.diff(bounds)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)),
-                     pa.array(S.set_hashes(sets, bounds)[0].view(np.int64), mask=n == 0)], ["doc_id", "n_shingles", "node"])
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(n.astype(np.int64)),
+                     pa.array(S.set_hashes(sets, bounds)[0].view(np.int64), mask=n == 0)], ["doc_id", "text_hash", "n_shingles", "node"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return C.map_arrow(docs.select(id_col, text_col), read, f"doc_id {kind}, n_shingles long, node long")
+    return C.map_arrow(docs.select(id_col, text_col, C.text_hash(text_col)), read, f"doc_id {kind}, text_hash long, n_shingles long, node long")
 
 
 # ---- signatures ----------------------------------------------------------------------------------------------------
@@ -115,7 +115,8 @@ def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sort the signatures of each bucket: pairs (run null) and the members of frequent signatures."""
+    """Sort the signatures of each bucket: the members of frequent signatures, and pairs (run null; slack then holds the
+    segments that a linked pair must share, members those found here)."""
     buckets: dict[int, list] = {}
     for batch in batches:
         for bucket, entries, keys in zip(*(c.to_pylist() for c in batch.columns)):
@@ -142,23 +143,26 @@ def match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = np.concatenate(pairs, axis=1) if pairs else (np.zeros(0, int), np.zeros(0, int))
         node, n = rec["node"].view(np.int64), rec["n"].astype(np.int64)
         good = _near(n[a], n[b]) & (node[a] != node[b])
-        ab = np.unique(np.stack([np.minimum(node[a[good]], node[b[good]]), np.maximum(node[a[good]], node[b[good]])], axis=1), axis=0)
+        a, b = a[good], b[good]
+        a, b = np.where(node[a] < node[b], a, b), np.where(node[a] < node[b], b, a)
+        ab, at, shared = np.unique(np.stack([node[a], node[b], rec["band"][a].astype(np.int64)], axis=1), axis=0, return_index=True, return_counts=True)
+        need = S.least_shared(rec[a[at]], rec[b[at]])
         many = np.repeat(size, size)
-        at = np.flatnonzero(many > PAIRED)
-        hot = owner[at]
+        at_hot = np.flatnonzero(many > PAIRED)
+        hot = owner[at_hot]
         none = len(ab)
 
         def both_kinds(x, y, kind):
             return pa.concat_arrays([x, y]).cast(kind)
 
         yield pa.RecordBatch.from_arrays([
-            both_kinds(pa.nulls(none, pa.int64()), pa.array(C.mix(key[at] * np.uint64(1 << 20) + np.uint64(bucket)).view(np.int64)), pa.int64()),
+            both_kinds(pa.nulls(none, pa.int64()), pa.array(C.mix(key[at_hot] * np.uint64(1 << 20) + np.uint64(bucket)).view(np.int64)), pa.int64()),
             both_kinds(pa.array(ab[:, 0]), pa.array(node[hot]), pa.int64()),
             both_kinds(pa.array(ab[:, 1]), pa.nulls(len(hot), pa.int64()), pa.int64()),
-            both_kinds(pa.nulls(none, pa.int32()), pa.array(rec["band"][hot].astype(np.int32)), pa.int32()),
+            both_kinds(pa.array(ab[:, 2].astype(np.int32)), pa.array(rec["band"][hot].astype(np.int32)), pa.int32()),
             both_kinds(pa.nulls(none, pa.int64()), pa.array(n[hot]), pa.int64()),
-            both_kinds(pa.nulls(none, pa.int32()), pa.array(rec["slack"][hot].astype(np.int32)), pa.int32()),
-            both_kinds(pa.nulls(none, pa.int64()), pa.array(many[at].astype(np.int64)), pa.int64())],
+            both_kinds(pa.array(need.astype(np.int32)), pa.array(rec["slack"][hot].astype(np.int32)), pa.int32()),
+            both_kinds(pa.array(shared.astype(np.int64)), pa.array(many[at_hot].astype(np.int64)), pa.int64())],
             ["run", "a", "b", "band", "n", "slack", "members"])
 
 
@@ -256,7 +260,12 @@ def near_links(docs: DataFrame, sets: DataFrame, id_col: str = "doc_id", text_co
     hubs = C.cut_lineage(runs.groupBy("run").agg(F.max(F.struct("frequent", "a", "n")).alias("top"))
                          .select("run", F.col("top.a").alias("hub"), F.col("top.n").alias("hub_n")), "hubs")
     star = runs.join(hubs, "run").where(f"a <> hub AND 100 * least(n, hub_n) >= {S.SIMILARITY} * greatest(n, hub_n)")
-    pairs = (matched.where("run IS NULL").select("a", "b")
+    # a linked pair shares many segments: those found as pairs, frequent ones, or empty ones (taken off already)
+    often = C.cut_lineage(matched.where("run IS NOT NULL").groupBy("a", "band").agg(F.count("*").alias("often")), "often")
+    paired = C.cut_lineage(matched.where("run IS NULL").groupBy("a", "b", "band", "slack").agg(F.sum("members").alias("shared")), "pairs")
+    paired = (paired.join(often.withColumnRenamed("often", "often_a"), ["a", "band"], "left")
+              .join(often.select(F.col("a").alias("b"), "band", F.col("often").alias("often_b")), ["b", "band"], "left"))
+    pairs = (paired.select("a", "b")
              .unionByName(star.select(F.least("a", "hub").alias("a"), F.greatest("a", "hub").alias("b"))).distinct())
     pairs = C.cut_lineage(pairs, "pairs")
 
@@ -287,19 +296,30 @@ def chosen(rows: DataFrame) -> DataFrame:
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+    """doc_id, text_hash, n_shingles, component (null for an empty set), component_id of every row."""
     sets = C.cut_lineage(doc_sets(docs, id_col, text_col), "sets")
     joined = components(C.cut_lineage(near_links(docs, sets, id_col, text_col), "links"))
     named = (sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
              .join(joined, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component")))
     named = C.cut_lineage(named, "named")
-    named = C.cut_lineage(named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component")
-                          .select("node", "component_id"), "named")
-    return sets.join(named, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = C.cut_lineage(named.join(least, "component").select("node", "component", "component_id"), "named")
+    return sets.join(named, "node", "left").select("doc_id", "text_hash", "n_shingles", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns: of every component the row with the smallest id (then text hash) stays."""
+    found = C.cut_lineage(near_components(docs, id_col, text_col).where("component IS NOT NULL"), "components")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    first = C.cut_lineage(found.groupBy("component").agg(F.count("*").alias("rows"), F.min(order).alias("first")).where("rows > 1")
+                          .select("component", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash")), "first")
+    decided = found.join(first, "component").select(
+        "doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))).alias("kept"))
+    return C.without(docs, decided, id_col, text_col)
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_components(C.table(spark, sf_dir, "documents"))
+    return near_components(C.table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 ORACLE_SQL = r"""

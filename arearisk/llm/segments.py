@@ -101,6 +101,16 @@ def most_differences(size: np.ndarray, band: np.ndarray) -> np.ndarray:
     return (size + np.minimum(size * 100 // SIMILARITY, TOPS[band])) // 9
 
 
+def least_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many segments other than empty ones a linked pair of records (n, slack, band) shares at least; 0 where
+    that says nothing (one-deletion neighbourhoods, sets with too many empty segments)."""
+    band, x, y = a["band"].astype(np.int64), a["n"].astype(np.int64), b["n"].astype(np.int64)
+    empty = [PARTS[band] - most_differences(n, band) - r["slack"] for n, r in ((x, a), (y, b))]
+    need = PARTS[band] - (x + y) // 9 - np.minimum(*empty)
+    told = ~_DELETING[band] & (a["slack"] > 0) & (b["slack"] > 0) & (a["slack"] < 32767) & (b["slack"] < 32767)
+    return np.where(told, np.maximum(need, 0), 0)
+
+
 def signatures(sets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(set, band, slack, first signature) of each (set, segmentation), and the signatures.
 
