@@ -126,14 +126,16 @@ def is_int_text(c: ColumnOrName) -> Column:
 
 
 def lenient_int(c: ColumnOrName) -> Column:
-    """Integer value of the text, 0 when it is not an integer."""
+    """Integer value of the text, 0 when it is not an integer or too large for one."""
     x = col(c).cast("string")
-    return F.when(is_int_text(x), F.trim(x).try_cast("bigint")).otherwise(F.lit(0)).cast("bigint")
+    return F.coalesce(F.when(is_int_text(x), F.trim(x).try_cast("bigint")), F.lit(0)).cast("bigint")
 
 
 def strict_int(c: ColumnOrName) -> Column:
-    """Integer value of the text; a bad value fails the job (ANSI cast)."""
-    return F.trim(col(c)).cast("int")
+    """Integer value of the text; a bad value fails the job, whatever the session's ANSI setting. NULL stays NULL."""
+    x = col(c)
+    bad = F.raise_error(F.concat(F.lit("not an integer: "), x)).cast("int")
+    return F.when(x.isNotNull(), F.coalesce(F.trim(x).try_cast("int"), bad))
 
 
 def normalize_int_key(c: ColumnOrName) -> Column:

@@ -43,9 +43,9 @@ def category_counts(df: DataFrame, key: str | list[str], slots: list[str],
 
 
 def label_counts(df: DataFrame, key: str | list[str], label: str, n: str = "n") -> DataFrame:
-    """Frequency of one label column per key (an empty label is a label too)."""
+    """Frequency of one label column per key (an empty label is a label too, and a missing one is empty)."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias(n))
+    return df.withColumn(label, F.coalesce(F.col(label), F.lit(""))).groupBy(*keys, label).agg(F.count(F.lit(1)).alias(n))
 
 
 def merge_partials(parts: list[DataFrame], key: str | list[str], sums: list[str]) -> DataFrame:
@@ -65,12 +65,15 @@ def representative_value(df: DataFrame, key: str, value: str, out: str | None =
 
 def first_seen(df: DataFrame, key: str, order: str, attrs: list[str],
                sums: dict[str, str], count_as: str) -> DataFrame:
-    """First value of each attribute by ``order`` (ties by the value), plus sums
-    and a row count per key."""
-    aggs = [F.min_by(F.col(a), F.struct(F.col(order), F.col(a))).alias(a) for a in attrs]
-    aggs += [F.sum(c).cast("bigint").alias(o) for o, c in sums.items()]
-    aggs.append(F.count(F.lit(1)).alias(count_as))
-    return df.groupBy(key).agg(*aggs)
+    """The attributes of the row with the smallest ``order`` (ties by the attributes), plus sums and a row count per key.
+
+    Rows are first folded per (key, attributes) by a hash aggregate; the first is picked among those few.
+    """
+    few = df.groupBy(key, *attrs).agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"),
+                                      *[F.sum(c).cast("bigint").alias(o) for o, c in sums.items()])
+    first = F.min(F.struct(F.col("_first").isNull(), "_first", *attrs)).alias("_f")
+    out = few.groupBy(key).agg(first, *[F.sum(o).cast("bigint").alias(o) for o in sums], F.sum("_n").alias(count_as))
+    return out.select(key, *[F.col("_f")[a].alias(a) for a in attrs], *sums, count_as)
 
 
 def grand_totals(df: DataFrame, sums: list[str]) -> DataFrame:
@@ -78,12 +81,13 @@ def grand_totals(df: DataFrame, sums: list[str]) -> DataFrame:
     return df.agg(*[F.sum(s).cast("bigint").alias(s) for s in sums])
 
 
-def totals_report(df: DataFrame, measures: dict[str, object], slots: list[str]) -> DataFrame:
+def totals_report(df: DataFrame, measures: dict[str, object], slots: list[str], labels: list[str] = ()) -> DataFrame:
     """One long ``(category, count)`` table of named measure totals and
     per-category counts over all rows, from a single pass: every record is
     exploded into one (kind, name, value) row per measure and per filled slot,
     then one partially aggregated ``groupBy`` sums them. ``kind`` keeps
-    measure names and category names apart."""
+    measure names and category names apart. An empty slot is no category, an
+    empty value of a column in ``labels`` is one."""
     def c_(x):
         return F.col(x) if isinstance(x, str) else x
 
@@ -91,8 +95,10 @@ def totals_report(df: DataFrame, measures: dict[str, object], slots: list[str])
                      c_(v).cast("bigint").alias("v")) for name, v in measures.items()]
     rows += [F.struct(F.lit("category").alias("kind"), F.col(sl).alias("category"), F.lit(1).cast("bigint").alias("v"))
              for sl in slots]
+    rows += [F.struct(F.lit("label").alias("kind"), F.coalesce(F.col(c), F.lit("")).alias("category"), F.lit(1).cast("bigint").alias("v"))
+             for c in labels]
     long = df.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
-    long = long.filter((F.col("kind") == "measure") | nonempty("category"))
+    long = long.filter((F.col("kind") != "category") | nonempty("category"))
     return (long.groupBy("kind", "category").agg(F.sum("v").cast("bigint").alias("count"))
             .select("category", "count"))
 

@@ -33,26 +33,36 @@ def project_by_arity(df: DataFrame, arr: str, spec: dict[str, int], base_arity:
                      *[shifted_field(a, i, base_arity, shift_from).alias(n) for n, i in spec.items()])
 
 
-def parse_datetime_parts(date_col: str, time_col: str, fmt: str) -> Column:
+def parse_datetime_parts(date_col: str, time_col: str, fmts: str | list[str]) -> Column:
     """Date text + time text -> wall-clock TIMESTAMP_NTZ; NULL when it does not parse."""
-    return parse_text_timestamp(F.concat_ws(" ", F.col(date_col), F.col(time_col)), fmt)
+    return parse_text_timestamp(F.concat_ws(" ", F.col(date_col), F.col(time_col)), fmts)
 
 
-def parse_datetime(c: str, fmt: str) -> Column:
-    return parse_text_timestamp(F.col(c), fmt)
+def parse_datetime(c: str, fmts: str | list[str]) -> Column:
+    return parse_text_timestamp(F.col(c), fmts)
 
 
-def parse_text_timestamp(text: Column, fmt: str) -> Column:
+def parse_text_timestamp(text: Column, fmts: str | list[str]) -> Column:
     """Local date-time text as TIMESTAMP_NTZ: the wall clock as written, under
-    any session time zone (no daylight-saving gap). Text that does not parse
-    gives NULL; the tolerant parser only guards the exact one."""
-    f = F.lit(fmt)
-    return F.when(F.try_to_timestamp(text, f).isNotNull(), F.to_timestamp_ntz(text, f))
+    any session time zone (no daylight-saving gap), by the first format that
+    fits; NULL when none does. The text is read once per format, as an instant
+    of UTC, and the instant's microseconds are counted from the epoch's wall clock."""
+    fmts = [fmts] if isinstance(fmts, str) else fmts
+    tries = [F.unix_micros(F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f + " xx"))) for f in fmts]
+    micros = F.coalesce(*tries) if len(tries) > 1 else tries[0]
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
-def parse_datetime_or_drop(df: DataFrame, c: str, fmt: str, out: str = "ts") -> DataFrame:
+def parse_datetime_or_drop(df: DataFrame, c: str, fmts: str | list[str], out: str = "ts") -> DataFrame:
     """Parse one text column to TIMESTAMP and drop the rows that do not parse."""
-    return df.withColumn(out, parse_datetime(c, fmt)).filter(F.col(out).isNotNull())
+    return df.withColumn(out, parse_datetime(c, fmts)).filter(F.col(out).isNotNull())
+
+
+def once(df: DataFrame) -> DataFrame:
+    """``df`` with every column computed once per row: a generator over one struct stands between its expressions and
+    whatever filters or projects them later, so the optimizer cannot copy a parse into each use."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return df.select(F.explode(F.array(row)).alias("_row")).select("_row.*")
 
 
 def filter_date_range(df: DataFrame, c: str, lo: str, hi: str) -> DataFrame:

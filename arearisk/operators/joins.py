@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arearisk.functions.expr import nonempty
+
 
 def join_inner_key(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Inner equi-join; both sides are per-key aggregates, so AQE broadcasts
@@ -22,36 +24,36 @@ def join_shape_guard(df: DataFrame, required: list[str]) -> DataFrame:
     return df.dropna(subset=required)
 
 
-def one_postcode_per_name(lookup: DataFrame, name: str, postcode: str) -> DataFrame:
-    """A lookup answers one postcode per name (the smallest, if it lists several)."""
-    return lookup.groupBy(name).agg(F.min(postcode).alias(postcode))
+def usable_lookup(lookup: DataFrame, name: str, postcode: str) -> DataFrame:
+    """``(name, postcode)`` trimmed; entries without a postcode answer nothing."""
+    out = lookup.select(F.trim(F.col(name)).alias("name"), F.trim(F.col(postcode)).alias(postcode))
+    return out.filter(nonempty(postcode))
 
 
-def name_roles(df: DataFrame, seg: str, roles: dict[str, str], carry: list[str]) -> DataFrame:
-    """Long form ``(seg, carry..., role, name)``: one row per named role."""
+def name_roles(df: DataFrame, roles: dict[str, str], keep: list[str]) -> DataFrame:
+    """Long form ``(keep..., role, name)``: one row per named role."""
     arr = F.array(*[F.struct(F.lit(r).alias("role"), F.col(c).alias("name")) for r, c in roles.items()])
-    return df.select(seg, *carry, F.explode(arr).alias("_r")).select(seg, *carry, "_r.role", "_r.name")
+    return df.select(*keep, F.explode(arr).alias("_r")).select(*keep, "_r.role", "_r.name")
 
 
 def resolve_names(df: DataFrame, seg: str, roles: dict[str, str], lookup: DataFrame,
                   name: str = "name", postcode: str = "postcode", carry: list[str] | None = None,
                   suffix: str = "_zip") -> DataFrame:
-    """Resolve every role's name to a postcode; rows with any unresolved name drop.
+    """Resolve every role's name to a postcode (the smallest, if the lookup lists several); rows with a name that is
+    unknown or has no postcode drop.
 
-    ``seg`` must identify a row. The roles are joined against the lookup in
-    one join (not one per role), then folded back per segment.
+    The roles are joined in one join (not one per role), then folded back per row; a repeated segment stays repeated.
+    The lookup is joined as it is, without an aggregate between its shuffle and the join, so adaptive execution can
+    split a name that many segments share.
     """
-    carry = carry or []
-    lk = one_postcode_per_name(lookup, name, postcode).withColumnRenamed(name, "name")
-    hit = name_roles(df, seg, roles, carry).join(lk, "name", "inner")
-    out = hit.groupBy(seg, *carry).agg(
-        F.count(F.lit(1)).alias("_resolved"),
-        *[F.max(F.when(F.col("role") == r, F.col(postcode))).alias(r + suffix) for r in roles])
-    return out.filter(F.col("_resolved") == len(roles)).drop("_resolved")
+    keep = ["_row", seg, *(carry or [])]
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    hit = name_roles(rows, roles, keep).join(usable_lookup(lookup, name, postcode), "name", "inner")
+    out = hit.groupBy(*keep).agg(*[F.min(F.when(F.col("role") == r, F.col(postcode))).alias(r + suffix) for r in roles])
+    return out.dropna(subset=[r + suffix for r in roles]).drop("_row")
 
 
 def unresolved_names(df: DataFrame, seg: str, roles: dict[str, str], lookup: DataFrame,
-                     name: str = "name") -> DataFrame:
-    """The names that do not resolve: ``(seg, role, name)``."""
-    lk = lookup.select(F.col(name).alias("name"))
-    return name_roles(df, seg, roles, []).join(lk, "name", "left_anti")
+                     name: str = "name", postcode: str = "postcode") -> DataFrame:
+    """The names that do not resolve, or only to an empty postcode: ``(seg, role, name)``."""
+    return name_roles(df, roles, [seg]).join(usable_lookup(lookup, name, postcode).select("name"), "name", "left_anti").select(seg, "role", "name")

@@ -8,31 +8,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arearisk.functions.expr import floor_fraction, q
+from arearisk.functions.expr import q
 
 
 def explode_multi_key(df: DataFrame, key: str, measures: list[str],
                       seps: tuple[str, ...] = (";", ":"), out: str | None = None) -> DataFrame:
-    """Rows keyed "A;B" (or "A:B") become two rows A and B (trimmed), each with
-    floor(measure / 2); single keys pass through unchanged.
+    """Rows keyed "A;B" (or "A:B", "A;B;C", ...) become one row per part (trimmed), each with
+    floor(measure / parts); single keys pass through unchanged.
 
-    Only the first two parts of a multi key are used; the first separator in
-    ``seps`` that occurs in the key decides how it is split.
+    The first separator in ``seps`` that occurs in the key decides how it is split.
     """
     out = out or key
     k = F.col(key)
     parts = None
     for s in seps:
-        piece = F.split(k, "\\" + s if s in ".$|()[]{}^?*+\\" else s, -1)
+        piece = F.transform(F.split(k, "\\" + s if s in ".$|()[]{}^?*+\\" else s, -1), lambda x: F.trim(x))
         parts = F.when(k.contains(s), piece) if parts is None else parts.when(k.contains(s), piece)
-    multi = parts.isNotNull()
-    keys = F.when(multi, F.array(F.trim(F.try_element_at(parts, F.lit(1))),
-                                 F.trim(F.try_element_at(parts, F.lit(2))))).otherwise(F.array(k))
     others = [c for c in df.columns if c not in measures and c != key]
-    return df.select(
+    split = df.withColumn("_parts", parts.otherwise(F.array(k)))
+    return split.select(
         *others,
-        F.explode(keys).alias(out),
-        *[F.when(multi, floor_fraction(m, 2)).otherwise(F.col(m)).alias(m) for m in measures])
+        F.explode("_parts").alias(out),
+        *[F.expr(f"{q(m)} div size(_parts)").alias(m) for m in measures])
 
 
 def apportion_by_agreement(df: DataFrame, road: str, start: str, end: str,

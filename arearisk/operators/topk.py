@@ -78,17 +78,17 @@ def rank_multi_metric(df: DataFrame, key: str, metrics: list[str], n: int = 10,
                       value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """Top-n and bottom-n lists of several metrics in one frame:
     ``(list, rank, key, value, keep...)`` with list = 'top_<metric>' /
-    'bottom_<metric>'; ``keep`` carries more columns of the row (e.g. all of
-    it). Each list is a ``row_number`` group limit, applied before the shuffle."""
+    'bottom_<metric>'; ``keep`` carries more columns of the row (e.g. all of it).
+
+    Only narrow (list, key, signed value) rows are ranked, by one ``row_number``
+    group limit that runs before the shuffle; the at most 2 * metrics * n rows
+    are then joined back to ``df`` (pass a persisted frame to compute it once).
+    """
     carry = [c for c in (keep or []) if c not in (key, value)]
-    long = df.select(F.col(key), *carry, F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias(value)) for m in metrics
-    ])).alias("_m")).select(key, *carry, "_m.metric", f"_m.{value}")
-    out = None
-    for direction, desc in (("top", True), ("bottom", False)):
-        w = Window.partitionBy("metric").orderBy(order_metric(value, desc), F.col(key).asc())
-        part = (long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-                .select(F.concat(F.lit(direction + "_"), F.col("metric")).alias("list"),
-                        "rank", key, value, *carry))
-        out = part if out is None else out.unionByName(part)
-    return out
+    entries = [F.struct(F.lit(f"{name}_{m}").alias("list"), F.col(m).cast("double").alias(value),
+                        (F.col(m).cast("double") * F.lit(sign)).alias("_signed"))
+               for m in metrics for name, sign in (("top", -1.0), ("bottom", 1.0))]
+    long = df.select(key, F.explode(F.array(*entries)).alias("_m")).select(key, "_m.*")
+    w = Window.partitionBy("list").orderBy(F.col("_signed").asc_nulls_last(), F.col(key).asc())
+    best = (long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).select("list", "rank", key, value))
+    return best.join(df.select(key, *carry), key).select("list", "rank", key, value, *carry) if carry else best

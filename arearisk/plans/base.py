@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from arearisk.plans import presets as P
 from arearisk.plans import reports as R
 from arearisk.plans.fixtures import fixture
-from arearisk.session import app_key, fresh_path
+from arearisk.session import fresh_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -32,19 +32,22 @@ def register(name: str, sql: str | None = None):
 # ------------------------------------------------------------ shared inputs
 
 def incidents(spark: SparkSession, d: str) -> DataFrame:
-    return R.clean_incidents(fixture(spark, d, "incident"), *P.TEST_INCIDENT_RANGE)
+    """All cleaned collision records, of every date."""
+    return R.clean_incidents(fixture(spark, d, "incident"))
 
 
 def requests(spark: SparkSession, d: str) -> DataFrame:
-    return R.clean_requests(fixture(spark, d, "request"), *P.TEST_REQUEST_RANGE)
+    """All cleaned street complaints, of every date."""
+    return R.clean_requests(fixture(spark, d, "request"))
 
 
 def incident_report(spark, d):
-    return R.incidents_by_area(incidents(spark, d))
+    """The composed report filters its period, as the job does."""
+    return R.incidents_by_area(R.clean_incidents(fixture(spark, d, "incident"), *P.TEST_INCIDENT_RANGE))
 
 
 def request_report(spark, d):
-    return R.requests_by_area(requests(spark, d))
+    return R.requests_by_area(R.clean_requests(fixture(spark, d, "request"), *P.TEST_REQUEST_RANGE))
 
 
 def volume_report(spark, d):
@@ -64,21 +67,6 @@ def fresh(spark: SparkSession, label: str) -> str:
     return fresh_path(spark, label)
 
 
-# Raw text inputs: the raw fixture views are written once per session as
-# text files in the shared folder, then scanned like the reference's CSVs.
-_RAW_FILES: dict[tuple[str, str, str], str] = {}
-
-
-def raw_file(spark: SparkSession, d: str, view: str) -> str:
-    key = (app_key(spark), d, view)
-    path = _RAW_FILES.get(key)
-    if path is None:
-        path = fresh(spark, view.replace("_", "-"))
-        fixture(spark, d, view).write.text(path)
-        _RAW_FILES[key] = path
-    return path
-
-
 def raw_lines(spark: SparkSession, d: str, view: str) -> DataFrame:
-    """The raw fixture ``view`` as scanned text lines (column ``value``)."""
-    return spark.read.text(raw_file(spark, d, view))
+    """The raw fixture ``view``: text lines (column ``value``)."""
+    return fixture(spark, d, view)

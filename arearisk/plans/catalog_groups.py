@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from arearisk.functions import expr as X
 from arearisk.operators import aggregate as AG
 from arearisk.operators import joins as J
+from arearisk.plans import city as C
 from arearisk.plans import oracle as O
 from arearisk.plans import presets as P
 from arearisk.plans import reports as R
 from arearisk.plans.base import (
-    incident_report, incidents, profile, register, request_report, requests, volume_report,
+    incident_report, incidents, profile, raw_lines, register, request_report, requests, volume_report,
 )
-from arearisk.plans.catalog_rows import HOURLY_TEXT_SQL, hourly_text, resolved_segments
+from arearisk.plans.catalog_rows import resolved_segments
 from arearisk.plans.fixtures import fixture
 
 INC = O.views("incident", extra=[O.INC_CLEAN])
@@ -42,10 +43,11 @@ def join_three_way(spark, d):
 
 @register("join_shape_guard", O.views(*O.REPORT_VIEWS, extra=O.INC_CHAIN + O.REQ_CHAIN + O.VOL_CHAIN)
           + "SELECT v.area, v.volume, i.total_accidents, q.total_complaints FROM vol_rep v "
-          "JOIN inc_rep i ON v.area = i.area JOIN req_rep q ON v.area = q.area "
+          "LEFT JOIN inc_rep i ON v.area = i.area LEFT JOIN req_rep q ON v.area = q.area "
           "WHERE i.total_accidents IS NOT NULL AND q.total_complaints IS NOT NULL")
 def join_shape_guard(spark, d):
-    j = join_three_way(spark, d)
+    j = (volume_report(spark, d).join(incident_report(spark, d), "area", "left").join(request_report(spark, d), "area", "left")
+         .select("area", "volume", "total_accidents", "total_complaints"))
     return J.join_shape_guard(j, ["total_accidents", "total_complaints"])
 
 
@@ -55,9 +57,9 @@ def join_lookup_resolve(spark, d):
     return resolved_segments(spark, d)
 
 
-@register("join_unresolved_report", O.views("street", "lookup", extra=O.SEGMENT_CHAIN[:1]) + " UNION ALL ".join(
+@register("join_unresolved_report", O.views("street", "lookup", extra=O.SEGMENT_CHAIN[:2]) + " UNION ALL ".join(
     f"SELECT segment, '{role}' AS role, {col} AS name FROM st_n s "
-    f"WHERE NOT EXISTS (SELECT 1 FROM lookup l WHERE l.name = s.{col})"
+    f"WHERE NOT EXISTS (SELECT 1 FROM lk l WHERE l.name = s.{col})"
     for role, col in (("road", "road"), ("start", "start"), ("end", '"end"'))))
 def join_unresolved_report(spark, d):
     s = fixture(spark, d, "street")
@@ -103,7 +105,7 @@ def agg_category_counts(spark, d):
     return AG.category_counts(incidents(spark, d), "area", P.FACTOR_SLOTS + P.VEHICLE_SLOTS)
 
 
-@register("agg_label_counts", REQ + "SELECT area, descriptor, count(*) AS n FROM req GROUP BY area, descriptor")
+@register("agg_label_counts", REQ + "SELECT area, coalesce(descriptor, '') AS descriptor, count(*) AS n FROM req GROUP BY 1, 2")
 def agg_label_counts(spark, d):
     return AG.label_counts(requests(spark, d), "area", "descriptor")
 
@@ -114,13 +116,10 @@ MERGE_COLS = ["accidents", "per_i", "per_k"]
 @register("agg_merge_partials", INC + "SELECT area, count(*) AS accidents, CAST(sum(per_i) AS BIGINT) AS per_i, "
           "CAST(sum(per_k) AS BIGINT) AS per_k FROM inc GROUP BY area")
 def agg_merge_partials(spark, d):
-    """Partial summaries per calendar year, merged into one summary per area."""
-    inc = incidents(spark, d)
-    parts = []
-    for year in (1996, 1997):
-        part = inc.filter(F.year("ts") == year)
-        parts.append(AG.sum_measures(part, "area", {"per_i": "per_i", "per_k": "per_k"}, count_as="accidents"))
-    return AG.merge_partials(parts, "area", MERGE_COLS)
+    """Partial summaries per day, from one scan, merged into one summary per area."""
+    days = AG.sum_measures(incidents(spark, d).withColumn("day", F.to_date("ts")), ["area", "day"],
+                           {"per_i": "per_i", "per_k": "per_k"}, count_as="accidents")
+    return AG.merge_partials([days], "area", MERGE_COLS)
 
 
 @register("agg_representative_value", REQ
@@ -130,22 +129,9 @@ def agg_representative_value(spark, d):
     return AG.representative_value(requests(spark, d), "area", "city")
 
 
-DAILY_SQL = ("daily AS (SELECT segment, day, " + " + ".join(O.lenient_sql(f"h{i}") for i in range(24))
-             + " AS vehicles FROM hw)")
-
-
-def daily_totals(spark, d):
-    return hourly_text(spark, d).select("segment", "day", X.hsum([X.lenient_int(f"h{i}") for i in range(24)])
-                                        .alias("vehicles"))
-
-
-@register("agg_first_seen", O.views("hourly", extra=[HOURLY_TEXT_SQL, DAILY_SQL])
-          + "SELECT segment, min(day) AS first_day, arg_min(vehicles, day) AS first_vehicles, "
-          "CAST(sum(vehicles) AS BIGINT) AS vehicles, count(*) AS samples FROM daily GROUP BY segment")
+@register("agg_first_seen", O.views("raw_segment", extra=[O.SEG_LINES, O.SEG_FIRST]) + "SELECT * FROM seg")
 def agg_first_seen(spark, d):
-    daily = daily_totals(spark, d).withColumn("first_day", F.col("day")).withColumn("first_vehicles", F.col("vehicles"))
-    return AG.first_seen(daily, "segment", "day", ["first_day", "first_vehicles"],
-                         {"vehicles": "vehicles"}, "samples")
+    return C.segments_from_lines(raw_lines(spark, d, "raw_segment"))
 
 
 GRAND = ["total_accidents", "total_vehicles", *[f"total_{m}" for m in P.MEASURES]]

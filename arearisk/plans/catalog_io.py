@@ -103,10 +103,14 @@ def typed_projection(spark, d):
     return conform(profile(spark, d), PROFILE_SCHEMA)
 
 
-@register("sample_rows")
+SAMPLE_KEEP, SAMPLE_OF = 1, 10000  # one record in ten thousand
+
+
+@register("sample_rows", O.views("incident", extra=[O.INC_CLEAN]) + "SELECT id, line, area, ts FROM inc WHERE "
+          "CAST('0x' || substr(md5(concat_ws('|', CAST(id AS VARCHAR), CAST(line AS VARCHAR))), 1, 8) AS BIGINT) "
+          f"% {SAMPLE_OF} < {SAMPLE_KEEP}")
 def sample_rows_query(spark, d):
-    """Bernoulli sample of the cleaned collision facts (fraction as in the reference)."""
-    return sample_rows(incidents(spark, d), 0.0001, seed=7)
+    return sample_rows(incidents(spark, d).select("id", "line", "area", "ts"), ["id", "line"], SAMPLE_KEEP, SAMPLE_OF)
 
 
 # ------------------------------------------------------------------ sinks
@@ -120,14 +124,14 @@ REQUEST_REPORT_SCHEMA = T.StructType(
 
 @register("sink_csv_with_header", O.views("request", extra=O.REQ_CHAIN) + "SELECT * FROM req_rep")
 def sink_csv_with_header(spark, d):
-    path = write_csv(request_report(spark, d), fresh(spark, "requests-csv"), single_file=True)
+    path = write_csv(request_report(spark, d), fresh(spark, "requests-csv"))
     return read_quoted_csv(spark, path, REQUEST_REPORT_SCHEMA, header=True)
 
 
 @register("sink_records", O.views(*O.REPORT_VIEWS, extra=O.PROFILE_CHAIN + [O.RANK_LISTS]) + O.RANK_SELECT)
 def sink_records(spark, d):
     """The eight top/bottom lists with whole area records, as JSON lines."""
-    prof = profile(spark, d)
+    prof = profile(spark, d).persist()
     lists = rank_multi_metric(prof, "area", P.RATE_COLUMNS, 10, keep=prof.columns)
     path = write_records(lists, fresh(spark, "rank-lists"), single_file=True)
     return spark.read.schema(lists.schema).json(path)

@@ -6,18 +6,16 @@ except where a query first needs a per-area total.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from arearisk.functions import expr as X
 from arearisk.operators import clean as CL
-from arearisk.operators.aggregate import sum_measures
+from arearisk.operators.aggregate import category_counts, sum_measures
 from arearisk.operators.keys import apportion_by_agreement, explode_multi_key
 from arearisk.operators.joins import resolve_names
 from arearisk.plans import city as C
 from arearisk.plans import oracle as O
 from arearisk.plans import presets as P
-from arearisk.plans import reports as R
 from arearisk.plans.base import incidents, raw_lines, register
 from arearisk.plans.fixtures import fixture
 from arearisk.sources.text import field, split_array
@@ -28,7 +26,7 @@ RR_VIEWS = O.views("raw_request", extra=[O.RR])
 
 def raw(spark, d, view):
     """Raw lines with their naive split ``f``."""
-    return raw_lines(spark, d, view).select("value", split_array("value").alias("f"))
+    return CL.once(raw_lines(spark, d, view).select("value", split_array("value").alias("f")))
 
 
 # ------------------------------------------------------------ 2.3 filters
@@ -49,7 +47,7 @@ def project_by_arity(spark, d):
 def parse_datetime_parts(spark, d):
     r = raw(spark, d, "raw_incident").select("value", field(F.col("f"), 0).alias("date"),
                                              field(F.col("f"), 1).alias("time"))
-    return r.select("value", CL.parse_datetime_parts("date", "time", P.INCIDENT_TS_FORMAT).alias("ts"))
+    return r.select("value", CL.parse_datetime_parts("date", "time", P.INCIDENT_TS_FORMATS).alias("ts"))
 
 
 @register("parse_datetime_or_drop", RR_VIEWS
@@ -58,7 +56,7 @@ def parse_datetime_parts(spark, d):
 def parse_datetime_or_drop(spark, d):
     r = raw(spark, d, "raw_request").select(field(F.col("f"), 0).alias("event_id"),
                                             field(F.col("f"), 1).alias("created"))
-    return CL.parse_datetime_or_drop(r, "created", P.REQUEST_TS_FORMAT).select("event_id", "ts")
+    return CL.parse_datetime_or_drop(r, "created", P.REQUEST_TS_FORMATS).select("event_id", "ts")
 
 
 @register("filter_date_range", O.views("incident")
@@ -165,17 +163,7 @@ def ordinal_street_name(spark, d):
                     X.ordinal_street_name("to_name").alias("end"))
 
 
-EXPLODE_SQL = (
-    "SELECT trim(string_split(area_expr, ';')[1]) AS area, vehicles // 2 AS vehicles, samples // 2 AS samples "
-    "FROM volume WHERE contains(area_expr, ';') "
-    "UNION ALL SELECT trim(string_split(area_expr, ';')[2]), vehicles // 2, samples // 2 "
-    "FROM volume WHERE contains(area_expr, ';') "
-    "UNION ALL SELECT trim(string_split(area_expr, ':')[1]), vehicles // 2, samples // 2 "
-    "FROM volume WHERE NOT contains(area_expr, ';') AND contains(area_expr, ':') "
-    "UNION ALL SELECT trim(string_split(area_expr, ':')[2]), vehicles // 2, samples // 2 "
-    "FROM volume WHERE NOT contains(area_expr, ';') AND contains(area_expr, ':') "
-    "UNION ALL SELECT area_expr, vehicles, samples FROM volume "
-    "WHERE NOT contains(area_expr, ';') AND NOT contains(area_expr, ':')")
+EXPLODE_SQL = O.MULTI_KEYS.format(where="true")
 
 
 @register("explode_multi_key", O.views("volume") + EXPLODE_SQL)
@@ -249,15 +237,11 @@ def label_count_pct0(spark, d):
           + "SELECT c.area, c.category, " + O.label_sql("c.category", "c.n", "t.vehicles")
           + " AS label FROM inc_cnt c JOIN tot t ON c.area = t.area")
 def label_name_count_pct(spark, d):
-    # One pass: the profile aggregate yields each area's totals row and its
-    # category rows; a per-area window (over aggregated rows, at most the
-    # category vocabulary per area) hands the vehicle total to every category.
-    prof = R.profile_by_key(incidents(spark, d), "area", {"vehicles": X.count_nonempty(P.VEHICLE_SLOTS)},
-                            [("slot", c) for c in P.FACTOR_SLOTS + P.VEHICLE_SLOTS])
-    total = F.max(F.when(F.col("dim") == R.TOTALS, F.col("vehicles"))).over(Window.partitionBy("area"))
-    rows_ = prof.withColumn("total_vehicles", total)
-    rows_ = rows_.filter((F.col("dim") == "slot") & ~F.col("category").isin(*P.IGNORE_CATEGORIES))
-    return rows_.select("area", "category", X.label_name_count_pct(
+    # The totals are one narrow row per area, joined by their measured size.
+    inc = incidents(spark, d)
+    counts = category_counts(inc, "area", P.FACTOR_SLOTS + P.VEHICLE_SLOTS).filter(~F.col("category").isin(*P.IGNORE_CATEGORIES))
+    totals = sum_measures(inc.withColumn("v", X.count_nonempty(P.VEHICLE_SLOTS)), "area", {"total_vehicles": "v"})
+    return counts.join(totals, "area").select("area", "category", X.label_name_count_pct(
         "category", "n", X.share_pct("n", "total_vehicles")).alias("label"))
 
 

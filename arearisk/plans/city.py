@@ -16,7 +16,7 @@ from arearisk.operators.aggregate import describe, first_seen, sort_totals, tota
 from arearisk.operators.topk import rank_multi_metric
 from arearisk.session import cut_lineage
 from arearisk.operators.clean import (
-    filter_arity, filter_date_range, filter_nonempty, parse_datetime, parse_datetime_parts,
+    filter_arity, filter_date_range, filter_nonempty, once, parse_datetime, parse_datetime_parts,
     project_by_arity, realign_shifted_fields, text_filter,
 )
 from arearisk.plans import presets as P
@@ -27,41 +27,66 @@ from arearisk.sources.text import (
 )
 
 
+def incident_lines(lines: DataFrame, marker: str = P.INCIDENT_HEADER_MARKER) -> DataFrame:
+    """Collision lines without header lines, split once: ``value`` and its fields ``f``."""
+    return once(drop_marker_lines(lines, marker).select("value", split_array("value").alias("f")))
+
+
 def incident_fields(lines: DataFrame, marker: str = P.INCIDENT_HEADER_MARKER,
                     extra: dict[str, int] | None = None) -> DataFrame:
     """Collision lines -> named text fields (arity 29 or 30, shift repaired);
     ``extra`` names further positions to keep."""
-    arr = drop_marker_lines(lines, marker).select(split_array("value").alias("f"))
-    ok = filter_arity(arr, "f", P.INCIDENT_ARITIES)
+    ok = filter_arity(incident_lines(lines, marker), "f", P.INCIDENT_ARITIES)
     spec = {**P.INCIDENT_FIELDS, **P.INCIDENT_INT_FIELDS, **P.INCIDENT_FACTOR_FIELDS,
             **P.INCIDENT_VEHICLE_FIELDS, **(extra or {})}
     return project_by_arity(ok, "f", spec, P.INCIDENT_BASE_ARITY, P.INCIDENT_SHIFT_FROM)
 
 
 def incidents_from_lines(lines: DataFrame, lo: str = P.CITY_RANGE[0], hi: str = P.CITY_RANGE[1],
-                         ts_format: str = P.INCIDENT_TS_FORMAT) -> DataFrame:
+                         ts_formats: list[str] = P.INCIDENT_TS_FORMATS) -> DataFrame:
     """Cleaned collision facts in the ``incident`` shape: date range, non-empty
-    key, the eight measures as strict integers (a bad value fails the job)."""
-    f = incident_fields(lines).withColumn("ts", parse_datetime_parts("date", "time", ts_format))
+    key, the eight measures as strict integers (a bad value fails the job).
+    Lines without a readable date or a full set of fields are ``incident_rejects``."""
+    f = once(incident_fields(lines).withColumn("ts", parse_datetime_parts("date", "time", ts_formats)))
     f = filter_nonempty(filter_date_range(f, "ts", lo, hi), "area")
     return f.select("area", "ts", *[strict_int(m).alias(m) for m in P.MEASURES],
                     *P.FACTOR_SLOTS, *P.VEHICLE_SLOTS)
 
 
+def incident_rejects(lines: DataFrame, ts_formats: list[str] = P.INCIDENT_TS_FORMATS) -> DataFrame:
+    """(value, reason) of the collision lines that hold no record: a wrong number of fields, or an unreadable date."""
+    f = incident_lines(lines).select(
+        "value", F.size("f").isin(*P.INCIDENT_ARITIES).alias("whole"), field(F.col("f"), 0).alias("date"), field(F.col("f"), 1).alias("time"))
+    f = once(f.withColumn("dated", parse_datetime_parts("date", "time", ts_formats).isNotNull()))
+    return f.filter(~(F.col("whole") & F.col("dated"))).select(
+        "value", F.when(~F.col("whole"), F.lit("fields")).otherwise(F.lit("date")).alias("reason"))
+
+
+def request_lines(lines: DataFrame, header: str | None = None, ts_formats: list[str] = P.REQUEST_TS_FORMATS) -> DataFrame:
+    """Complaint lines split and dated once: ``value``, ``f``, ``ts``."""
+    src = drop_header_lines(lines, header) if header is not None else lines
+    parts = once(src.select("value", split_array("value").alias("f")))
+    dated = parts.withColumn("created", field(F.col("f"), P.REQUEST_FIELDS["date"])).withColumn("ts", parse_datetime("created", ts_formats))
+    return once(dated.select("value", "f", "ts"))
+
+
 def request_fields(lines: DataFrame, header: str | None = None) -> DataFrame:
     """Complaint lines -> (key, ts, kind, descriptor, city) with the stray-comma
-    realignment; unparsable dates are dropped."""
-    src = drop_header_lines(lines, header) if header is not None else lines
-    arr = src.select(split_array("value").alias("f"))
+    realignment; unparsable dates are dropped (see ``request_rejects``)."""
     a = F.col("f")
     kind = field(a, P.REQUEST_FIELDS["kind"])
     key, desc, city = realign_shifted_fields(a, kind, P.REQUEST_FIELDS["area"],
                                              P.REQUEST_FIELDS["descriptor"], P.REQUEST_FIELDS["city"],
                                              P.TWO_SHIFT_MARKER)
-    out = arr.select(key.alias("area"), field(a, P.REQUEST_FIELDS["date"]).alias("created"),
-                     kind.alias("kind"), desc.alias("descriptor"), city.alias("city"))
-    out = out.withColumn("ts", parse_datetime("created", P.REQUEST_TS_FORMAT))
-    return out.filter(F.col("ts").isNotNull()).select("area", "ts", "kind", "descriptor", "city")
+    return request_lines(lines, header).filter(F.col("ts").isNotNull()).select(
+        key.alias("area"), "ts", kind.alias("kind"), desc.alias("descriptor"), city.alias("city"))
+
+
+def request_rejects(lines: DataFrame, header: str | None = None) -> DataFrame:
+    """(value, reason) of the complaint lines that hold no record: too few fields, or an unreadable date."""
+    r = request_lines(lines, header)
+    short = F.size("f") <= P.REQUEST_FIELDS["city"]
+    return r.filter(short | F.col("ts").isNull()).select("value", F.when(short, F.lit("fields")).otherwise(F.lit("date")).alias("reason"))
 
 
 def requests_from_lines(lines: DataFrame, header: str | None = None, lo: str = P.CITY_RANGE[0],
@@ -84,21 +109,26 @@ def volume_from_csv(spark: SparkSession, path: str) -> DataFrame:
 def segment_days(lines: DataFrame, marker: str = P.SEGMENT_HEADER_MARKER) -> DataFrame:
     """Hourly count lines -> (segment, names, vehicles of the row); hours
     that are not integers count as 0."""
-    arr = drop_marker_lines(lines, marker).select(split_array("value").alias("f"))
+    arr = once(drop_marker_lines(lines, marker).select(split_array("value").alias("f")))
     a = F.col("f")
     return arr.select(*[F.trim(field(a, i)).alias(n) for n, i in P.SEGMENT_FIELDS.items()],
                       hsum([lenient_int(field(a, i)) for i in P.SEGMENT_HOUR_FIELDS]).alias("vehicles"),
-                      F.monotonically_increasing_id().alias("_seen"))
+                      F.trim(field(a, P.SEGMENT_LINE_FIELD)).try_cast("bigint").alias("line"))
 
 
 def segments_from_lines(lines: DataFrame) -> DataFrame:
     """Per segment: first-seen names, summed vehicles, number of samples.
 
-    "First seen" follows file order (the id Spark assigns while reading)."""
-    return first_seen(segment_days(lines), "segment", "_seen", ["roadway", "from_name", "to_name"],
+    First is the line with the smallest line id, a field of the record; reading order is no order of files."""
+    return first_seen(segment_days(lines), "segment", "line", ["roadway", "from_name", "to_name"],
                       {"vehicles": "vehicles"}, "samples")
 
 
+def request_totals(req: DataFrame) -> DataFrame:
+    """``(category, count)``: all complaints, each type in capitals, each descriptor (an empty one too)."""
+    return totals_report(req.withColumn("complaint", F.upper("kind")), {"total_complaints": F.lit(1)}, ["complaint"], ["descriptor"])
+
+
 def city_profile(spark: SparkSession, collisions: str, complaints: str, volume: str,
                  complaints_header: str | None = None, collision_range: tuple[str, str] = P.CITY_RANGE,
                  complaint_range: tuple[str, str] = P.CITY_RANGE) -> DataFrame:
@@ -119,12 +149,12 @@ def city_report(spark: SparkSession, collisions: str, complaints: str, volume: s
 
 
 def write_city_outputs(profile: DataFrame, out_dir: str) -> DataFrame:
-    """The job's outputs from one profile: the classified report as one CSV
+    """The job's outputs from one profile: the classified report as CSV
     with header, the top/bottom-10 lists of the four rates and the rate
     statistics as JSON records. Returns the classified report."""
     profile = cut_lineage(profile, "city-profile")
-    risk = R.area_risk(profile, checkpoint=False)
-    write_csv(risk, f"{out_dir}/results/final_result", single_file=True)
+    risk = R.area_risk(profile)
+    write_csv(risk, f"{out_dir}/results/final_result")
     write_records(rank_multi_metric(profile, "area", P.RATE_COLUMNS, 10, keep=profile.columns),
                   f"{out_dir}/totals/rankings", single_file=True)
     write_records(describe(profile, P.RATE_COLUMNS), f"{out_dir}/totals/aggregations", single_file=True)
@@ -143,7 +173,7 @@ def run_city_job(spark: SparkSession, collisions: str, complaints: str, volume:
                  complaint_range: tuple[str, str] = P.CITY_RANGE, download: bool = False) -> DataFrame:
     """The whole job: classified report, ranking lists and statistics; with
     ``download`` also the three per-area reports and the two totals tables
-    (each as one CSV with header). Sub-reports are computed once: they are
+    (CSV with header). Sub-reports are computed once: they are
     cut into the shared folder and every output reads the cut tables."""
     inc_facts = incidents_from_lines(read_lines(spark, collisions), *collision_range)
     req_facts = requests_from_lines(read_lines(spark, complaints), complaints_header, *complaint_range)
@@ -152,15 +182,12 @@ def run_city_job(spark: SparkSession, collisions: str, complaints: str, volume:
     vol = cut_lineage(R.volume_by_area(volume_from_csv(spark, volume)), "volume-by-area")
     risk = write_city_outputs(R.area_profile(vol, inc, req), out_dir)
     if download:
-        write_csv(inc, f"{out_dir}/results/incidents_by_area", single_file=True)
-        write_csv(req, f"{out_dir}/results/requests_by_area", single_file=True)
-        write_csv(vol, f"{out_dir}/results/volume_by_area", single_file=True)
+        write_csv(inc, f"{out_dir}/results/incidents_by_area")
+        write_csv(req, f"{out_dir}/results/requests_by_area")
+        write_csv(vol, f"{out_dir}/results/volume_by_area")
         inc_measures = {"total_accidents": F.lit(1), "total_vehicles": count_nonempty(P.VEHICLE_SLOTS),
                         **{f"total_{m}": m for m in P.MEASURES}}
         write_csv(sort_totals(totals_report(inc_facts, inc_measures, P.FACTOR_SLOTS + P.VEHICLE_SLOTS)),
-                  f"{out_dir}/totals/incidents", single_file=True)
-        req_cats = req_facts.withColumn("complaint", F.upper("kind"))
-        write_csv(sort_totals(totals_report(req_cats, {"total_complaints": F.lit(1)},
-                                            ["complaint", "descriptor"])),
-                  f"{out_dir}/totals/requests", single_file=True)
+                  f"{out_dir}/totals/incidents")
+        write_csv(sort_totals(request_totals(req_facts)), f"{out_dir}/totals/requests")
     return risk

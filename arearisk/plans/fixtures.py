@@ -32,7 +32,7 @@ FIXTURE_SQL["request"] = """
 SELECT CAST(user_id AS STRING) AS area, ts,
   CASE event_type WHEN 'click' THEN 'Street Condition' WHEN 'view' THEN 'Street Light Condition'
     WHEN 'signup' THEN 'Street Sign - Missing' WHEN 'error' THEN 'Noise - Street/Sidewalk' ELSE 'Water System' END AS kind,
-  concat('Item ', CAST(event_id % 7 AS STRING)) AS descriptor, n_name AS city
+  CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE concat('Item ', CAST(event_id % 7 AS STRING)) END AS descriptor, n_name AS city
 FROM events JOIN nation ON n_nationkey = (user_id + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END) % 25
 """
 
@@ -61,10 +61,12 @@ FROM supplier
 
 FIXTURE_SQL["lookup"] = """
 SELECT concat(kind, CAST(n AS STRING), CASE WHEN n % 100 BETWEEN 11 AND 19 THEN 'th' WHEN n % 10 = 1 THEN 'st'
-    WHEN n % 10 = 2 THEN 'nd' WHEN n % 10 = 3 THEN 'rd' ELSE 'th' END, tail) AS name, CAST(10000 + n % 3 AS STRING) AS postcode
-FROM (SELECT p_partkey AS n, 'WEST ' AS kind, ' ST' AS tail FROM part WHERE p_partkey % 7 <> 3
-  UNION ALL SELECT p_partkey AS n, '' AS kind, ' ST' AS tail FROM part WHERE p_partkey BETWEEN 108 AND 113
-  UNION ALL SELECT p_partkey AS n, '' AS kind, ' AVE' AS tail FROM part WHERE p_partkey BETWEEN 1 AND 12) x
+    WHEN n % 10 = 2 THEN 'nd' WHEN n % 10 = 3 THEN 'rd' ELSE 'th' END, tail) AS name,
+  CASE WHEN kind <> '' AND n % 11 = 5 THEN NULL WHEN kind <> '' AND n % 11 = 6 THEN '  ' WHEN n % 4 = 1 THEN concat(' ', CAST(10000 + n % 3 AS STRING))
+    ELSE CAST(10000 + n % 3 AS STRING) END AS postcode
+FROM (SELECT p_partkey AS n, CASE WHEN p_partkey % 7 = 3 THEN 'W ' ELSE 'WEST ' END AS kind, ' ST' AS tail FROM part
+  UNION ALL SELECT p_partkey AS n, '' AS kind, CASE WHEN p_partkey % 7 = 2 THEN ' STREET' ELSE ' ST' END AS tail FROM part
+  UNION ALL SELECT p_partkey AS n, '' AS kind, CASE WHEN p_partkey % 13 = 0 THEN ' AVENUE' ELSE ' AVE' END AS tail FROM part) x
 UNION ALL SELECT 'AVE OF THE AMERICAS' AS name, '10001' AS postcode
 """
 
@@ -87,15 +89,23 @@ SELECT concat_ws(',', CAST(event_id AS STRING),
     lpad(CAST(minute(ts) AS STRING), 2, '0'), ':00 ', CASE WHEN hour(ts) < 12 THEN 'AM' ELSE 'PM' END) END,
   '', 'DOT', 'Dept',
   CASE WHEN event_type = 'signup' THEN 'Street Sign - Missing' WHEN event_type = 'error' THEN 'Noise - Street' ELSE 'Street Condition' END,
-  CASE WHEN event_type = 'signup' THEN 'No Parking, Standing, Stopping' WHEN event_type = 'view' THEN 'Rough, Pitted' ELSE 'Pothole' END,
+  CASE WHEN event_type = 'signup' THEN 'No Parking, Standing, Stopping' WHEN event_type = 'view' THEN 'Rough, Pitted' WHEN event_id % 13 = 4 THEN '' ELSE 'Pothole' END,
   'Street', CASE WHEN event_id % 29 = 0 THEN '' ELSE lpad(CAST(user_id AS STRING), 5, '0') END,
   'addr', 'street', 'c1', 'c2', 'i1', 'i2', 'type', concat('CITY ', CAST(user_id % 5 AS STRING)), 'lm', 'fac') AS value
 FROM events
 """
 
-
-# Date bounds for the test tables (the city preset uses 2012-2013).
-INCIDENT_RANGE = ("1996-01-01 00:00:00", "1997-12-31 23:59:00")
+# Hourly segment counts as lines: id, segment, three names, two unused fields, 24 hours; an hour without traffic is
+# empty or no number, and the names of a segment's later lines differ from its first.
+FIXTURE_SQL["raw_segment"] = """
+SELECT concat_ws(',', CAST(line AS STRING), CAST(segment AS STRING),
+  concat(CASE WHEN line % 5 = 2 THEN ' EAST ' ELSE ' WEST ' END, CAST(segment AS STRING), ' ST'),
+  CASE WHEN segment % 10 = 0 THEN 'AVE OF THE AMER' ELSE concat(CAST(segment % 13 + 1 AS STRING), ' AVE') END,
+  concat(CAST(segment % 7 + 108 AS STRING), ' ST '), 'NB', CAST(day AS STRING),
+  HOURS) AS value
+FROM (SELECT min(event_id) AS line, user_id AS segment, CAST(ts AS DATE) AS day, COUNTS FROM events GROUP BY user_id, CAST(ts AS DATE)) x
+""".replace("HOURS", ", ".join(f"CASE WHEN c{i} = 0 THEN {chr(39)*2 if i % 2 else chr(39) + 'n/a' + chr(39)} ELSE CAST(c{i} AS STRING) END" for i in range(24))
+            ).replace("COUNTS", ", ".join(f"sum(CASE WHEN hour(ts) = {i} THEN 1 ELSE 0 END) AS c{i}" for i in range(24)))
 
 
 def tables_of(name: str) -> list[str]:

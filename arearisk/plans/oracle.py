@@ -51,11 +51,14 @@ MEAS = P.MEASURES
 
 # ----------------------------------------------------------- CTE fragments
 
-INC_CLEAN = (f"inc AS (SELECT * FROM incident WHERE {ts_between('ts', P.TEST_INCIDENT_RANGE)} "
-             f"AND area IS NOT NULL AND area <> '')")
-REQ_CLEAN = (f"req AS (SELECT * FROM request WHERE {ts_between('ts', P.TEST_REQUEST_RANGE)} "
-             f"AND area IS NOT NULL AND area <> '' AND city IS NOT NULL AND city <> '' "
-             f"AND contains(kind, 'Street') AND NOT contains(kind, 'Noise'))")
+INC_KEPT = "area IS NOT NULL AND area <> ''"
+REQ_KEPT = ("area IS NOT NULL AND area <> '' AND city IS NOT NULL AND city <> '' "
+            "AND contains(kind, 'Street') AND NOT contains(kind, 'Noise')")
+# whole tables for the operators, the report's period for the composed reports
+INC_CLEAN = f"inc AS (SELECT * FROM incident WHERE {INC_KEPT})"
+REQ_CLEAN = f"req AS (SELECT * FROM request WHERE {REQ_KEPT})"
+INC_PERIOD = f"inc AS (SELECT * FROM incident WHERE {ts_between('ts', P.TEST_INCIDENT_RANGE)} AND {INC_KEPT})"
+REQ_PERIOD = f"req AS (SELECT * FROM request WHERE {ts_between('ts', P.TEST_REQUEST_RANGE)} AND {REQ_KEPT})"
 
 NONEMPTY_VEH = " + ".join(f"(CASE WHEN {v} IS NOT NULL AND {v} <> '' THEN 1 ELSE 0 END)" for v in VEH)
 
@@ -98,14 +101,14 @@ INC_REPORT = (
     "GROUP BY t.area, t.total_accidents, t.total_vehicles, t.total_per_i, t.total_per_k, "
     "t.total_ped_i, t.total_ped_k, t.total_cyc_i, t.total_cyc_k, t.total_mot_i, t.total_mot_k)")
 
-INC_CHAIN = [INC_CLEAN, INC_TOTALS, INC_COUNTS, INC_RANKED, INC_REPORT]
+INC_CHAIN = [INC_PERIOD, INC_TOTALS, INC_COUNTS, INC_RANKED, INC_REPORT]
 
 REQ_COUNTS = (
     "req_cnt AS (SELECT area, dim, category, count(*) AS n FROM ("
     "SELECT area, 'complaint' AS dim, upper(kind) AS category FROM req "
-    "UNION ALL SELECT area, 'descriptor', descriptor FROM req "
+    "UNION ALL SELECT area, 'descriptor', coalesce(descriptor, '') FROM req "
     "UNION ALL SELECT area, 'city', city FROM req) u "
-    "WHERE category IS NOT NULL AND category <> '' GROUP BY area, dim, category)")
+    "WHERE dim = 'descriptor' OR (category IS NOT NULL AND category <> '') GROUP BY area, dim, category)")
 REQ_RANKED = (
     "req_rank AS (SELECT *, row_number() OVER (PARTITION BY area, dim ORDER BY n DESC, category ASC) AS rk, "
     "count(*) OVER (PARTITION BY area, dim) AS width FROM req_cnt)")
@@ -116,20 +119,14 @@ REQ_REPORT = (
     + ", coalesce(max(CASE WHEN r.dim = 'city' AND r.rk = 1 THEN r.category END), '') AS city "
     "FROM (SELECT area, count(*) AS total_complaints FROM req GROUP BY area) t "
     "LEFT JOIN req_rank r ON t.area = r.area GROUP BY t.area, t.total_complaints)")
-REQ_CHAIN = [REQ_CLEAN, REQ_COUNTS, REQ_RANKED, REQ_REPORT]
-
-VOL_ROWS = (
-    "vol_rows AS ("
-    "SELECT trim(string_split(area_expr, ';')[1]) AS area, vehicles // 2 AS vehicles, samples // 2 AS samples "
-    "FROM volume WHERE NOT contains(area_expr, 'NY') AND contains(area_expr, ';') "
-    "UNION ALL SELECT trim(string_split(area_expr, ';')[2]), vehicles // 2, samples // 2 "
-    "FROM volume WHERE NOT contains(area_expr, 'NY') AND contains(area_expr, ';') "
-    "UNION ALL SELECT trim(string_split(area_expr, ':')[1]), vehicles // 2, samples // 2 "
-    "FROM volume WHERE NOT contains(area_expr, 'NY') AND NOT contains(area_expr, ';') AND contains(area_expr, ':') "
-    "UNION ALL SELECT trim(string_split(area_expr, ':')[2]), vehicles // 2, samples // 2 "
-    "FROM volume WHERE NOT contains(area_expr, 'NY') AND NOT contains(area_expr, ';') AND contains(area_expr, ':') "
-    "UNION ALL SELECT area_expr, vehicles, samples FROM volume WHERE NOT contains(area_expr, 'NY') "
-    "AND NOT contains(area_expr, ';') AND NOT contains(area_expr, ':'))")
+REQ_CHAIN = [REQ_PERIOD, REQ_COUNTS, REQ_RANKED, REQ_REPORT]
+
+MULTI_KEYS = (
+    "SELECT CASE WHEN n = 1 THEN part ELSE trim(part) END AS area, vehicles // n AS vehicles, samples // n AS samples FROM ("
+    "SELECT unnest(parts) AS part, len(parts) AS n, vehicles, samples FROM (SELECT vehicles, samples, "
+    "CASE WHEN contains(area_expr, ';') THEN string_split(area_expr, ';') WHEN contains(area_expr, ':') THEN string_split(area_expr, ':') "
+    "ELSE [area_expr] END AS parts FROM volume WHERE {where}) p) u")
+VOL_ROWS = "vol_rows AS (" + MULTI_KEYS.format(where="NOT contains(area_expr, 'NY')") + ")"
 VOL_REPORT = (
     "vol_rep AS (SELECT area, CASE WHEN sum(samples) = 0 THEN NULL "
     f"ELSE CAST(sum(vehicles) // sum(samples) * {P.DAYS_IN_PERIOD} AS BIGINT) END AS volume "
@@ -207,7 +204,7 @@ def is_int_sql(x: str) -> str:
 
 
 def lenient_sql(x: str) -> str:
-    return f"CASE WHEN {is_int_sql(x)} THEN CAST(trim({x}) AS BIGINT) ELSE 0 END"
+    return f"CASE WHEN {is_int_sql(x)} THEN coalesce(TRY_CAST(trim({x}) AS BIGINT), 0) ELSE 0 END"
 
 
 def ordinal_sql(x: str) -> str:
@@ -231,7 +228,7 @@ RR_REALIGN = (
 
 STREET_NAMED = ("st_n AS (SELECT segment, " + ordinal_sql("roadway") + " AS road, " + ordinal_sql("from_name")
                 + " AS start, " + ordinal_sql("to_name") + " AS \"end\", vehicles, samples FROM street)")
-LOOKUP_ONE = "lk AS (SELECT name, min(postcode) AS postcode FROM lookup GROUP BY name)"
+LOOKUP_ONE = "lk AS (SELECT trim(name) AS name, min(trim(postcode)) AS postcode FROM lookup WHERE trim(coalesce(postcode, '')) <> '' GROUP BY 1)"
 RESOLVED = ("res AS (SELECT s.segment, s.vehicles, s.samples, a.postcode AS road_zip, b.postcode AS start_zip, "
             "c.postcode AS end_zip FROM st_n s JOIN lk a ON s.road = a.name JOIN lk b ON s.start = b.name "
             "JOIN lk c ON s.\"end\" = c.name)")
@@ -264,3 +261,18 @@ RANK_LISTS = "lists AS (" + " UNION ALL ".join(
     f"CAST({m} AS DOUBLE) AS value, prof.* FROM prof"
     for m in P.RATE_COLUMNS for d, o in (("top", "DESC"), ("bottom", "ASC"))) + ")"
 RANK_SELECT = "SELECT * FROM lists WHERE rank <= 10"
+
+# ------------------------------------------------- the reports from raw lines
+
+INC_FROM_LINES = ("inc AS (SELECT * FROM (SELECT area, try_strptime(date || ' ' || time, '%m/%d/%Y %H:%M') AS ts, "
+                  + ", ".join(f"CAST(trim({m}) AS INTEGER) AS {m}" for m in MEAS) + ", " + ", ".join(FAC + VEH)
+                  + f" FROM ri_f) r WHERE {ts_between('ts', P.TEST_INCIDENT_RANGE)} AND {INC_KEPT})")
+INC_LINE_CHAIN = [RI, INC_FIELDS_SQL, INC_FROM_LINES, INC_TOTALS, INC_COUNTS, INC_RANKED, INC_REPORT]
+REQ_FROM_LINES = ("req AS (SELECT * FROM (SELECT area, try_strptime(created, '%m/%d/%Y %I:%M:%S %p') AS ts, kind, descriptor, city FROM rr_a) r "
+                  f"WHERE {ts_between('ts', P.TEST_REQUEST_RANGE)} AND {REQ_KEPT})")
+REQ_LINE_CHAIN = [RR, RR_REALIGN, REQ_FROM_LINES, REQ_COUNTS, REQ_RANKED, REQ_REPORT]
+SEG_LINES = ("sl AS (SELECT CAST(f[1] AS BIGINT) AS line, trim(f[2]) AS segment, trim(f[3]) AS roadway, trim(f[4]) AS from_name, "
+             "trim(f[5]) AS to_name, " + " + ".join(lenient_sql(f"f[{i + 1}]") for i in P.SEGMENT_HOUR_FIELDS)
+             + " AS vehicles FROM (SELECT string_split(value, ',') AS f FROM raw_segment) r)")
+SEG_FIRST = ("seg AS (SELECT segment, arg_min(roadway, line) AS roadway, arg_min(from_name, line) AS from_name, "
+             "arg_min(to_name, line) AS to_name, CAST(sum(vehicles) AS BIGINT) AS vehicles, count(*) AS samples FROM sl GROUP BY segment)")

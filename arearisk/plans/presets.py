@@ -22,8 +22,9 @@ SEGMENT_HEADER_MARKER = "Segment ID"
 REQUEST_INCLUDE, REQUEST_EXCLUDE = "Street", "Noise"
 TWO_SHIFT_MARKER = "Street Sign"
 MALFORMED_KEY_MARKER = "NY"
-INCIDENT_TS_FORMAT = "M/d/yyyy H:mm"
-REQUEST_TS_FORMAT = "MM/dd/yyyy hh:mm:ss a"
+# Date-time formats that are tried in this order.
+INCIDENT_TS_FORMATS = ["M/d/yyyy H:mm", "M/d/yyyy h:mm:ss a", "yyyy-MM-dd H:mm"]
+REQUEST_TS_FORMATS = ["M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm", "yyyy-MM-dd'T'HH:mm:ss.SSS", "yyyy-MM-dd HH:mm:ss"]
 
 # Collision record: 29 fields, 30 when the quoted location is cut at its comma;
 # from index 10 on every field then moves right by one.
@@ -40,6 +41,7 @@ INCIDENT_VEHICLE_FIELDS = {f"veh_{i}": 23 + i for i in range(1, 6)}
 REQUEST_FIELDS = {"date": 1, "kind": 5, "descriptor": 6, "area": 8, "city": 16}
 
 # Hourly segment counts: id, three names, then 24 hourly counts.
+SEGMENT_LINE_FIELD = 0
 SEGMENT_FIELDS = {"segment": 1, "roadway": 2, "from_name": 3, "to_name": 4}
 SEGMENT_HOUR_FIELDS = list(range(7, 31))
 

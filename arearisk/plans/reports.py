@@ -14,9 +14,9 @@ Scale notes
   per-area fold that follows moves only those rows.
 * The three summaries are per-area and small; AQE broadcasts them in the
   join when their measured size allows and sort-merges otherwise.
-* The joined per-area profile is written as a Parquet table in the shared
-  folder before classification (a lineage cut); the bounds are a one-row
-  scalar subquery over that small table, executed once.
+* The joined per-area profile is small and persisted (lazily) for
+  classification; the bounds are a one-row scalar subquery over it, executed
+  once. Nothing runs while a plan is built.
 """
 
 from __future__ import annotations
@@ -35,7 +35,6 @@ from arearisk.operators.joins import join_three_way, resolve_names
 from arearisk.operators.keys import apportion_by_agreement, explode_multi_key
 from arearisk.operators.topk import tier_width
 from arearisk.plans import presets as P
-from arearisk.session import cut_lineage
 
 TOTALS = "__totals__"
 KEY = "area"
@@ -44,12 +43,13 @@ KEY = "area"
 # ------------------------------------------------------------ shared pieces
 
 def profile_by_key(df: DataFrame, key: str, sums: dict[str, object],
-                   slots: list[tuple[object, object]]) -> DataFrame:
+                   slots: list[tuple[object, object]], labels: tuple[str, ...] = ()) -> DataFrame:
     """One-pass per-key profile ``(key, dim, category, n, sums...)``.
 
     For each input row: one ``dim = '__totals__'`` row carrying the measures
     in ``sums`` (name -> column), and one row per ``(dim, category)`` pair of
-    ``slots``; empty or NULL categories are dropped. ``n`` counts rows. The
+    ``slots``; empty or NULL categories are dropped, except in the dims of
+    ``labels``, where an empty value is a category too. ``n`` counts rows. The
     aggregate runs partial before its shuffle, so the exploded rows collapse
     inside each map task.
     """
@@ -62,10 +62,10 @@ def profile_by_key(df: DataFrame, key: str, sums: dict[str, object],
     nulls = [F.lit(None).cast("bigint").alias(s) for s in sums]
     structs = [F.struct(F.lit(TOTALS).alias("dim"), F.lit("").alias("category"),
                         *[c_(c).cast("bigint").alias(s) for s, c in sums.items()])]
-    structs += [F.struct(d_(d).alias("dim"), c_(c).cast("string").alias("category"), *nulls)
+    structs += [F.struct(d_(d).alias("dim"), F.coalesce(c_(c).cast("string"), F.lit("")).alias("category"), *nulls)
                 for d, c in slots]
     long = df.select(key, F.explode(F.array(*structs)).alias("_p")).select(key, "_p.*")
-    long = long.filter((F.col("dim") == TOTALS) | nonempty("category"))
+    long = long.filter(F.col("dim").isin(TOTALS, *labels) | nonempty("category"))
     return long.groupBy(key, "dim", "category").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(s).cast("bigint").alias(s) for s in sums])
 
@@ -108,7 +108,7 @@ def entry_label(c: str, total: str) -> F.Column:
 
 # -------------------------------------------------------------- incidents
 
-def clean_incidents(inc: DataFrame, lo: str | None, hi: str | None, key: str = KEY) -> DataFrame:
+def clean_incidents(inc: DataFrame, lo: str | None = None, hi: str | None = None, key: str = KEY) -> DataFrame:
     """Date range (skipped when ``lo`` is None) and non-empty key."""
     dated = inc if lo is None else filter_date_range(inc, "ts", lo, hi)
     return filter_nonempty(dated, key)
@@ -153,17 +153,17 @@ def incidents_by_area(inc: DataFrame, key: str = KEY, ignore=None, tiers=None) -
 
 # --------------------------------------------------------------- requests
 
-def clean_requests(req: DataFrame, lo: str, hi: str, key: str = KEY) -> DataFrame:
-    """Date range, non-empty key and city, street-but-not-noise complaint types."""
-    r = filter_nonempty(filter_date_range(req, "ts", lo, hi), key, "city")
+def clean_requests(req: DataFrame, lo: str | None = None, hi: str | None = None, key: str = KEY) -> DataFrame:
+    """Date range (skipped when ``lo`` is None), non-empty key and city, street-but-not-noise complaint types."""
+    r = filter_nonempty(req if lo is None else filter_date_range(req, "ts", lo, hi), key, "city")
     return r.filter(text_filter("kind", P.REQUEST_INCLUDE, P.REQUEST_EXCLUDE))
 
 
 def requests_by_area(req: DataFrame, key: str = KEY) -> DataFrame:
     """11-column complaint summary per area: total, top 3 types (upper case),
-    top 5 descriptors, and the most frequent city (ties by name)."""
+    top 5 descriptors (an empty one counts and ranks), and the most frequent city (ties by name)."""
     prof = profile_by_key(req, key, {}, [("complaint", upper_label("kind")),
-                                         ("descriptor", "descriptor"), ("city", "city")])
+                                         ("descriptor", "descriptor"), ("city", "city")], labels=("descriptor",))
     j = summarize_profile(prof, key, {"total_complaints": "n"},
                           {"complaint": ("c", 3, P.TIERS_THREE), "descriptor": ("d", 5, P.TIERS_FIVE),
                            "city": ("city", 1, [(1, 1)])})
@@ -222,12 +222,10 @@ def area_profile(volume: DataFrame, incidents: DataFrame, requests: DataFrame, k
         *PROFILE_COLUMNS[6:])
 
 
-def area_risk(profile: DataFrame, checkpoint: bool = True) -> DataFrame:
-    """28-column classified report. The per-area profile is cut from its
-    lineage first, so the bounds and the rows read one small table."""
-    if checkpoint:
-        profile = cut_lineage(profile, "area-profile")
-    c = classify_three_level(profile, "accidents_per_1000_vehicles", "injuries_per_1000_accidents",
+def area_risk(profile: DataFrame) -> DataFrame:
+    """28-column classified report, lazy. The bounds and the rows read the same per-area profile, which is marked for
+    persisting so that one run of the plan computes it once."""
+    c = classify_three_level(profile.persist(), "accidents_per_1000_vehicles", "injuries_per_1000_accidents",
                              "deaths_per_1000_accidents", out="safety_class")
     return c.select("city", KEY, "safety_class", *PROFILE_COLUMNS[2:])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -24,7 +25,7 @@ DEFAULT_CONF = {
 }
 
 
-# Starting points for a large cluster (pass as ``extra``): many initial shuffle
+# Starting points for a large cluster, for ``get_session(extra=SCALE_CONF)``: many initial shuffle
 # partitions that AQE coalesces to ~256 MB each, 256 MB input splits, and a
 # broadcast threshold that keeps every broadcast side size-checked and small.
 SCALE_CONF = {
@@ -73,6 +74,9 @@ def shared_dir(spark: SparkSession) -> str:
     if sc is not None:
         d = sc.getCheckpointDir() or d
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="arearisk-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(d)

@@ -6,33 +6,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _writer(df: DataFrame, single_file: bool):
-    # One output file only for small, already-aggregated reports.
-    return (df.coalesce(1) if single_file else df).write.mode("overwrite")
+def _writer(df: DataFrame, single_file: bool, mode: str):
+    # One file only for results bounded by construction (statistics, top-10 lists): it is written by one task, behind
+    # a shuffle so that the stages before it keep their tasks.
+    return (df.repartition(1) if single_file else df).write.mode(mode)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, header: bool = True) -> str:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, header: bool = True,
+              mode: str = "error") -> str:
     """Flat CSV with one header line per file; fields with commas are quoted and
     quotes doubled (RFC 4180), which ``read_quoted_csv`` reads back unchanged."""
-    (_writer(df, single_file).option("header", header).option("quote", '"').option("escape", '"')
+    (_writer(df, single_file, mode).option("header", header).option("quote", '"').option("escape", '"')
      .option("emptyValue", "").csv(path))
     return path
 
 
-def write_records(df: DataFrame, path: str, single_file: bool = False) -> str:
+def write_records(df: DataFrame, path: str, single_file: bool = False, mode: str = "error") -> str:
     """One JSON record per row (top/bottom lists, statistics)."""
-    _writer(df, single_file).json(path)
+    _writer(df, single_file, mode).json(path)
     return path
 
 
-def write_lines(df: DataFrame, path: str, sep: str = ",", single_file: bool = False) -> str:
+def write_lines(df: DataFrame, path: str, sep: str = ",", single_file: bool = False,
+                mode: str = "error") -> str:
     """Header-less lines, fields joined by ``sep`` in column order."""
     line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
-    _writer(df.select(line.alias("value")), single_file).text(path)
+    _writer(df.select(line.alias("value")), single_file, mode).text(path)
     return path
 
 
 def write_facts(df: DataFrame, path: str, drop: tuple[str, ...] = ("unique_key", "location"),
-                single_file: bool = False) -> str:
+                single_file: bool = False, mode: str = "error") -> str:
     """Cleaned per-record facts without the listed columns, as CSV with header."""
-    return write_csv(df.drop(*drop), path, single_file=single_file)
+    return write_csv(df.drop(*drop), path, single_file=single_file, mode=mode)

@@ -2,72 +2,23 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
-from arearisk.session import app_key
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# A source smaller than this is never worth spreading over more tasks.
-SPREAD_MIN_BYTES = 1 << 20
-
-
 def table_path(data_dir: str, name: str) -> str:
     return f"{data_dir.rstrip('/')}/{name}.parquet"
 
 
-def stored_bytes(df: DataFrame) -> int | None:
-    """Bytes of the files behind a scan when they are local files; None when
-    the store is remote (then the size gate is not applied)."""
-    total = 0
-    for f in df.inputFiles():
-        if not f.startswith("file:"):
-            return None
-        local = f[5:].lstrip("/")
-        total += os.path.getsize("/" + local)
-    return total
-
+def load_table(spark: SparkSession, data_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it.
 
-def spread(df: DataFrame, spark: SparkSession, size_bytes: int | None) -> DataFrame:
-    """Parallelism guard for under-split sources.
-
-    A file with one large row group is read by one task, which would run the
-    whole map side of every plan on one core. When a non-trivial source has
-    fewer read partitions than the cluster's default parallelism, rows are
-    dealt round-robin to that many partitions (one shuffle of the pruned
-    columns; deterministic on retry). Big inputs already have thousands of
-    splits, so at scale this is a no-op.
+    ``partitions`` deals an under-split source to that many partitions; by default the scan's own splits
+    (``spark.sql.files.maxPartitionBytes``) stand.
     """
-    try:
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= want:
-            return df
-    except Exception:  # remote (Connect) sessions: no partition count; leave the scan as is
-        return df
-    if size_bytes is not None and size_bytes < SPREAD_MIN_BYTES:
-        return df
-    return df.repartition(want)
-
-
-# Loaded scans per (application, path): reading a Parquet schema costs a
-# small job, so each table is opened once per session and its lazy plan reused.
-_LOADED: dict[tuple[str, str, bool], DataFrame] = {}
-
-
-def load_table(spark: SparkSession, data_dir: str, name: str, spread_small_splits: bool = True) -> DataFrame:
-    """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it."""
-    path = table_path(data_dir, name)
-    key = (app_key(spark), path, spread_small_splits)
-    df = _LOADED.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        if spread_small_splits:
-            df = spread(df, spark, stored_bytes(df))
-        _LOADED[key] = df
-    return df
+    df = spark.read.parquet(table_path(data_dir, name))
+    return df.repartition(partitions) if partitions else df
 
 
 def register_tables(spark: SparkSession, data_dir: str, names=TABLES) -> None:

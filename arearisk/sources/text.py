@@ -80,6 +80,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
                        for c, f in zip(cols, schema.fields)])
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Bernoulli sample without replacement (the sampling operator itself)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, key: list[str], keep: int, of: int) -> DataFrame:
+    """Sample without replacement: rows whose key hash (first 8 hex digits of md5) modulo ``of`` is below ``keep``.
+
+    The draw depends on the key alone, so it is the same for any partitioning.
+    """
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in key])
+    digest = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return df.filter(digest % F.lit(of) < F.lit(keep))

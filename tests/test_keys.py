@@ -7,10 +7,10 @@ from conftest import rows
 
 def test_explode_multi_key(spark):
     df = spark.createDataFrame([("11220;11204", 39294, 6), ("10309:10312", 45001, 8), ("10001", 5, 1),
-                                ("10010: 10011", 7, 3)], "area_expr string, vehicles long, samples long")
+                                ("10010: 10011", 7, 3), ("1;2; 3", 90, 7)], "area_expr string, vehicles long, samples long")
     got = rows(explode_multi_key(df, "area_expr", ["vehicles", "samples"], out="area"))
-    assert got == [("10001", 5, 1), ("10010", 3, 1), ("10011", 3, 1), ("10309", 22500, 4), ("10312", 22500, 4),
-                   ("11204", 19647, 3), ("11220", 19647, 3)]
+    assert got == [("1", 30, 2), ("10001", 5, 1), ("10010", 3, 1), ("10011", 3, 1), ("10309", 22500, 4), ("10312", 22500, 4),
+                   ("11204", 19647, 3), ("11220", 19647, 3), ("2", 30, 2), ("3", 30, 2)]
 
 
 def test_volume_rejects_ny_and_merges(spark):

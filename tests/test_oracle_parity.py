@@ -4,7 +4,7 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from arearisk.plans.registry import ORACLE, QUERIES
 from arearisk.sources.tables import TABLES, table_path
 from conftest import SF001
 from tools.oracle_check import digest
@@ -12,8 +12,6 @@ from tools.oracle_check import digest
 # Spark type name -> DuckDB type name
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT",
          "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
 
 
 @pytest.fixture(scope="module")

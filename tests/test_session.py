@@ -1,7 +1,8 @@
-"""Shared folder, lineage cuts and the parallelism guard."""
+"""Shared folder, lineage and lineage cuts."""
+
+import pytest
 
 from arearisk.session import cut_lineage, local_path, shared_dir
-from arearisk.sources.tables import SPREAD_MIN_BYTES, spread
 from conftest import rows
 
 
@@ -18,10 +19,19 @@ def test_cut_lineage_round_trip(spark):
     assert files and all(f.startswith(base) and f.endswith(".parquet") for f in files)
 
 
-def test_spread_guard(spark):
-    one = spark.range(1000).coalesce(1)
-    want = spark.sparkContext.defaultParallelism
-    assert spread(one, spark, SPREAD_MIN_BYTES * 4).rdd.getNumPartitions() == want
-    assert spread(one, spark, 10).rdd.getNumPartitions() == 1            # too small to be worth it
-    many = spark.range(1000).repartition(want)
-    assert spread(many, spark, SPREAD_MIN_BYTES * 4).rdd.getNumPartitions() == want  # already split
+def test_shared_dir_needs_a_setting_on_a_cluster():
+    from arearisk.session import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
