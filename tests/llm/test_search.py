@@ -69,7 +69,8 @@ def shingles(t):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def brute_components(rows):
+def brute_groups(rows):
+    """(shingle set, number of its component) of each row."""
     sets = [shingles(t) for _, t in rows]
     top = list(range(len(rows)))
 
@@ -84,11 +85,16 @@ def brute_components(rows):
             if sets[i] and sets[j] and 100 * both >= 80 * either:
                 a, b = find(i), find(j)
                 top[max(a, b)] = min(a, b)
+    return [(s, find(k)) for k, s in enumerate(sets)]
+
+
+def brute_components(rows):
+    found = brute_groups(rows)
     groups = {}
-    for k, (i, _) in enumerate(rows):
-        groups.setdefault(find(k), []).append(i)
+    for (i, _), (_, g) in zip(rows, found):
+        groups.setdefault(g, []).append(i)
     ids = {g: min((x for x in v if x is not None), default=None) for g, v in groups.items()}
-    return [(i, len(sets[k]), ids[find(k)] if sets[k] else i) for k, (i, _) in enumerate(rows)]
+    return [(i, len(s), ids[g] if s else i) for (i, _), (s, g) in zip(rows, found)]
 
 
 def edits(base, seed, share):
