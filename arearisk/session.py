@@ -84,10 +84,25 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+# Locations handed out per application, for ``drop_scratch``.
+_MADE: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused location under the shared folder."""
-    base = shared_dir(spark)
-    return base.rstrip("/") + "/" + f"{label}-{uuid.uuid4().hex}"
+    path = shared_dir(spark).rstrip("/") + "/" + f"{label}-{uuid.uuid4().hex}"
+    _MADE.setdefault(app_key(spark), []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete every location that this application got from ``fresh_path``; call it when no frame that reads them is
+    needed any more. Returns how many there were."""
+    made = _MADE.pop(app_key(spark), [])
+    for path in made:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(made)
 
 
 def local_path(path: str) -> str:

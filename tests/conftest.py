@@ -18,6 +18,9 @@ def spark():
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="arearisk-test-ckpt-"))
     yield s
+    from arearisk.session import drop_scratch
+
+    drop_scratch(s)
     s.stop()
 
 

@@ -19,6 +19,18 @@ def test_cut_lineage_round_trip(spark):
     assert files and all(f.startswith(base) and f.endswith(".parquet") for f in files)
 
 
+def test_scratch_is_dropped(spark):
+    import os
+
+    from arearisk.session import _MADE, app_key, drop_scratch
+
+    others = _MADE.pop(app_key(spark), [])
+    cut = cut_lineage(spark.range(3), "t-drop")
+    (path,) = {os.path.dirname(local_path(f)) for f in cut.inputFiles()}
+    assert drop_scratch(spark) == 1 and not os.path.exists(path)
+    _MADE[app_key(spark)] = others
+
+
 def test_shared_dir_needs_a_setting_on_a_cluster():
     from arearisk.session import shared_dir
 

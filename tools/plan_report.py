@@ -58,7 +58,7 @@ def summary(text: str) -> dict:
         "hash": args.count("hashpartitioning"),
         "range": args.count("rangepartitioning"),
         "single": args.count("SinglePartition"),
-        "spread": args.count("RoundRobinPartitioning"),
+        "persisted": names.count("InMemoryTableScan"),
         "broadcast": names.count("BroadcastExchange"),
         "reused": names.count("ReusedExchange"),
         "pushed": "yes" if pushed else "-",
@@ -70,25 +70,24 @@ def summary(text: str) -> dict:
 
 def main() -> None:
     d = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
+    from arearisk.plans.registry import QUERIES
     spark = get_session("local[8]", 8)
-    cols = ["scans", "hash", "range", "single", "spread", "broadcast", "reused", "pushed", "group_limit",
+    cols = ["scans", "hash", "range", "single", "persisted", "broadcast", "reused", "pushed", "group_limit",
             "take_ordered", "python_udf"]
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `tools/plan_report.py {d}` from the final adaptive plans (after execution, "
-          "so exchanges that AQE reuses are counted under `reused`, not again). `hash`/`range`/`single` count shuffle exchanges. `spread` is the round-robin "
-          "parallelism guard, present only for the driver's single-row-group test files. `broadcast` "
+          "so exchanges that AQE reuses are counted under `reused`, not again). `hash`/`range`/`single` count shuffle exchanges. `persisted` counts reads of "
+          "the per-area profile that a query persists: its own plan is that of `report_area_profile`, run once. `broadcast` "
           "counts broadcasts chosen by the planner's size check (no hints). `pushed` means filters "
           "reached a scan.\n")
     print("How to read it: a per-area sub-report has one scan per source table and three hash exchanges. "
           "They are the partial profile aggregate, the rank window (partial `WindowGroupLimit` before it) and "
           "the small per-area fold. The joined profile therefore has 3 + 3 + 1, and AQE turns its joins into "
-          "broadcasts after measuring the per-area sides. Queries that start from the cut profile "
-          "(`report_area_risk`, `classify_three_level`) read one small Parquet table. Raw-line queries "
-          "scan text files and have no exchange.\n")
+          "broadcasts after measuring the per-area sides. Raw-line queries derive their lines from the "
+          "table's scan and have no exchange; scan and sink queries write and read back, as that is what they do.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("| --- | " + " | ".join("---" for _ in cols) + " |")
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         df = fn(spark, d)
         df.collect()                       # the final adaptive plan is attached after execution
         s = summary(plan_text(df))
