@@ -53,11 +53,12 @@ def test_sentences_are_located_from_document_labels():
         rows.append(". ".join(parts))
         labels.append(k % 4 == 0)
     model = toxicity.fit(bags_of(rows), np.array(labels))
-    text = "ab cd. efgh nastyful ijk. lmno ab"
-    data, offs = C.text_buffers(pa.array([text, None, ""]))
+    text = "ab cd. efgh nastyful ijk. lmno ab"  # a form of the word that no document holds
+    data, offs = C.text_buffers(pa.array([text, None, "", "ab nastyest cd"]))
     score, each, bounds, starts, ends = toxicity.score_block(data, offs, model)
-    assert score[0] > 0.9 and score[1] == score[2] == 0
-    assert text[starts[each.argmax()]:ends[each.argmax()]] == "efgh nastyful ijk"
+    assert score[0] >= toxicity.THRESHOLD and score[1] == score[2] == 0 and score[3] > 0.9
+    worst = each[:bounds[1]].argmax()
+    assert text[starts[worst]:ends[worst]] == "efgh nastyful ijk"
     noisy_or = 1 - np.prod(1 - each[bounds[0]:bounds[1]])
     assert score[0] == pytest.approx(noisy_or)
 
