@@ -119,10 +119,12 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7) -> Model:
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.pmod(C.id_hash(id_col), F.lit(FOLDS)) != HELD_OUT))
-    key = F.xxhash64("id")
-    picked = (rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-              .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(key, "id")))
-              .where(F.col("place") <= per_language).select("id", "lang").distinct())  # bounded per language
+    drawn = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).withColumn("draw", F.pmod(F.xxhash64("id"), F.lit(1_000_000)))
+    # the share of each language that holds about twice its bound, so that few rows of a language meet in its window
+    shares = drawn.groupBy("lang").agg((F.lit(2_000_000.0 * per_language) / F.count("*")).alias("limit"))
+    picked = (drawn.join(F.broadcast(shares), "lang").where("draw < limit")  # one row per language
+              .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id")))
+              .where(F.col("place") <= per_language).select("id", "lang").distinct())
     sample = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(picked, ["id", "lang"])
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
