@@ -5,8 +5,8 @@ four, five and six bytes (so unseen forms of a known stem count); a document is
 shared among its sentences by their own probabilities, and the trained sentence scores locate the offending ones.
 
 The model is fitted on the driver from a bounded sample: the ``sample`` labelled documents of the training folds with
-the smallest id hash. Executors turn them into word hashes; words in fewer than ``MIN_DOCS`` sampled documents are
-left out. The fitted table holds at most the sample's vocabulary and is broadcast. Scoring reads every whole text.
+the smallest id hash. Executors turn them into word hashes; those in fewer than ``MIN_DOCS`` sampled documents, or in
+many of label 0, are left out. The fitted table holds at most the sample's vocabulary and is broadcast. Scoring reads every whole text.
 
 Defined results: a null text or one without words scores 0. A repeated row or label counts each time; labels without
 a document, or null, are ignored. Without any label all scores are 0. Other columns pass through where a caller asks.
@@ -26,6 +26,8 @@ from . import common as C
 
 SAMPLE = 6000
 MIN_DOCS = 3
+#: features in more than this share of the sampled documents of label 0 say nothing and are left out
+MAX_SHARE = 0.2
 ROUNDS = 100
 THRESHOLD = 0.3
 #: documents whose crc32(id) leaves this remainder modulo 4 are held out
@@ -47,7 +49,7 @@ class Model:
 
 
 def features(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A row for each word: 32-bit hashes of the word and of its beginnings (the whole word where it is shorter)."""
+    """A row for each word: 32-bit hashes of the word and of its beginnings (0 where it is not longer)."""
     out = np.empty((len(starts), 1 + len(HEADS)), np.uint32)
     out[:, 0] = C.span_hashes(low, starts, _SYMBOLS) >> np.uint64(32)
     h = np.zeros(len(starts), np.uint64)
@@ -55,7 +57,7 @@ def features(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
         at = np.minimum(starts + k, max(0, len(low) - 1))
         h = np.where(starts + k < ends, h * np.uint64(0x9E3779B97F4A7C15) + _SYMBOLS[low[at]], h)
         if k + 1 in HEADS:
-            out[:, 1 + HEADS.index(k + 1)] = C.mix(h ^ np.uint64(k + 1)) >> np.uint64(32)
+            out[:, 1 + HEADS.index(k + 1)] = np.where(starts + k + 1 < ends, C.mix(h ^ np.uint64(k + 1)) >> np.uint64(32), 0)
     return out
 
 
@@ -103,18 +105,22 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: i
         return empty
     per_doc = [np.unique(w) for w, _ in bags]
     kept, seen = np.unique(np.concatenate(per_doc), return_counts=True)
-    del per_doc
-    use = kept[seen >= MIN_DOCS]
+    clean = np.concatenate([x for x, label in zip(per_doc, labels) if not label] or [kept[:0]])
+    common, times = np.unique(clean, return_counts=True)
+    common = common[times > MAX_SHARE * max(1, len(labels) - int(np.sum(labels)))]
+    del per_doc, clean
+    use = kept[(seen >= MIN_DOCS) & (kept > 0) & ~np.isin(kept, common)]
     if not len(use):
         return empty
-    place = []
-    for w, _ in bags:  # -1: too rare
+    feature, sentence, before = [], [], 0  # of the occurrences that are kept
+    for w, n in bags:
         at = np.minimum(np.searchsorted(use, w), len(use) - 1)
-        place.append(np.where(use[at] == w, at, -1).astype(np.int32))
-    place = np.concatenate(place)
+        good = use[at] == w
+        feature.append(at[good])
+        sentence.append(before + np.repeat(np.arange(len(n)), n)[good])
+        before += len(n)
+    feature, sentence = np.concatenate(feature), np.concatenate(sentence)
     lengths = np.concatenate([n for _, n in bags])
-    sentence = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
-    feature, sentence = place[place >= 0], sentence[place >= 0]
     bounds = np.concatenate(([0], np.cumsum([len(n) for _, n in bags])))
     owner = np.repeat(np.arange(len(bags)), np.diff(bounds))
     w, bias = np.zeros(len(use) + 1), -5.0  # the last weight is the bias' change
@@ -146,8 +152,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
         for batch in batches:
             for lo, hi, data, offs in C.blocks(batch.column(2)):
                 words, sentence, bounds, starts, _ = sentences(data, offs)
-                n = np.bincount(sentence, minlength=len(starts)) * words.shape[1] if len(starts) else np.zeros(0, int)
-                words = words.ravel()
+                n = np.bincount(sentence, (words > 0).sum(axis=1), minlength=len(starts)).astype(int) if len(starts) else np.zeros(0, int)
+                words = words[words > 0]
                 first = np.concatenate(([0], np.cumsum(n)))[bounds]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo).cast(pa.string()), batch.column(1).slice(lo, hi - lo),
