@@ -7,7 +7,6 @@ returns the packed pieces. ``run`` writes every stage's result to the shared fol
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from arearisk.llm import chunkdedup, fmindex, packing, segjoin, toxicity
 from arearisk.llm import common as C
