@@ -125,7 +125,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_
     picked = (drawn.join(F.broadcast(shares), "lang").where("draw < limit")  # one row per language
               .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id")))
               .where(F.col("place") <= per_language).select("id", "lang").distinct())
-    sample = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(picked, ["id", "lang"])
+    sample = (rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+              .join(F.broadcast(picked), ["id", "lang"]))  # per_language rows a language
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
