@@ -6,7 +6,6 @@ hashes and chunks are found with array operations and no per-word Python objects
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,13 +22,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: rows of an Arrow batch, where the session has Spark's own default: texts are long, and a batch is held several times
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package where their path does not hold it (as ``--py-files`` does)."""
+    """Let Python workers import this package where their path does not hold it (as ``--py-files`` does), and keep
+    Arrow batches of long texts small."""
     import os
     import tempfile
     import zipfile
     from pathlib import Path
 
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     home = Path(__file__).resolve().parents[2]
     sc = spark.sparkContext
     if str(home) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_arearisk_shipped", False):
@@ -97,10 +103,6 @@ def blocks(col: pa.Array, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, i
         lo = hi
 
 
-def take(batch: pa.RecordBatch, names: list[str], lo: int, hi: int) -> list[pa.Array]:
-    return [batch.column(batch.schema.get_field_index(n)).slice(lo, hi - lo) for n in names]
-
-
 # ---- words and hashes --------------------------------------------------------------------------------------
 
 def word_bounds(kept: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,18 +130,23 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-@functools.lru_cache(maxsize=1)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, for positions below 2^bits."""
-    out = []
-    for base in (_BASE, _INVERSE):
-        p = np.ones(1 << bits, np.uint64)
-        k, step = 1, base
-        while k < len(p):  # p[k:2k] = p[:k] * base^k
-            p[k:2 * k] = p[:k] * np.uint64(step)
-            k, step = 2 * k, step * step % (1 << 64)
-        out.append(p)
-    return out[0], out[1]
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(length: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, for at least ``length`` positions (kept for the next block)."""
+    if not _POWERS or len(_POWERS[0]) < length:
+        _POWERS[:] = [_power_table(base, max(1 << 20, 1 << int(length - 1).bit_length())) for base in (_BASE, _INVERSE)]
+    return _POWERS
+
+
+def _power_table(base: int, length: int) -> np.ndarray:
+    p = np.ones(length, np.uint64)
+    k, step = 1, base
+    while k < length:  # p[k:2k] = p[:k] * base^k
+        p[k:2 * k] = p[:k] * np.uint64(step)
+        k, step = 2 * k, step * step % (1 << 64)
+    return p
 
 
 def symbol_table(seed: int) -> np.ndarray:
@@ -150,7 +157,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, symbols: np.ndarray) -> np
     """64-bit hash of each span [start, next start); bytes whose symbol is 0 do not count."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = _powers(max(20, int(len(data) - 1).bit_length()))
+    up, down = _powers(len(data))
     first = int(starts[0])
     sums = np.add.reduceat(symbols[data[first:]] * up[first:len(data)], starts - first)
     return mix(sums * down[starts])

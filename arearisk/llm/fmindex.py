@@ -32,7 +32,7 @@ from . import common as C
 
 WIDTH = 10
 GROUP_BYTES = 8 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 SAMPLE = 8
 _SYMBOLS = C.symbol_table(31)
 _SYMBOLS[0] = 0

@@ -18,7 +18,7 @@ TOKENIZER = "byte_bpe_50k.json"
 #: pieces above this many bytes are encoded anew each time
 LONGEST_KEPT = 256
 #: a worker forgets its pieces beyond this many
-MOST_KEPT = 3_000_000
+MOST_KEPT = 500_000
 
 _KEY = C.symbol_table(11)
 _CHECK = (C.symbol_table(12) >> np.uint64(20)).astype(np.uint32)
@@ -64,23 +64,19 @@ class Encoder:
     """Ids of blocks of texts. ``encode`` gives the flat ids and each text's first place among them."""
 
     def __init__(self, path: str):
-        import json
-
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.opens = np.zeros(self.size, bool)
-        self.opens[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True
-        # the same merges without the splitting rule, for pieces that the rule would keep whole
-        spec = json.loads(self.tokenizer.to_str())
-        self.special = [t["content"].encode() for t in spec["added_tokens"]]
-        bare = spec | {"pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": "\n"}, "added_tokens": [],
-                       "decoder": None, "post_processor": None}
-        self.bare = Tokenizer.from_str(json.dumps(bare)) if (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel" else None
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(self.size)])
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # the same model without the splitting rule, for pieces that the rule would keep whole
+        self.bare = None
+        if self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel):
+            self.bare = Tokenizer(self.tokenizer.model)
+            self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
         shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
         rest = [b for b in range(256) if b not in shown]
         self.letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)} | {10: "\n"}
