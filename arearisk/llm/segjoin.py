@@ -38,10 +38,12 @@ from .components import components
 #: a signature shared by more sets counts as frequent
 PAIRED = 4
 #: signatures in a bucket, about
-BUCKET = 4_000_000
+BUCKET = 1_500_000
 #: sets in a block of a large group
 BLOCK = 256
-READ_BYTES = 4 << 20
+READ_BYTES = 1 << 20
+#: bits of the map that keeps texts without a candidate partner out of a shuffle (4 MB)
+FILTER_BITS = 1 << 25
 
 
 def doc_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -243,7 +245,7 @@ def link_groups(runs: DataFrame, found: DataFrame, texts: DataFrame) -> DataFram
     return dealt.groupBy("group", "i", "j").applyInPandas(link_block, "a long, b long")
 
 
-def near_links(docs: DataFrame, sets: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_links(docs: DataFrame, sets: DataFrame, text_col: str = "text") -> DataFrame:
     """Stored links (a, b) between sets that, taken together, connect exactly the linked ones."""
     spark = docs.sparkSession
     total = sets.agg(F.sum("n_shingles")).head()[0] or 0
@@ -264,17 +266,16 @@ def near_links(docs: DataFrame, sets: DataFrame, id_col: str = "doc_id", text_co
     often = C.cut_lineage(matched.where("run IS NOT NULL").groupBy("a", "band").agg(F.count("*").alias("often")), "often")
     paired = C.cut_lineage(matched.where("run IS NULL").groupBy("a", "b", "band", "slack").agg(F.sum("members").alias("shared")), "pairs")
     paired = (paired.join(often.withColumnRenamed("often", "often_a"), ["a", "band"], "left")
-              .join(often.select(F.col("a").alias("b"), "band", F.col("often").alias("often_b")), ["b", "band"], "left"))
+              .join(often.select(F.col("a").alias("b"), "band", F.col("often").alias("often_b")), ["b", "band"], "left")
+              .where("shared + least(coalesce(often_a, 0), coalesce(often_b, 0)) >= slack"))
     pairs = (paired.select("a", "b")
              .unionByName(star.select(F.least("a", "hub").alias("a"), F.greatest("a", "hub").alias("b"))).distinct())
     pairs = C.cut_lineage(pairs, "pairs")
 
     wanted = (pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
               .unionByName(runs.select(F.col("a").alias("node"))).distinct())
-    where = C.cut_lineage(sets.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc_id")).alias("d"))
-                          .select("node", F.col("d.doc_id").alias("doc_id")).join(wanted, "node"), "wanted")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    texts = C.cut_lineage(chosen(texts.join(where, texts["id"].eqNullSafe(where["doc_id"])).select("node", "text")), "texts")
+    wanted = C.cut_lineage(sets.where("node IS NOT NULL").groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(wanted, "node"), "wanted")
+    texts = C.cut_lineage(texts_of(docs, wanted, text_col), "texts")
 
     links = C.cut_lineage(verify_pairs(pairs, texts), "links")
     found = components(links)
@@ -282,23 +283,64 @@ def near_links(docs: DataFrame, sets: DataFrame, id_col: str = "doc_id", text_co
     return links.unionByName(more)
 
 
-def chosen(rows: DataFrame) -> DataFrame:
-    """(node, text) rows whose text has that set, one a node (an id may stand at several texts)."""
+def hash_map(wanted: DataFrame) -> np.ndarray:
+    """Bitmap of ``FILTER_BITS`` bits over the column text_hash, made in parts; its size does not depend on the data."""
+    part = 1 << 16  # bytes
 
-    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = _place(batch.column(0).to_numpy(zero_copy_only=False))
+            for k in np.unique(at >> 19).tolist():
+                bits = at[at >> 19 == k] & ((1 << 19) - 1)
+                np.bitwise_or.at(found.setdefault(k, np.zeros(part, np.uint8)), bits >> 3, (1 << (bits & 7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([v.tobytes() for v in found.values()], pa.binary())], ["part", "bits"])
+
+    def either(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        bits = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in rows["bits"]])
+        return pd.DataFrame({"part": [key[0]], "bits": [bits.tobytes()]})
+
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    marked = C.map_arrow(wanted.select("text_hash"), mark, "part int, bits binary")
+    for r in marked.groupBy("part").applyInPandas(either, "part int, bits binary").collect():  # FILTER_BITS at most
+        out[r.part * part:(r.part + 1) * part] = np.frombuffer(bytes(r.bits), np.uint8)
+    return out
+
+
+def _place(hashes: np.ndarray) -> np.ndarray:
+    return (C.mix(hashes.view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
+    """(node, text) for each row of the stored table ``wanted`` (node, text_hash).
+
+    A broadcast bitmap of fixed size keeps most other texts out of the join's shuffle; the join decides. With many
+    more candidates than the bitmap has bits it lets everything through, and the texts are shuffled once.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(hash_map(wanted))
+
+    def maybe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = bits.value
+        for batch in batches:
+            at = _place(batch.column(0).to_numpy(zero_copy_only=False))
+            yield batch.filter(pa.array((marks[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0))
+
+    def same(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offs in C.blocks(batch.column(1), READ_BYTES):
                 node = S.set_hashes(*S.shingle_sets(data, offs))[0].view(np.int64)
                 part = batch.slice(lo, hi - lo)
                 yield part.filter(pa.array(node == part.column(0).to_numpy(zero_copy_only=False)))
 
-    return C.map_arrow(rows, read, "node long, text string").dropDuplicates(["node"])
+    some = C.map_arrow(docs.select(C.text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text")), maybe, "text_hash long, text string")
+    named = some.join(wanted, "text_hash").select("node", "text")
+    return C.map_arrow(named, same, "node long, text string").dropDuplicates(["node"])
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component (null for an empty set), component_id of every row."""
     sets = C.cut_lineage(doc_sets(docs, id_col, text_col), "sets")
-    joined = components(C.cut_lineage(near_links(docs, sets, id_col, text_col), "links"))
+    joined = components(C.cut_lineage(near_links(docs, sets, text_col), "links"))
     named = (sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
              .join(joined, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component")))
     named = C.cut_lineage(named, "named")
