@@ -1,8 +1,9 @@
 """Main text of web pages by consensus host paths.
 
 Each page is read into blocks of text, every block under the path of its enclosing elements; a path step is the tag
-and its class names with digits generalised. On each page the containers are scored by the text they enclose outside
-of links, menus, notices and the like; the page votes for the container path that holds its main text. Votes are
+and its class names with digits generalised. On each page the container is the element that encloses the main text,
+which is all text but menus, notices and the like, or that of the page's ``main`` or ``article`` elements where these
+hold at least half of it; the page votes for the container's path. Votes are
 summed per (host, path) in Spark with map-side combining, every host's winning path is joined back, and the page is
 extracted again from the elements on that path. A page without that path falls back to its own container.
 
@@ -49,12 +50,13 @@ ASIDE_NAMES = frozenset("""ad ads advert adverts advertisement advertising banne
 #: elements that are main text by their meaning, and names that say so
 MAIN_TAGS, MAIN_NAMES = frozenset({"article", "main"}), frozenset({"article", "articlebody", "post", "entry", "story", "content", "main", "body", "maincontent"})
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-SHARE = 0.9
+#: elements too small for a container, unless there is no other
+LEAVES = frozenset({"p", "li", "td", "tr", "h1", "h2"})
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)"
 
 
 class Block:
-    """Text of one block, the ids and paths of its enclosing elements, and how much of it is links."""
+    """Text of one block, the ids, paths and tags of its enclosing elements, and how much of it is links."""
 
     __slots__ = ("chain", "parts", "linked", "aside")
 
@@ -87,7 +89,7 @@ def read_page(page: str) -> list[Block]:
             return
         if current is None:
             inside = [e for e in stack if e[0] in BLOCKS]
-            current = Block(tuple((e[2], e[1], e[4]) for e in inside), any(e[3] for e in stack))
+            current = Block(tuple((e[2], e[1], e[0]) for e in inside), any(e[3] for e in stack))
             blocks.append(current)
         current.parts.append(raw)
         if links:
@@ -162,25 +164,29 @@ def _shown(block: Block) -> str:
 
 
 def container(blocks: list[Block]) -> tuple[str, int]:
-    """(path, score) of the element that holds a page's main text: the deepest that encloses ``SHARE`` of the text
-    outside of links, or the innermost element meant for main text that encloses half of it."""
-    scores: dict[int, int] = {}
-    known: dict[int, tuple] = {}
-    total = 0
-    for b in blocks:
-        if b.aside:
-            continue
-        weight = max(0, sum(map(len, b.parts)) - 2 * b.linked)
-        total += weight
-        for depth, (number, path, main) in enumerate(b.chain):
-            scores[number] = scores.get(number, 0) + weight
-            known[number] = (depth, path, main)
-    if not scores:
+    """(path, score) of the element that holds a page's main text. Where ``main`` elements, or else ``article`` elements,
+    hold half of the text outside of links, it is the outermost of them; otherwise all text that is no aside is meant.
+    Of several places, it is the deepest element, or path of elements, that leaves none of the meant text outside."""
+    shown = [(b, max(0, sum(map(len, b.parts)) - 2 * b.linked)) for b in blocks if not b.aside and _shown(b)]
+    total = sum(w for _, w in shown)
+    chains = [b.chain for b, _ in shown]
+    for kind in ("main", "article"):
+        inside = [(b, w) for b, w in shown if any(tag == kind for _, _, tag in b.chain)]
+        if inside and 2 * sum(w for _, w in inside) >= total:
+            chains = [b.chain[:1 + next(k for k, e in enumerate(b.chain) if e[2] in MAIN_TAGS)] for b, _ in inside]
+            break
+    common = list(chains[0]) if chains else []
+    for chain in chains:
+        same = 0
+        while same < min(len(common), len(chain)) and common[same][1] == chain[same][1]:
+            same += 1
+        del common[same:]
+    while len(common) > 1 and common[-1][2] in LEAVES:
+        common.pop()
+    if not common:
         return "", total  # no text, or text outside of all elements
-    meant = [n for n, s in scores.items() if known[n][2] and 2 * s >= total]
-    wide = [n for n, s in scores.items() if s >= SHARE * total and not known[n][1].rpartition(">")[2].split(".")[0] in ("p", "li", "td", "tr", "h1", "h2")]
-    best = max(meant or wide or [max(scores, key=lambda n: (scores[n], -known[n][0]))], key=lambda n: known[n][0])
-    return known[best][1], scores[best]
+    path = common[-1][1]
+    return path, sum(w for b, w in shown if any(p == path for _, p, _ in b.chain))
 
 
 def main_text(blocks: list[Block], path: str) -> str:

@@ -142,6 +142,16 @@ def test_extraction_of_the_test_pages(spark):
         assert r.text == "\n\n".join(b for b in blocks if b)
 
 
+def test_extraction_keeps_text_beside_an_inner_container(spark):
+    inner = "<h1>Title</h1><p>lead</p><div class=content><p>" + "most of it " * 20 + "</div><div class=more>rest</div><p><a href=a>a link</a>"
+    want = "\n\n".join(["Title", "lead", ("most of it " * 20).strip(), "rest", "a link"])
+    two = "<article class=one><p>" + "first " * 9 + "</article><nav>menu</nav><article class=two><p>second</article>"
+    rows = [(1, "http://a.example/1", f"<body><nav>menu</nav><article>{inner}</article>"), (2, "http://b.example/2", f"<body><div class=page>{inner}</div><footer>foot</footer>"),
+            (3, "http://c.example/3", f"<body><div>{two}</div>"), (4, "http://d.example/4", f"<body><main><h1>Over it</h1><article>{inner}</article></main>")]
+    got = {r.page_id: r.text for r in hostpaths.extract(pages(spark, rows)).collect()}
+    assert got == {1: want, 2: want, 3: " ".join(["first"] * 9) + "\n\nsecond", 4: "Over it\n\n" + want}
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
