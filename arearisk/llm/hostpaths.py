@@ -5,7 +5,8 @@ and its class names with digits generalised. On each page the container is the e
 which is all text but menus, notices and the like, or that of the page's ``main`` or ``article`` elements where these
 hold at least half of it; the page votes for the container's path. Votes are
 summed per (host, path) in Spark with map-side combining, every host's winning path is joined back, and the page is
-extracted again from the elements on that path. A page without that path falls back to its own container.
+extracted again from the elements on that path. A page on which that path does not hold all the text of the page's own
+container, as with a second layout of the host, falls back to its own container.
 
 A host of any size is folded by partial sums. The table of winners has one row per host; the join with the pages is
 planned by its measured size, and a hot host is split by adaptive execution.
@@ -189,9 +190,19 @@ def container(blocks: list[Block]) -> tuple[str, int]:
     return path, sum(w for b, w in shown if any(p == path for _, p, _ in b.chain))
 
 
+def _inside(block: Block, path: str) -> bool:
+    return not path or any(p == path for _, p, _ in block.chain)
+
+
+def holds(blocks: list[Block], path: str, own: str) -> bool:
+    """Whether the elements on ``path`` hold all main text of those on ``own``, and any at all."""
+    shown = [b for b in blocks if not b.aside and _shown(b)]
+    return any(_inside(b, path) for b in shown) and all(_inside(b, path) for b in shown if _inside(b, own))
+
+
 def main_text(blocks: list[Block], path: str) -> str:
     """Blocks inside elements on ``path``, without asides, joined by empty lines; without a path, of the whole page."""
-    out = [_shown(b) for b in blocks if not b.aside and (not path or any(p == path for _, p, _ in b.chain))]
+    out = [_shown(b) for b in blocks if not b.aside and _inside(b, path)]
     return "\n\n".join(t for t in out if t)
 
 
@@ -237,10 +248,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             texts, paths = [], []
             for page, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 blocks = read_page(page or "")
-                text = main_text(blocks, path) if path else ""
-                if not text:
-                    path = container(blocks)[0]
-                    text = main_text(blocks, path)
+                own = container(blocks)[0]
+                if not (path and holds(blocks, path, own)):
+                    path = own
+                text = main_text(blocks, path)
                 texts.append(text)
                 paths.append(path)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),

@@ -152,6 +152,15 @@ def test_extraction_keeps_text_beside_an_inner_container(spark):
     assert got == {1: want, 2: want, 3: " ".join(["first"] * 9) + "\n\nsecond", 4: "Over it\n\n" + want}
 
 
+def test_extraction_of_a_host_with_two_layouts(spark):
+    usual = "<body><div class=wrap><div class=post><h1>Head</h1><p>usual text</div></div>"
+    other = "<body><div class=wrap><div class=post><p>teaser</div><div class=report><h1>Other</h1><p>" + "whole text " * 20 + "</div></div>"
+    rows = [(k, f"http://a.example/{k}", usual) for k in range(4)] + [(4, "http://a.example/4", other), (5, "http://a.example/5", "<body><main><p>Else</main>")]
+    got = {r.page_id: r for r in hostpaths.extract(pages(spark, rows)).collect()}
+    assert all(got[k].text == "Head\n\nusual text" and got[k].path == "body>div.wrap>div.post" for k in range(4))
+    assert got[4].text == "teaser\n\nOther\n\n" + ("whole text " * 20).strip() and got[5].text == "Else"
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
