@@ -33,11 +33,15 @@ _SPACE = re.compile(r"\s+")
 #: elements without content
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: elements whose content is no markup
-RAW = frozenset("script style textarea title noscript xmp iframe noembed noframes template svg math".split())
+RAW = frozenset("script style textarea title noscript xmp iframe noembed noframes template".split())
 #: elements that end the text block around them
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot
     th thead tr ul""".split())
+#: opening tags that end a drawing left open, unless they stand in a part of it that holds HTML
+BREAKOUT = BLOCKS | frozenset("b big br code em embed i img meta nobr ruby s small span strong strike sub sup tt u var".split())
+HTML_PARTS = frozenset({"foreignobject", "desc", "title"})
+_UNQUOTED = re.compile(r"""=\s*[^\s"'>]+\Z""")
 #: an opening tag of the first kind ends an open element of the second, up to a limit
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}),
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -81,12 +85,13 @@ def read_page(page: str) -> list[Block]:
     """The text blocks of a page in page order."""
     blocks: list[Block] = []
     stack: list[tuple] = []  # (tag, path, number, aside, main)
+    drawing: list[str] = []  # tags of the open svg and of the elements open in it, whose text is none
     number, at, links = 0, 0, 0
     current: Block | None = None
 
     def text(raw: str) -> None:
         nonlocal current
-        if not raw or (current is None and not raw.strip()):
+        if drawing or not raw or (current is None and not raw.strip()):
             return
         if current is None:
             inside = [e for e in stack if e[0] in BLOCKS]
@@ -113,14 +118,27 @@ def read_page(page: str) -> list[Block]:
         if m[2] is None:
             continue
         tag = m[2].lower()
+        if m[1] and tag in drawing:
+            del drawing[len(drawing) - 1 - drawing[::-1].index(tag):]
+            continue
         if m[1]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
+                    drawing.clear()  # an open drawing ends with its parent
                     close(k)
                     break
                 if stack[k][0] in ("td", "th", "table") and tag not in BLOCKS:
                     break
             continue
+        if m[3].endswith("/") and (drawing or tag in ("svg", "math") or tag not in VOID and any(e[0] == "math" for e in stack)) \
+                and not (tag in BREAKOUT and drawing) and not _UNQUOTED.search(m[3]):
+            continue  # empty
+        if drawing and tag in BREAKOUT and HTML_PARTS.isdisjoint(drawing):
+            drawing.clear()
+        if drawing or tag == "svg":
+            if tag not in VOID:
+                drawing.append(tag)
+            continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)

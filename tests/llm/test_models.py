@@ -161,6 +161,19 @@ def test_extraction_of_a_host_with_two_layouts(spark):
     assert got[4].text == "teaser\n\nOther\n\n" + ("whole text " * 20).strip() and got[5].text == "Else"
 
 
+@pytest.mark.parametrize("tag", ['<svg class="icon"/>', "<svg/>", "<math/>", "<svg><path d='M0'/><title/><style/></svg>", "<svg><title>Icon</title><style>a>b{}</style><g><path></g></svg>",
+                                 "<svg><foreignObject><div>label<p>x</p></div></foreignObject><text>y</text></svg>", "<svg class=icon/>no text", "<svg><path d=M0><use>", "<math><mspace/></math>"])
+def test_drawings_cut_nothing_off(tag):
+    page = f"<body><article><h1>Title</h1><p>one <b>{tag}</b>two</p><p>three</p><div>{tag}<p>four</p></div>{tag}<p>five <svg><text>no</text></svg>six</p></article>"
+    blocks = hostpaths.read_page(page)
+    assert hostpaths.main_text(blocks, hostpaths.container(blocks)[0]) == "Title\n\none two\n\nthree\n\nfour\n\nfive six"
+
+
+def test_formulas_are_text():
+    blocks = hostpaths.read_page("<article><p>As <math display=inline><mi>x</mi><mo>=</mo><mspace width='1em'/><mn>1</mn></math> shows</p><p>more</p></article>")
+    assert hostpaths.main_text(blocks, "article") == "As x=1 shows\n\nmore"
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
