@@ -76,6 +76,31 @@ def without(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) ->
     return kept.unionByName(docs.join(repeated, same, "left_semi").select(*names).dropDuplicates([id_col, text_col]))
 
 
+def first_of_keys(rows: DataFrame, keys: list[str], read, schema: str) -> DataFrame:
+    """``read`` of one row for each value of ``keys``, the one whose text has the smallest hash, however many rows have it.
+    ``rows``: the keys and text. ``read`` makes a batch with a row for each of its rows and the columns of ``schema``.
+    A task passes a row on only if its hash is below that of the rows with its key so far, so copies meet nowhere."""
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[tuple, int] = {}
+        for batch in batches:
+            key = list(zip(*(batch.column(k).to_pylist() for k in range(len(keys)))))
+            at: dict[tuple, int] = {}
+            for i, (k, h) in enumerate(zip(key, batch.column(len(keys) + 1).to_pylist())):
+                if k not in known or h < known[k]:
+                    known[k] = h
+                    at[k] = i
+            few = batch.take(pa.array(sorted(at.values()), pa.int64()))
+            hashes, done = few.column(len(keys) + 1), 0
+            for out in read([few]) if len(few) else ():
+                yield pa.RecordBatch.from_arrays([*out.columns, hashes.slice(done, len(out))], [*out.schema.names, "_hash"])
+                done += len(out)
+
+    found = map_arrow(rows.select(*keys, "text", F.xxhash64("text").alias("_hash")), least, schema + ", _hash long")
+    rest = [c for c in found.columns if c not in (*keys, "_hash")]
+    return found.groupBy(*keys).agg(F.min_by(F.struct(*rest), "_hash").alias("_row")).select(*keys, "_row.*")
+
+
 # ---- text blocks -----------------------------------------------------------------------------------------
 
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

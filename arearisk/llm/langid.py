@@ -4,12 +4,12 @@ A text's features are its byte trigrams and 4-grams after lower-casing, hashed t
 mean of the rows goes through a linear softmax over the learned languages. Because the layers are linear, a fitted
 model folds into one table of scores per feature, which is broadcast (a fixed size times the number of languages).
 
-Fitted on the driver from a bounded sample: of each language the ``PER_LANGUAGE`` training documents with the
-smallest id hash. A fifth of the sample is kept for calibration: a temperature for the probabilities, and the
+Fitted on the driver from a bounded sample: of each language the ``PER_LANGUAGE`` training ids with the smallest hash, of
+each one row, that with the smallest text hash; rows of an id are reduced inside Spark. A fifth of the sample is kept for calibration: a temperature for the probabilities, and the
 probability below which a prediction is marked ``rejected``, so that accepted ones are right in ``TRUST`` of cases.
 
 Defined results: ``und`` with score 0 if the text is null or has no letter, or nothing was learned. Null languages
-are not learned. Repeated rows count each time. An empty table gives an empty result. Other columns are ignored.
+are not learned. Repeated rows are predicted each time and learned once. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -119,14 +119,14 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7) -> Model:
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.pmod(C.id_hash(id_col), F.lit(FOLDS)) != HELD_OUT))
-    drawn = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).withColumn("draw", F.pmod(F.xxhash64("id"), F.lit(1_000_000)))
-    # the share of each language that holds about twice its bound, so that few rows of a language meet in its window
+    drawn = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).distinct().withColumn("draw", F.pmod(F.xxhash64("id"), F.lit(1_000_000)))
+    # the share of each language's ids that holds about twice its bound, so that few of a language meet in its window
     shares = drawn.groupBy("lang").agg((F.lit(2_000_000.0 * per_language) / F.count("*")).alias("limit"))
     picked = (drawn.join(F.broadcast(shares), "lang").where("draw < limit")  # one row per language
               .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id")))
-              .where(F.col("place") <= per_language).select("id", "lang").distinct())
+              .where(F.col("place") <= per_language).select("id", "lang"))
     sample = (rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-              .join(F.broadcast(picked), ["id", "lang"]))  # per_language rows a language
+              .join(F.broadcast(picked), ["id", "lang"]))  # per_language ids a language
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +140,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_
                                                   pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())],
                                                  ["id", "lang", "buckets", "shares"])
 
-    got = C.map_arrow(sample.select("id", "lang", "text"), read, "id string, lang string, buckets binary, shares binary").collect()  # the sample
+    got = C.first_of_keys(sample, ["id", "lang"], read, "id string, lang string, buckets binary, shares binary").collect()  # the sample
     got.sort(key=lambda r: (hash_order(r.id), r.lang, bytes(r.buckets)))
     return fit([(np.frombuffer(r.buckets, "<u4").astype(np.int64), np.frombuffer(r.shares, "<f4").astype(float), r.lang) for r in got])
 

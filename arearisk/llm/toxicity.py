@@ -4,11 +4,11 @@ A document is a bag of sentences. A sentence's probability is a logistic functio
 four, five and six bytes (so unseen forms of a known stem count); a document is toxic if any sentence is: 1 - product of (1 - p). Only document labels are known, so the gradient of a document's loss is
 shared among its sentences by their own probabilities, and the trained sentence scores locate the offending ones.
 
-The model is fitted on the driver from a bounded sample: the ``sample`` labelled documents of the training folds with
-the smallest id hash. Executors turn them into word hashes; those in fewer than ``MIN_DOCS`` sampled documents, or in
+The model is fitted on the driver from a bounded sample: the ``sample`` labelled ids of the training folds with the
+smallest hash, of each (id, label) one row, that with the smallest text hash; rows of an id are reduced inside Spark. Executors turn them into word hashes; those in fewer than ``MIN_DOCS`` sampled documents, or in
 many of label 0, are left out. The fitted table holds at most the sample's vocabulary and is broadcast. Scoring reads every whole text.
 
-Defined results: a null text or one without words scores 0. A repeated row or label counts each time; labels without
+Defined results: a null text or one without words scores 0. A repeated row is scored each time and learned once; labels without
 a document, or null, are ignored. Without any label all scores are 0. Other columns pass through where a caller asks.
 """
 
@@ -144,7 +144,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: i
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on at most ``sample`` labelled documents of the training folds."""
     picked = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (F.pmod(C.id_hash(id_col), F.lit(FOLDS)) != HELD_OUT))
-              .select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+              .select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).distinct()
               .orderBy(F.xxhash64("id"), "id", "label").limit(sample))  # a bounded sample, by hash
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
 
@@ -161,9 +161,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
                      pa.array([n[a:b].astype(np.int32).tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())],
                     ["id", "label", "words", "lengths"])
 
-    got = C.map_arrow(rows.select("id", "label", "text"), read, "id string, label int, words binary, lengths binary").collect()  # the sample
+    got = C.first_of_keys(rows, ["id", "label"], read, "id string, label int, words binary, lengths binary").collect()  # the sample
     got.sort(key=lambda r: (r.id or "", r.label, bytes(r.words)))
-    got = got[:2 * sample]  # repeated rows of a sampled id
     return fit([(np.frombuffer(r.words, np.uint32), np.frombuffer(r.lengths, np.int32)) for r in got], np.array([r.label for r in got]))
 
 

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from arearisk.llm import common as C
 from arearisk.llm import hostpaths, langid, registry, secret_scan, toxicity
@@ -98,6 +99,26 @@ def test_language_of_awkward_rows(spark):
     assert {(r.lang_pred, r.score) for r in empty} == {("und", 0.0)}
 
 
+def test_samples_hold_one_row_of_an_id(spark, monkeypatch):
+    """A third of all rows, and of the labels, with one id: the fitted rows are those of the table without the copies."""
+    plain = [(k, cases.prose(50 + k, 30)) for k in range(60)]
+    labels = [(k, k % 2) for k in range(60)]
+    fitted = []
+    for module in (toxicity, langid):
+        monkeypatch.setattr(module, "fit", lambda rows, *labels: fitted.append([tuple(x if isinstance(x, str) else x.tobytes() for x in r) for r in rows]))
+    ids = spark.createDataFrame(labels, "doc_id long, toxic int")
+    # the first ids of the two samples, so that their copies would displace others
+    hot = [ids.where(F.pmod(C.id_hash(), F.lit(m.FOLDS)) != m.HELD_OUT).orderBy(order).first().doc_id
+           for m, order in ((toxicity, F.xxhash64("doc_id")), (langid, F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))))]
+    copies = [(i, dict(plain)[i]) for i in hot for _ in range(30)]
+    for rows, marks in ((plain, labels), (plain + copies, labels + [(i, i % 2) for i in hot] * 30)):
+        docs = cases.docs(spark, rows)
+        toxicity.train(docs, spark.createDataFrame(marks, "doc_id long, toxic int"), sample=20)
+        langid.train(docs, per_language=20)
+    assert [len(x) for x in fitted] == [20] * 4
+    assert fitted[0] == fitted[2] and fitted[1] == fitted[3]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var a="<p>no</p>";</script></head>
 <body class="home"><header><a href="/">Site</a></header><nav><ul><li><a href=a>one<li><a href=b>two</ul></nav>
 <div class="cookie-notice">We use cookies</div><div id="wrap"><div class="post post-%d"><h1>Head  line &eacute;</h1>
