@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chunkdedup, fmindex, hostpaths, huffman, langid, packing, ring, secret_scan, segjoin, toxicity
+from . import chunkdedup, collocations, divergence, fmindex, hostpaths, huffman, langid, packing, ring, secret_scan, segjoin, toxicity, warc
 
 QUERIES = {
     "op1_token_files": huffman.op1_token_files,
@@ -15,10 +15,16 @@ QUERIES = {
     "op8_exact_dedup": chunkdedup.op8_exact_dedup,
     "op9_ngram_join": segjoin.op9_ngram_join,
     "op10_decontamination": fmindex.op10_decontamination,
+    "op11_source_divergence": divergence.op11_source_divergence,
+    "op12_warc": warc.op12_warc,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLE = {
     "op8_exact_dedup": chunkdedup.ORACLE_SQL,
     "op9_ngram_join": segjoin.ORACLE_SQL,
     "op10_decontamination": fmindex.ORACLE_SQL,
+    "op11_source_divergence": divergence.ORACLE_SQL,
+    "op12_warc": warc.ORACLE_SQL,
+    "op13_collocations": collocations.ORACLE_SQL,
 }

@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "pages"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = registry.QUERIES[name](spark, SF)
     rel = con.sql(registry.ORACLE[name])
