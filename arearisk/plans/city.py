@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from arearisk.functions.expr import count_nonempty, hsum, lenient_int, strict_int
 from arearisk.operators.aggregate import describe, first_seen, sort_totals, totals_report
 from arearisk.operators.topk import rank_multi_metric
-from arearisk.session import cut_lineage
+from arearisk.operators import route
+from arearisk.session import cut_lineage, fresh_path
 from arearisk.operators.clean import (
     filter_arity, filter_date_range, filter_nonempty, once, parse_datetime, parse_datetime_parts,
     project_by_arity, realign_shifted_fields, text_filter,
@@ -23,7 +24,7 @@ from arearisk.plans import presets as P
 from arearisk.plans import reports as R
 from arearisk.sinks.writers import write_csv, write_records
 from arearisk.sources.text import (
-    drop_header_lines, drop_marker_lines, field, read_lines, read_quoted_csv, split_array,
+    drop_header_lines, drop_marker_lines, field, read_lines, split_array,
 )
 
 
@@ -42,13 +43,35 @@ def incident_fields(lines: DataFrame, marker: str = P.INCIDENT_HEADER_MARKER,
     return project_by_arity(ok, "f", spec, P.INCIDENT_BASE_ARITY, P.INCIDENT_SHIFT_FROM)
 
 
+def judged_incidents(lines: DataFrame, ts_formats: list[str] = P.INCIDENT_TS_FORMATS,
+                     marker: str = P.INCIDENT_HEADER_MARKER) -> DataFrame:
+    """Every collision line judged: ``fields`` (a wrong number of them), ``date`` (unreadable), ``measure`` (a count that
+    is no integer); accepted ones in the ``incident`` shape, of any date and key."""
+    src = incident_lines(lines, marker)
+    spec = {**P.INCIDENT_FIELDS, **P.INCIDENT_INT_FIELDS, **P.INCIDENT_FACTOR_FIELDS, **P.INCIDENT_VEHICLE_FIELDS}
+    src = src.select("value", F.size("f").alias("n_fields"), F.when(F.size("f").isin(*P.INCIDENT_ARITIES), F.col("f")).alias("f"))
+    f = project_by_arity(src, "f", spec, P.INCIDENT_BASE_ARITY, P.INCIDENT_SHIFT_FROM, keep=["value", "n_fields"])
+    f = once(f.withColumn("ts", parse_datetime_parts("date", "time", ts_formats)))
+    bad, which = route.bad_ints({m: F.col(m) for m in P.MEASURES})
+    verdict = route.first_reason([
+        ("fields", ~F.col("n_fields").isin(*P.INCIDENT_ARITIES), F.col("n_fields").cast("string")),
+        ("date", F.col("ts").isNull(), F.concat_ws(" ", "date", "time")), ("measure", bad, which)])
+    return f.select("value", *verdict, "area", "ts", *[route.int_value(F.col(m)).alias(m) for m in P.MEASURES],
+                    *P.FACTOR_SLOTS, *P.VEHICLE_SLOTS)
+
+
+def incidents_in_period(facts: DataFrame, lo: str = P.CITY_RANGE[0], hi: str = P.CITY_RANGE[1]) -> DataFrame:
+    """Accepted collisions of a period that name an area."""
+    return filter_nonempty(filter_date_range(facts, "ts", lo, hi), "area")
+
+
 def incidents_from_lines(lines: DataFrame, lo: str = P.CITY_RANGE[0], hi: str = P.CITY_RANGE[1],
                          ts_formats: list[str] = P.INCIDENT_TS_FORMATS) -> DataFrame:
     """Cleaned collision facts in the ``incident`` shape: date range, non-empty
-    key, the eight measures as strict integers (a bad value fails the job).
+    key, the eight measures as strict integers (a bad value fails the job; ``judged_incidents`` routes it instead).
     Lines without a readable date or a full set of fields are ``incident_rejects``."""
     f = once(incident_fields(lines).withColumn("ts", parse_datetime_parts("date", "time", ts_formats)))
-    f = filter_nonempty(filter_date_range(f, "ts", lo, hi), "area")
+    f = incidents_in_period(f, lo, hi)
     return f.select("area", "ts", *[strict_int(m).alias(m) for m in P.MEASURES],
                     *P.FACTOR_SLOTS, *P.VEHICLE_SLOTS)
 
@@ -89,21 +112,45 @@ def request_rejects(lines: DataFrame, header: str | None = None) -> DataFrame:
     return r.filter(short | F.col("ts").isNull()).select("value", F.when(short, F.lit("fields")).otherwise(F.lit("date")).alias("reason"))
 
 
+def judged_requests(lines: DataFrame, header: str | None = None) -> DataFrame:
+    """Every complaint line judged: ``fields`` (too few) or ``date`` (unreadable); accepted ones in the ``request`` shape,
+    of any date, key and type."""
+    a, last = F.col("f"), P.REQUEST_FIELDS["city"]
+    kind = field(a, P.REQUEST_FIELDS["kind"])
+    key, desc, city = realign_shifted_fields(a, kind, P.REQUEST_FIELDS["area"], P.REQUEST_FIELDS["descriptor"], last, P.TWO_SHIFT_MARKER)
+    verdict = route.first_reason([
+        ("fields", F.size("f") <= last, F.size("f").cast("string")),
+        ("date", F.col("ts").isNull(), field(a, P.REQUEST_FIELDS["date"]))])
+    return request_lines(lines, header).select("value", *verdict, key.alias("area"), "ts", kind.alias("kind"),
+                                               desc.alias("descriptor"), city.alias("city"))
+
+
+def requests_in_period(facts: DataFrame, lo: str = P.CITY_RANGE[0], hi: str = P.CITY_RANGE[1]) -> DataFrame:
+    """Accepted street complaints of a period that name an area and a city."""
+    r = filter_nonempty(filter_date_range(facts, "ts", lo, hi), "area", "city")
+    return r.filter(text_filter("kind", P.REQUEST_INCLUDE, P.REQUEST_EXCLUDE))
+
+
 def requests_from_lines(lines: DataFrame, header: str | None = None, lo: str = P.CITY_RANGE[0],
                         hi: str = P.CITY_RANGE[1]) -> DataFrame:
     """Cleaned complaint facts in the ``request`` shape."""
-    r = filter_nonempty(filter_date_range(request_fields(lines, header), "ts", lo, hi), "area", "city")
-    return r.filter(text_filter("kind", P.REQUEST_INCLUDE, P.REQUEST_EXCLUDE))
+    return requests_in_period(request_fields(lines, header), lo, hi)
 
 
 VOLUME_SCHEMA = T.StructType([T.StructField("area_expr", T.StringType()),
-                              T.StructField("vehicles", T.LongType()),
-                              T.StructField("samples", T.LongType())])
+                              T.StructField("vehicles", T.LongType(), nullable=False),
+                              T.StructField("samples", T.LongType(), nullable=False)])
+
+
+def judged_volume(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """Every row of the area volume CSV judged: ``columns`` or ``value``."""
+    return route.judged_csv(spark, path, VOLUME_SCHEMA, header=header)
 
 
 def volume_from_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Area volume CSV (header line): ``area_expr, vehicles, samples``."""
-    return read_quoted_csv(spark, path, VOLUME_SCHEMA, header=True)
+    """Area volume CSV (header line): ``area_expr, vehicles, samples``. A row without two integers, or with another number
+    of fields, fails the job; ``judged_volume`` routes it instead."""
+    return route.must_accept(judged_volume(spark, path))
 
 
 def segment_days(lines: DataFrame, marker: str = P.SEGMENT_HEADER_MARKER) -> DataFrame:
@@ -156,7 +203,7 @@ def write_city_outputs(profile: DataFrame, out_dir: str) -> DataFrame:
     risk = R.area_risk(profile)
     write_csv(risk, f"{out_dir}/results/final_result")
     write_records(rank_multi_metric(profile, "area", P.RATE_COLUMNS, 10, keep=profile.columns),
-                  f"{out_dir}/totals/rankings", single_file=True)
+                  f"{out_dir}/totals/rankings", single_file=True, order=["list", "rank"])
     write_records(describe(profile, P.RATE_COLUMNS), f"{out_dir}/totals/aggregations", single_file=True)
     return risk
 
@@ -168,18 +215,39 @@ def segment_volume_from_lines(lines: DataFrame, lookup: DataFrame) -> DataFrame:
     return R.segment_volume(segments_from_lines(lines), lookup)
 
 
+def routed(spark: SparkSession, judged: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) of a judged frame, stored in the shared folder by one pass over its source."""
+    return route.routed(spark, route.write_routed(judged, fresh_path(spark, label)), judged.schema)
+
+
 def run_city_job(spark: SparkSession, collisions: str, complaints: str, volume: str, out_dir: str,
                  complaints_header: str | None = None, collision_range: tuple[str, str] = P.CITY_RANGE,
-                 complaint_range: tuple[str, str] = P.CITY_RANGE, download: bool = False) -> DataFrame:
+                 complaint_range: tuple[str, str] = P.CITY_RANGE, download: bool = False, rejects: str = "fail") -> DataFrame:
     """The whole job: classified report, ranking lists and statistics; with
     ``download`` also the three per-area reports and the two totals tables
     (CSV with header). Sub-reports are computed once: they are
-    cut into the shared folder and every output reads the cut tables."""
-    inc_facts = incidents_from_lines(read_lines(spark, collisions), *collision_range)
-    req_facts = requests_from_lines(read_lines(spark, complaints), complaints_header, *complaint_range)
+    cut into the shared folder and every output reads the cut tables.
+
+    ``rejects``: "fail" stops at a bad measure or volume row, and skips lines without a record. "route" stores each
+    input's accepted and rejected records in one pass, reports on the accepted ones, and writes the rejects of all
+    three inputs, with their reasons, as CSV with header under ``rejects``."""
+    if rejects not in ("fail", "route"):
+        raise ValueError("rejects is 'fail' or 'route'")
+    if rejects == "fail":
+        inc_facts = incidents_from_lines(read_lines(spark, collisions), *collision_range)
+        req_facts = requests_from_lines(read_lines(spark, complaints), complaints_header, *complaint_range)
+        vol_facts = volume_from_csv(spark, volume)
+    else:
+        inc_all, inc_bad = routed(spark, judged_incidents(read_lines(spark, collisions)), "incidents-routed")
+        req_all, req_bad = routed(spark, judged_requests(read_lines(spark, complaints), complaints_header), "requests-routed")
+        vol_facts, vol_bad = routed(spark, judged_volume(spark, volume), "volume-routed")
+        inc_facts = incidents_in_period(inc_all, *collision_range)
+        req_facts = requests_in_period(req_all, *complaint_range)
+        bad = [b.select(F.lit(n).alias("source"), "*") for n, b in (("collision", inc_bad), ("complaint", req_bad), ("volume", vol_bad))]
+        write_csv(bad[0].unionByName(bad[1]).unionByName(bad[2]), f"{out_dir}/rejects")
     inc = cut_lineage(R.incidents_by_area(inc_facts), "incidents-by-area")
     req = cut_lineage(R.requests_by_area(req_facts), "requests-by-area")
-    vol = cut_lineage(R.volume_by_area(volume_from_csv(spark, volume)), "volume-by-area")
+    vol = cut_lineage(R.volume_by_area(vol_facts), "volume-by-area")
     risk = write_city_outputs(R.area_profile(vol, inc, req), out_dir)
     if download:
         write_csv(inc, f"{out_dir}/results/incidents_by_area")

@@ -82,6 +82,24 @@ SELECT concat_ws(',',
 FROM lineitem
 """
 
+# The same lines with counts that are no integers (empty, words, decimals, too large; blanks around one are fine) and
+# dates that are none.
+FIXTURE_SQL["raw_incident_mixed"] = FIXTURE_SQL["raw_incident"].replace(
+    "CAST(l_linenumber % 2 AS STRING), '0', CAST", """CASE l_orderkey % 31 WHEN 3 THEN 'x' WHEN 5 THEN '' WHEN 7 THEN ' 2 ' WHEN 9 THEN '1.0'
+    WHEN 11 THEN '99999999999' ELSE CAST(l_linenumber % 2 AS STRING) END, CASE WHEN l_orderkey % 62 = 3 THEN '-' ELSE '0' END, CAST""", 1).replace(
+    "  concat(CAST(month(l_shipdate) AS STRING),", "  CASE WHEN l_orderkey % 41 = 6 THEN 'n/a' ELSE concat(CAST(month(l_shipdate) AS STRING),", 1).replace(
+    "CAST(year(l_shipdate) AS STRING)),", "CAST(year(l_shipdate) AS STRING)) END,", 1)
+
+# Volume rows as CSV lines, some with a word, nothing or a decimal for a count, too few or too many fields.
+FIXTURE_SQL["raw_volume"] = """
+SELECT CASE s_suppkey % 17 WHEN 4 THEN concat(area, ',x,3') WHEN 6 THEN concat(area, ',', vehicles) WHEN 8 THEN concat(area, ',', vehicles, ',3,4')
+    WHEN 10 THEN concat(area, ',,3') WHEN 12 THEN concat(area, ',', vehicles, ',2.5') WHEN 14 THEN concat('"', area, ', north",', vehicles, ',2')
+    ELSE concat(area, ',', vehicles, ', ', CAST(2 + s_suppkey % 11 AS STRING)) END AS value
+FROM (SELECT s_suppkey, CAST(CAST(floor(abs(s_acctbal)) AS BIGINT) + 1000 AS STRING) AS vehicles,
+  CASE WHEN s_suppkey % 9 = 1 THEN concat(CAST(s_suppkey AS STRING), ';', CAST(s_suppkey + 1 AS STRING)) ELSE CAST(s_suppkey AS STRING) END AS area
+  FROM supplier) x
+"""
+
 FIXTURE_SQL["raw_request"] = """
 SELECT concat_ws(',', CAST(event_id AS STRING),
   CASE WHEN event_id % 23 = 0 THEN 'n/a' ELSE concat(lpad(CAST(month(ts) AS STRING), 2, '0'), '/', lpad(CAST(day(ts) AS STRING), 2, '0'), '/',

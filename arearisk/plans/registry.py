@@ -34,4 +34,4 @@ def class_distribution(spark, d):
 
 
 # The operator catalogue registers itself on import.
-from arearisk.plans import catalog_io, catalog_rows, catalog_groups, catalog_ranks  # noqa: E402,F401
+from arearisk.plans import catalog_io, catalog_rows, catalog_groups, catalog_ranks, catalog_route  # noqa: E402,F401
