@@ -42,15 +42,27 @@ def resolve_names(df: DataFrame, seg: str, roles: dict[str, str], lookup: DataFr
     """Resolve every role's name to a postcode (the smallest, if the lookup lists several); rows with a name that is
     unknown or has no postcode drop.
 
-    The roles are joined in one join (not one per role), then folded back per row; a repeated segment stays repeated.
+    The roles are joined in one join (not one per role), then folded back per record. A record is identified by its own
+    values and how often they occur, never by a row number, so a task that runs again after a loss cannot mix records
+    up; a repeated segment stays repeated. Where the input is already grouped by the segment, counting moves nothing.
     The lookup is joined as it is, without an aggregate between its shuffle and the join, so adaptive execution can
     split a name that many segments share.
     """
-    keep = ["_row", seg, *(carry or [])]
-    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    record = list(dict.fromkeys([seg, *(carry or []), *roles.values()]))
+    rows = df.groupBy(*record).agg(F.count(F.lit(1)).alias("_times"))
+    keep = [*record, "_times"]
     hit = name_roles(rows, roles, keep).join(usable_lookup(lookup, name, postcode), "name", "inner")
     out = hit.groupBy(*keep).agg(*[F.min(F.when(F.col("role") == r, F.col(postcode))).alias(r + suffix) for r in roles])
-    return out.dropna(subset=[r + suffix for r in roles]).drop("_row")
+    out = out.dropna(subset=[r + suffix for r in roles])
+    return repeat_rows(out, "_times").select(seg, *(carry or []), *[r + suffix for r in roles])
+
+
+def repeat_rows(df: DataFrame, times: str, block: int = 4096) -> DataFrame:
+    """Each row as often as its column ``times`` says, which goes. The repeats are made in blocks, so no long array is held."""
+    whole = F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / block))
+    blocks = df.select("*", F.explode(whole).alias("_block"))
+    rest = F.least(F.lit(block).cast("long"), F.col(times) - F.col("_block") * block)
+    return blocks.select("*", F.explode(F.sequence(F.lit(1).cast("long"), rest)).alias("_nth")).drop("_nth", "_block", times)
 
 
 def unresolved_names(df: DataFrame, seg: str, roles: dict[str, str], lookup: DataFrame,

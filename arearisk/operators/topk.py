@@ -82,7 +82,7 @@ def rank_multi_metric(df: DataFrame, key: str, metrics: list[str], n: int = 10,
 
     Only narrow (list, key, signed value) rows are ranked, by one ``row_number``
     group limit that runs before the shuffle; the at most 2 * metrics * n rows
-    are then joined back to ``df`` (pass a persisted frame to compute it once).
+    are then joined back to ``df`` (pass a cut, ``session.cut_lineage``, to compute it once).
     """
     carry = [c for c in (keep or []) if c not in (key, value)]
     entries = [F.struct(F.lit(f"{name}_{m}").alias("list"), F.col(m).cast("double").alias(value),

@@ -18,6 +18,7 @@ from arearisk.plans.base import (
     fresh, incident_report, incidents, profile, raw_lines, register, request_report,
 )
 from arearisk.plans.fixtures import fixture
+from arearisk.session import cut_lineage
 from arearisk.sinks.writers import write_csv, write_facts, write_lines, write_records
 from arearisk.sources.text import (
     conform, read_lines, read_lines_drop_header, read_lines_drop_marker, read_quoted_csv, sample_rows,
@@ -131,7 +132,7 @@ def sink_csv_with_header(spark, d):
 @register("sink_records", O.views(*O.REPORT_VIEWS, extra=O.PROFILE_CHAIN + [O.RANK_LISTS]) + O.RANK_SELECT)
 def sink_records(spark, d):
     """The eight top/bottom lists with whole area records, as JSON lines."""
-    prof = profile(spark, d).persist()
+    prof = cut_lineage(profile(spark, d), "profile")
     lists = rank_multi_metric(prof, "area", P.RATE_COLUMNS, 10, keep=prof.columns)
     path = write_records(lists, fresh(spark, "rank-lists"), single_file=True)
     return spark.read.schema(lists.schema).json(path)

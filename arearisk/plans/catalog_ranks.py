@@ -14,6 +14,7 @@ from arearisk.plans import city as C
 from arearisk.plans.base import incidents, profile, raw_lines, register, requests
 from arearisk.plans.catalog_groups import TOTALS_REPORT_SQL, totals_report
 from arearisk.plans.fixtures import fixture
+from arearisk.session import cut_lineage
 
 INC = O.views("incident", extra=[O.INC_CLEAN])
 REQ = O.views("request", extra=[O.REQ_CLEAN])
@@ -76,7 +77,7 @@ def bottom_n_global(spark, d):
 
 @register("rank_multi_metric", O.views(*O.REPORT_VIEWS, extra=O.PROFILE_CHAIN + [O.RANK_LISTS]) + O.RANK_SELECT)
 def rank_multi_metric(spark, d):
-    prof = profile(spark, d).persist()  # ranked narrow, then joined back
+    prof = cut_lineage(profile(spark, d), "profile")  # ranked narrow, then joined back
     return TK.rank_multi_metric(prof, "area", P.RATE_COLUMNS, 10, keep=prof.columns)
 
 
@@ -90,8 +91,8 @@ def sort_totals(spark, d):
 @register("classify_three_level", O.views(*O.REPORT_VIEWS, extra=O.PROFILE_CHAIN + [O.BOUNDS])
           + "SELECT p.area, " + O.CLASS_SQL + " AS safety_class FROM prof p CROSS JOIN bnd b")
 def classify_q(spark, d):
-    # bounds and rows read one persisted copy of the small per-area profile
-    c = classify_three_level(profile(spark, d).persist(), P.RATE_COLUMNS[0], P.RATE_COLUMNS[1], P.RATE_COLUMNS[2])
+    # bounds and rows read one cut of the small per-area profile
+    c = classify_three_level(cut_lineage(profile(spark, d), "profile"), P.RATE_COLUMNS[0], P.RATE_COLUMNS[1], P.RATE_COLUMNS[2])
     return c.select("area", "safety_class")
 
 

@@ -14,9 +14,10 @@ Scale notes
   per-area fold that follows moves only those rows.
 * The three summaries are per-area and small; AQE broadcasts them in the
   join when their measured size allows and sort-merges otherwise.
-* The joined per-area profile is small and persisted (lazily) for
-  classification; the bounds are a one-row scalar subquery over it, executed
-  once. Nothing runs while a plan is built.
+* The joined per-area profile is cut into the shared folder for classification
+  and rankings, which read it more than once; the bounds are a one-row scalar
+  subquery over the cut. Nothing is kept in the session's cache, so a report
+  always shows the tables as they are when it is asked for.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from arearisk.operators.joins import join_three_way, resolve_names
 from arearisk.operators.keys import apportion_by_agreement, explode_multi_key
 from arearisk.operators.topk import tier_width
 from arearisk.plans import presets as P
+from arearisk.session import cut_lineage
 
 TOTALS = "__totals__"
 KEY = "area"
@@ -223,9 +225,9 @@ def area_profile(volume: DataFrame, incidents: DataFrame, requests: DataFrame, k
 
 
 def area_risk(profile: DataFrame) -> DataFrame:
-    """28-column classified report, lazy. The bounds and the rows read the same per-area profile, which is marked for
-    persisting so that one run of the plan computes it once."""
-    c = classify_three_level(profile.persist(), "accidents_per_1000_vehicles", "injuries_per_1000_accidents",
+    """28-column classified report. The bounds and the rows both read the per-area profile, which is therefore cut: its
+    plan runs once, now, and the small table it leaves in the shared folder answers every later read."""
+    c = classify_three_level(cut_lineage(profile, "profile"), "accidents_per_1000_vehicles", "injuries_per_1000_accidents",
                              "deaths_per_1000_accidents", out="safety_class")
     return c.select("city", KEY, "safety_class", *PROFILE_COLUMNS[2:])
 
