@@ -6,24 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _writer(df: DataFrame, single_file: bool, mode: str):
+def _writer(df: DataFrame, single_file: bool, mode: str, order: list | None = None):
     # One file only for results bounded by construction (statistics, top-10 lists): it is written by one task, behind
-    # a shuffle so that the stages before it keep their tasks.
-    return (df.repartition(1) if single_file else df).write.mode(mode)
+    # a shuffle so that the stages before it keep their tasks. The shuffle keeps no order, so one is made after it.
+    if single_file:
+        df = df.repartition(1)
+        df = df.sortWithinPartitions(*order) if order else df
+    elif order:
+        raise ValueError("an order inside the output needs single_file; sort the frame for many files")
+    return df.write.mode(mode)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, header: bool = True,
-              mode: str = "error") -> str:
+              mode: str = "error", order: list | None = None) -> str:
     """Flat CSV with one header line per file; fields with commas are quoted and
-    quotes doubled (RFC 4180), which ``read_quoted_csv`` reads back unchanged."""
-    (_writer(df, single_file, mode).option("header", header).option("quote", '"').option("escape", '"')
+    quotes doubled (RFC 4180), which ``read_quoted_csv`` reads back unchanged.
+    ``order``: columns that the lines of a single file are sorted by."""
+    (_writer(df, single_file, mode, order).option("header", header).option("quote", '"').option("escape", '"')
      .option("emptyValue", "").csv(path))
     return path
 
 
-def write_records(df: DataFrame, path: str, single_file: bool = False, mode: str = "error") -> str:
-    """One JSON record per row (top/bottom lists, statistics)."""
-    _writer(df, single_file, mode).json(path)
+def write_records(df: DataFrame, path: str, single_file: bool = False, mode: str = "error", order: list | None = None) -> str:
+    """One JSON record per row (top/bottom lists, statistics); ``order`` as in ``write_csv``."""
+    _writer(df, single_file, mode, order).json(path)
     return path
 
 
