@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,28 @@ def ship(spark: SparkSession) -> None:
     sc._arearisk_shipped = True
 
 
+class Scratch:
+    """Stored tables of an operator's own, deleted when its result does not read them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def cut(self, df: DataFrame, label: str) -> DataFrame:
+        path = fresh_path(self.spark, label)
+        df.write.parquet(path)
+        out = self.spark.read.parquet(path)
+        self.paths[path] = out
+        return out
+
+    def drop(self, *keep: DataFrame) -> None:
+        """Delete the tables but those in ``keep`` (frames that ``cut`` returned)."""
+        for path, df in list(self.paths.items()):
+            if not any(df is k for k in keep):
+                target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+                del self.paths[path]
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)
@@ -156,12 +179,17 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 _POWERS: list[np.ndarray] = []
+#: positions whose powers a worker keeps
+KEPT_POWERS = 1 << 20
 
 
 def _powers(length: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, for at least ``length`` positions (kept for the next block)."""
-    if not _POWERS or len(_POWERS[0]) < length:
-        _POWERS[:] = [_power_table(base, max(1 << 20, 1 << int(length - 1).bit_length())) for base in (_BASE, _INVERSE)]
+    """Powers of the base and of its inverse modulo 2^64, for at least ``length`` positions. Those of an ordinary block
+    are kept for the next, those of a longer text are not."""
+    if length > KEPT_POWERS:
+        return [_power_table(base, length) for base in (_BASE, _INVERSE)]
+    if not _POWERS:
+        _POWERS[:] = [_power_table(base, KEPT_POWERS) for base in (_BASE, _INVERSE)]
     return _POWERS
 
 
@@ -169,7 +197,7 @@ def _power_table(base: int, length: int) -> np.ndarray:
     p = np.ones(length, np.uint64)
     k, step = 1, base
     while k < length:  # p[k:2k] = p[:k] * base^k
-        p[k:2 * k] = p[:k] * np.uint64(step)
+        p[k:2 * k] = p[:min(k, length - k)] * np.uint64(step)
         k, step = 2 * k, step * step % (1 << 64)
     return p
 
@@ -188,6 +216,51 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, symbols: np.ndarray) -> np
     return mix(sums * down[starts])
 
 
+_LANE = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: words above this many bytes are hashed one by one
+LONG_WORD = 64
+
+
+def _lanes(low: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as numbers."""
+    return np.ndarray(len(low) + 1, "<u8", np.concatenate([low, np.zeros(8, np.uint8)]), strides=(1,))
+
+
+def word_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each word's bytes, eight at a time; every byte value counts. Words of up to eight bytes and one
+    length differ in it surely, others but for an accident: with a seed drawn for the run no text can provoke one."""
+    size = ends - starts
+    if not len(size):
+        return np.zeros(0, np.uint64)
+    lanes = _lanes(low)
+    out = mix(size.astype(np.uint64) * np.uint64(_BASE) + np.uint64(seed))
+    out = mix(out ^ (lanes[starts] & _LANE[np.minimum(size, 8)]))
+    for k in range(8, LONG_WORD, 8):
+        at = np.flatnonzero((size > k) & (size <= LONG_WORD))
+        if not len(at):
+            break
+        out[at] = mix(out[at] ^ (lanes[starts[at] + k] & _LANE[np.minimum(size[at] - k, 8)]))
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(low[starts[i]:ends[i]].tobytes(), seed)
+    return out
+
+
+def same_spans(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray, other_starts: np.ndarray, other_ends: np.ndarray) -> np.ndarray:
+    """Whether each span of ``low`` has the bytes of the span of ``other`` at its side."""
+    size = ends - starts
+    same = size == other_ends - other_starts
+    mine, theirs = _lanes(low), _lanes(other)
+    for k in range(0, LONG_WORD, 8):
+        at = np.flatnonzero(same & (size > k))
+        if not len(at):
+            break
+        mask = _LANE[np.minimum(size[at] - k, 8)]
+        same[at] = (mine[starts[at] + k] & mask) == (theirs[other_starts[at] + k] & mask)
+    for x in np.flatnonzero(same & (size > LONG_WORD)).tolist():
+        same[x] = low[starts[x]:ends[x]].tobytes() == other[other_starts[x]:other_ends[x]].tobytes()
+    return same
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective finaliser (splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -195,6 +268,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct sorted keys and the sums of their values."""
+    if not len(keys):
+        return keys, values
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(values, first)
+
+
 def code_points(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Number of code points of each text."""
     seen = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
@@ -210,7 +293,9 @@ def lower_az(keep) -> np.ndarray:
     return t
 
 
-#: words of the near-duplicate contract: everything but space, tab, line ends and form feeds
-SPACED = lower_az(lambda b: b != 0x20 and not 9 <= b <= 13)
+#: A-Z to a-z, all other bytes as they are
+LOWER = lower_az(lambda b: True)
+#: which bytes are in words of the near-duplicate contract: all but space, tab, line ends and form feeds
+SPACED = np.array([b != 0x20 and not 9 <= b <= 13 for b in range(256)])
 #: words of the decontamination contract: digits, letters and all non-ASCII characters
 WORDS = lower_az(lambda b: 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80)

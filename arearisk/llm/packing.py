@@ -6,7 +6,8 @@ available; that pattern is taken as often as the counts allow and its pieces are
 ``capacity`` only: the counts per length are at most ``capacity`` numbers, whatever the corpus holds.
 
 Spark does the rest: tokenising, cutting, counting, and giving each piece its rank among the pieces of its length,
-from which place and sequence follow by arithmetic. A frequent length is split over lanes, so no task holds it whole.
+from which place and sequence follow by arithmetic. A length is split over a lane for every ``LANE_ROWS`` pieces, so no
+task holds it whole; a full piece is a sequence of its own and needs no rank.
 
 Defined results: a null or empty text is one piece holding the end id. Repeated rows are packed each for itself.
 An empty table gives an empty result. Columns besides ``id_col`` and ``text_col`` are ignored.
@@ -19,6 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +28,8 @@ from . import common as C
 from . import tokens as T
 
 CAPACITY = 1024
-LANES = 64
+#: pieces of a length that one task ranks
+LANE_ROWS = 1 << 20
 
 
 def fullest(counts: np.ndarray, target: int) -> list[tuple[int, int]]:
@@ -81,10 +84,12 @@ def patterns(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, li
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
            tokenizer: str = T.TOKENIZER, end_id: int = T.END_ID) -> DataFrame:
-    """One row per piece: id, piece, start, length, ids_crc32. A long text's first piece takes the remainder."""
+    """One row per piece: id, piece, start, length, ids_crc32, and a number of its own, to be stored with it. A long text's
+    first piece takes the remainder."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = T.encoder(T.tokenizer_path(tokenizer))
+        nth = TaskContext.get().partitionId() << 40
         for batch in batches:
             for lo, hi, data, offs in C.blocks(batch.column(1)):
                 ids, bounds = T.with_end(*enc.encode(data, offs), end_id)
@@ -100,23 +105,30 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
                 crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(at.tolist(), (at + length).tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo).take(pa.array(doc)), pa.array(piece, pa.int32()),
-                     pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                    ["doc_id", "piece", "start", "length", "ids_crc32"])
+                     pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(nth + np.arange(len(doc)), pa.int64())],
+                    ["doc_id", "piece", "start", "length", "ids_crc32", "nth"])
+                nth += len(doc)
+        enc.forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return C.map_arrow(docs.select(id_col, text_col), cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return C.map_arrow(docs.select(id_col, text_col), cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, nth long")
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, lanes: int = LANES) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = CAPACITY, lane_rows: int = LANE_ROWS) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to a stored table of pieces (it is read more than once)."""
     spark = cut.sparkSession
-    cut = cut.withColumn("lane", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "start"), F.lit(lanes)).cast("int"))
-    per_lane = [(r.length, r.lane, r.n) for r in cut.groupBy("length", "lane").agg(F.count("*").alias("n")).collect()]  # capacity * lanes rows at most
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    full = cut.where(F.col("length") == capacity).select(*columns, (-1 - F.col("nth")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    cut = cut.where(F.col("length") < capacity)
     counts = np.zeros(capacity + 1, np.int64)
-    before = []
-    for length, lane, n in sorted(per_lane):
-        before.append((length, lane, int(counts[length])))
-        counts[length] += n
+    for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect():  # capacity rows at most
+        counts[r.length] = r.n
+    lanes = spark.createDataFrame([(k, 1 + int(n) // lane_rows) for k, n in enumerate(counts)], "length long, lanes long")
+    cut = cut.join(F.broadcast(lanes), "length").withColumn("lane", F.pmod(F.xxhash64("nth"), "lanes"))
+    before, seen = [], np.zeros(capacity + 1, np.int64)
+    for length, lane, n in sorted(tuple(r) for r in cut.groupBy("length", "lane").agg(F.count("*").alias("n")).collect()):  # and a row for lane_rows pieces
+        before.append((length, lane, int(seen[length])))
+        seen[length] += n
     found = patterns(counts, capacity)
 
     # rules: ranks [first, first + copies * times) of a length go to sequences base .. base + times, copies in each
@@ -130,9 +142,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, lanes: int = LANES) -> DataFr
             offset += copies * length
         base += times
 
-    starts = spark.createDataFrame(before or [(0, 0, 0)], "length long, lane int, before long")
-    ranked = (cut.withColumn("rank", F.row_number().over(Window.partitionBy("length", "lane").orderBy("doc_id", "piece", "ids_crc32", "start")) - 1)
-              .join(F.broadcast(starts), ["length", "lane"]))  # capacity * lanes rows at most
+    starts = spark.createDataFrame(before or [(0, 0, 0)], "length long, lane long, before long")
+    ranked = cut.withColumn("rank", F.row_number().over(Window.partitionBy("length", "lane").orderBy("nth")) - 1).join(starts, ["length", "lane"])
     rules_bc = spark.sparkContext.broadcast({k: np.array(v, np.int64) for k, v in rules.items()})  # grows with capacity only
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,8 +163,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, lanes: int = LANES) -> DataFr
                                              ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     kind = cut.schema["doc_id"].dataType.simpleString()
-    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("rank")).alias("rank"))
-    return C.map_arrow(ranked, place, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    ranked = ranked.select(*columns, (F.col("before") + F.col("rank")).alias("rank"))
+    return C.map_arrow(ranked, place, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long").unionByName(full)
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,

@@ -5,10 +5,10 @@ place clockwise. A shard takes rows up to its bound; rows of an arc whose shard
 next place of a shard with room. The bounds are the floor or the ceiling of rows / shards, so counts differ by one
 at most, and only overflowing rows leave the shard that plain consistent hashing gives them.
 
-Rows are counted per arc and lane, a table bounded by ``shards * vnodes * lanes``. The overflow is settled on those
-counts, which gives each arc a short list of (first rank, shard, first slot); a row's rank within its arc picks the
-entry. Ranks are taken per (arc, lane) with lanes dealt by row number, so copies of one key spread over lanes and
-no window holds an arc, or a key, whole.
+Rows are counted per arc, and the overflow is settled on those counts, which gives each arc a short list of (first rank,
+shard, first slot); a row's rank within its arc picks the entry. An arc has a lane for every ``LANE_ROWS`` rows, dealt by
+row number, and ranks are taken per (arc, lane), so copies of one key spread over lanes and no window holds an arc, or a
+key, whole. The driver holds a count for each arc and lane: ``shards * vnodes`` and one for ``LANE_ROWS`` rows.
 
 Defined results: a null key hashes as empty text, a null text has size 1 and the crc32 of no bytes. Repeated rows
 are placed each for itself. An empty table gives an empty result. Other columns are ignored.
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from . import common as C
 
 VNODES = 128
-LANES = 16
+#: rows that one task ranks
+LANE_ROWS = 1 << 20
 RING = 1 << 32
 
 
@@ -67,11 +68,12 @@ def settle(counts: np.ndarray, owner: np.ndarray, bounds: np.ndarray) -> list[li
     return out
 
 
-def shard_rows(rows: DataFrame, key: str, shards: int, vnodes: int = VNODES, lanes: int = LANES) -> DataFrame:
-    """Add ``shard``, ``slot`` and ``home_shard`` (before any overflow) to a stored table of narrow rows."""
+def shard_rows(rows: DataFrame, key: str, shards: int, vnodes: int = VNODES, lane_rows: int = LANE_ROWS) -> DataFrame:
+    """Add ``shard``, ``slot`` and ``home_shard`` (before any overflow) to a table of narrow rows; its columns pass."""
     spark = rows.sparkSession
     places = ring_places(shards, vnodes)
     owner = np.array([s for _, s in places])
+    mine = [c for c in rows.columns if c not in ("shard", "slot", "home_shard")]
     # the first place at or after the hash; past the last place the ring begins anew
     hashed = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(RING))
     cell = RING // 4096  # equal cells of the ring find the arc by an equi-join, then by the bounds of the arc
@@ -81,33 +83,35 @@ def shard_rows(rows: DataFrame, key: str, shards: int, vnodes: int = VNODES, lan
         cells += [(c, i, lo, p) for c in range(lo // cell, p // cell + 1)]
     lo = places[-1][0] + 1
     cells += [(c, 0, lo, RING - 1) for c in range(lo // cell, 4096)]
-    arcs = spark.createDataFrame(cells, "cell int, arc int, lo long, hi long")
-    rows = (rows.withColumn("hash", hashed).withColumn("cell", F.floor(F.col("hash") / cell).cast("int"))
-            .join(F.broadcast(arcs), "cell")  # 4096 + shards * vnodes rows
-            .where("hash BETWEEN lo AND hi").drop("cell", "lo", "hi")
-            .withColumn("lane", F.pmod(F.monotonically_increasing_id(), F.lit(lanes)).cast("int")))
-    rows = C.cut_lineage(rows, "ring")  # lanes by row number must not change when a task runs again
+    arcs = spark.createDataFrame(cells, "_cell int, _arc int, _lo long, _hi long")
+    rows = (rows.select(F.struct(*mine).alias("_row"), hashed.alias("_hash"), F.monotonically_increasing_id().alias("_nth"))
+            .withColumn("_cell", F.floor(F.col("_hash") / cell).cast("int"))
+            .join(F.broadcast(arcs), "_cell")  # 4096 + shards * vnodes rows
+            .where("_hash BETWEEN _lo AND _hi").select("_row", "_hash", "_nth", "_arc"))
+    rows = C.cut_lineage(rows, "ring")  # row numbers must not change when a task runs again
     counts = np.zeros(len(places), np.int64)
-    before = []
-    for r in sorted(rows.groupBy("arc", "lane").agg(F.count("*").alias("n")).collect()):  # arcs * lanes rows at most
-        before.append((r.arc, r.lane, int(counts[r.arc])))
-        counts[r.arc] += r.n
+    for r in rows.groupBy("_arc").agg(F.count("*").alias("n")).collect():  # shards * vnodes rows at most
+        counts[r._arc] = r.n
+    lanes = spark.createDataFrame([(arc, 1 + n // lane_rows) for arc, n in enumerate(counts.tolist())], "_arc int, _lanes long")
+    rows = rows.join(F.broadcast(lanes), "_arc").withColumn("_lane", F.pmod(F.xxhash64("_nth"), "_lanes")).drop("_lanes")
+    before, seen = [], np.zeros(len(places), np.int64)
+    for arc, lane, n in sorted(tuple(r) for r in rows.groupBy("_arc", "_lane").agg(F.count("*").alias("n")).collect()):
+        before.append((arc, lane, int(seen[arc])))
+        seen[arc] += n
     total = int(counts.sum())
     bounds = np.array([total // shards + (s < total % shards) for s in range(shards)], np.int64)
     rules = []
     for arc, parts in enumerate(settle(counts, owner, bounds)):
         ends = [p[0] for p in parts[1:]] + [int(counts[arc])]
         rules += [(arc, first, end, shard, slot, int(owner[arc])) for (first, shard, slot, _), end in zip(parts, ends)]
-    before_df = spark.createDataFrame(before or [(0, 0, 0)], "arc int, lane int, before long")
-    rules_df = spark.createDataFrame(rules or [(0, 0, 0, 0, 0, 0)], "arc int, first long, last long, shard int, first_slot long, home_shard int")
-    order = Window.partitionBy("arc", "lane").orderBy("hash", *[c for c in rows.columns if c not in ("arc", "lane", "hash")])
-    return (rows.withColumn("nth", F.row_number().over(order) - 1)
-            .join(F.broadcast(before_df), ["arc", "lane"])
-            .withColumn("rank", F.col("before") + F.col("nth"))
-            .join(F.broadcast(rules_df), "arc")  # a few rows an arc: an overflow goes to few shards
-            .where("rank >= first AND rank < last")
-            .withColumn("slot", F.col("first_slot") + F.col("rank") - F.col("first"))
-            .drop("arc", "lane", "hash", "nth", "before", "rank", "first", "last", "first_slot"))
+    before_df = spark.createDataFrame(before or [(0, 0, 0)], "_arc int, _lane long, _before long")
+    rules_df = spark.createDataFrame(rules or [(0, 0, 0, 0, 0, 0)], "_arc int, _first long, _last long, shard int, _slot long, home_shard int")
+    return (rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_arc", "_lane").orderBy("_hash", "_nth")) - 1)
+            .join(before_df, ["_arc", "_lane"])
+            .withColumn("_rank", F.col("_before") + F.col("_rank"))
+            .join(F.broadcast(rules_df), "_arc")  # a few rows an arc: an overflow goes to few shards
+            .where("_rank >= _first AND _rank < _last")
+            .select("_row.*", "shard", (F.col("_slot") + F.col("_rank") - F.col("_first")).alias("slot"), "home_shard"))
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,12 +9,17 @@
 3. A set may leave out ``slack`` - 1 segments; it leaves out its most frequent ones. The order by frequency is the
    same for all sets, so the rarest segment that a linked pair shares is kept on both sides.
 4. Frequent segments left over (large groups of near copies) are compared with one member first, the set with the
-   most frequent segments. Links make components; only members of different components are compared further, in
-   blocks, with parity bitmaps as an exact lower bound of the difference before the sets themselves.
-5. Every pair is verified on the shingle sets of its texts. Set elements are compared by 64-bit hashes.
-
-No pairs of a large group are emitted: blocks carry texts and give links that join components. Texts move only for
-sets that have a candidate partner.
+   most frequent segments. Links make components; only members of different components are compared further.
+5. Those are split by a second, finer partition of the universe, of which each may leave out its most frequent two thirds:
+   sets that have a passage in common meet in the first partition, and part here unless they may be linked. Members
+   that still share a segment are compared in blocks, with parity bitmaps as an exact lower bound of the difference
+   before the sets themselves.
+6. Every pair is verified on the shingle sets of its texts, whose words are compared byte by byte. Sets are told apart,
+   and their sizes counted, by 64-bit hashes with a seed drawn for the run.
+
+No pairs of a large group are emitted: links go between the components found so far, blocks carry texts and give links
+that join components. Texts move only for sets that have a candidate partner. A task holds the members of one signature,
+about 40 bytes each, and any number of them. Stored tables that only lead to the result are deleted on the way.
 
 Defined results: a null text or one without words has an empty set and is linked with nothing; one with fewer than
 five words is one shingle. Repeated rows and equal texts are linked. A null id is never the smallest unless all are.
@@ -23,6 +28,7 @@ An empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,7 +44,9 @@ from .components import components
 #: a signature shared by more sets counts as frequent
 PAIRED = 4
 #: signatures in a bucket, about
-BUCKET = 1_500_000
+BUCKET = 1_000_000
+#: sets of a bucket whose numbers fit beside a signature's 40 bits; more are sorted by both
+OWNERS = 1 << 24
 #: sets in a block of a large group
 BLOCK = 256
 READ_BYTES = 1 << 20
@@ -46,13 +54,18 @@ READ_BYTES = 1 << 20
 FILTER_BITS = 1 << 25
 
 
-def doc_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def new_seed() -> int:
+    """Of the word hashes of one run: no text can be written so that its words collide."""
+    return secrets.randbits(63)
+
+
+def doc_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 0) -> DataFrame:
     """doc_id, text_hash, n_shingles, node (64-bit hash of the set; null if empty) of every row."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offs in C.blocks(batch.column(1), READ_BYTES):
-                sets, bounds = S.shingle_sets(data, offs)
+                sets, bounds = S.shingle_sets(data, offs, seed)
                 n = np.diff(bounds)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(n.astype(np.int64)),
@@ -67,14 +80,29 @@ def doc_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 _ENTRY = np.dtype([("node", "<u8"), ("n", "<u4"), ("slack", "<i2"), ("count", "<u2"), ("band", "u1")])
 
 
-def packed_signatures(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
+def _columns(rec: np.ndarray) -> bytes:
+    """The entries field by field, which the shuffle's compression likes better than row by row."""
+    return b"".join(rec[f].tobytes() for f in _ENTRY.names)
+
+
+def _entries(raw: bytes) -> np.ndarray:
+    n, at = len(raw) // _ENTRY.itemsize, 0
+    rec = np.empty(n, _ENTRY)
+    for f in _ENTRY.names:
+        kind = _ENTRY[f]
+        rec[f] = np.frombuffer(raw, kind, n, at)
+        at += n * kind.itemsize
+    return rec
+
+
+def packed_signatures(docs: DataFrame, text_col: str, buckets: int, seed: int = 0) -> DataFrame:
     """bucket, entries, keys: the signatures of a block of texts that fall into a bucket, packed."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for _, _, data, offs in C.blocks(batch.column(0), READ_BYTES):
-                sets, bounds = S.shingle_sets(data, offs)
+                sets, bounds = S.shingle_sets(data, offs, seed)
                 node = S.set_hashes(sets, bounds)[0]
                 _, once = np.unique(node, return_index=True)
                 fresh = [i for i in np.sort(once).tolist() if bounds[i + 1] > bounds[i] and int(node[i]) not in seen]
@@ -103,7 +131,7 @@ def packed_signatures(docs: DataFrame, text_col: str, buckets: int) -> DataFrame
                         rec = np.repeat(rec, -(-count // 65535))
                         rec["count"] = np.concatenate([[65535] * (c // 65535) + [c % 65535] * (c % 65535 > 0) for c in count.tolist()])
                     out_bucket.append(int(bucket[a]))
-                    out_entry.append(rec.tobytes())
+                    out_entry.append(_columns(rec))
                     low = key[a:b] & np.uint64((1 << 40) - 1)
                     out_key.append(low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(out_bucket, pa.int32()), pa.array(out_entry, pa.binary()), pa.array(out_key, pa.binary())],
@@ -122,7 +150,7 @@ def match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     buckets: dict[int, list] = {}
     for batch in batches:
         for bucket, entries, keys in zip(*(c.to_pylist() for c in batch.columns)):
-            buckets.setdefault(bucket, []).append((np.frombuffer(entries, _ENTRY), np.frombuffer(keys, np.uint8)))
+            buckets.setdefault(bucket, []).append((_entries(entries), np.frombuffer(keys, np.uint8)))
     for bucket, parts in buckets.items():
         rec = np.concatenate([p[0] for p in parts])
         wide = np.zeros((sum(len(p[1]) for p in parts) // 5, 8), np.uint8)
@@ -132,10 +160,14 @@ def match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         back = np.zeros(len(who), np.int64)
         back[member] = np.arange(len(rec))
         owner = np.repeat(member, rec["count"].astype(np.int64))
-        if len(who) >= 1 << 24:
-            raise ValueError("a bucket holds too many sets: lower BUCKET")
-        both = np.unique(key << np.uint64(24) | owner.astype(np.uint64))
-        key, owner = both >> np.uint64(24), back[(both & np.uint64((1 << 24) - 1)).astype(np.int64)]
+        if len(who) <= OWNERS:  # key and set in one number
+            both = np.unique(key << np.uint64(24) | owner.astype(np.uint64))
+            key, owner = both >> np.uint64(24), back[(both & np.uint64((1 << 24) - 1)).astype(np.int64)]
+        else:
+            order = np.lexsort((owner, key))
+            key, owner = key[order], owner[order]
+            fresh = np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))
+            key, owner = key[fresh], back[owner[fresh]]
         first = np.flatnonzero(np.diff(key, prepend=key[0] ^ np.uint64(1)))
         size = np.diff(np.append(first, len(key)))
         pairs = []
@@ -170,7 +202,7 @@ def match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # ---- verification --------------------------------------------------------------------------------------------------
 
-def verify_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verify_pairs(pairs: DataFrame, texts: DataFrame, seed: int = 0) -> DataFrame:
     """The linked ones of (a, b), by the texts (node, text)."""
     rows = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -178,19 +210,20 @@ def verify_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                one, two = (S.shingle_sets(*C.text_buffers(part.column(k))) for k in (2, 3))
-                good = [S.linked(one[0][one[1][i]:one[1][i + 1]], two[0][two[1][i]:two[1][i + 1]]) for i in range(part.num_rows)]
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                n = part.num_rows
+                sets, at = S.exact_sets(*C.text_buffers(pa.concat_arrays([part.column(2), part.column(3)])), seed)
+                good = [S.linked(sets[at[i]:at[i + 1]], sets[at[n + i]:at[n + i + 1]]) for i in range(n)]
                 yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return C.map_arrow(rows, check, "a long, b long")
 
 
-def link_block(part: pd.DataFrame) -> pd.DataFrame:
+def link_block(part: pd.DataFrame, seed: int = 0) -> pd.DataFrame:
     """Links that join different components inside a pair of blocks."""
     part = part.drop_duplicates("node").reset_index(drop=True)
-    sets, bounds = S.shingle_sets(*C.text_buffers(pa.array(part["text"], pa.string())))
+    sets, bounds = S.exact_sets(*C.text_buffers(pa.array(part["text"], pa.string())), seed)
     n, node = np.diff(bounds), part["node"].to_numpy()
     group = {c: c for c in part["component"]}
 
@@ -219,67 +252,97 @@ def link_block(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def link_groups(runs: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between members of one frequent signature that lie in different components so far."""
-    spark = runs.sparkSession
+def open_runs(runs: DataFrame, found: DataFrame, scratch: C.Scratch) -> tuple[DataFrame, DataFrame]:
+    """Members (a, component) of frequent signatures that more than one component shares, and edges (a, b) between the
+    components of each, from its smallest: members that are linked already are one end of an edge, however many."""
     named = runs.select("run", "a").join(found.withColumnRenamed("node", "a"), "a", "left").select(
         "run", "a", F.coalesce("component", "a").alias("component"))
-    named = C.cut_lineage(named, "runs")
-    open_runs = C.cut_lineage(named.groupBy("run").agg(F.min("a").alias("hub"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-                              .where("lo < hi").select("run", "hub"), "runs")
-    members = C.cut_lineage(named.join(open_runs, "run"), "runs")
-    if members.isEmpty():
-        return spark.createDataFrame([], "a long, b long")
-    # runs that share members are handled together, so a pair is compared once
-    group = components(C.cut_lineage(members.where("a <> hub").select(F.col("hub").alias("a"), F.col("a").alias("b")).distinct(), "edges"))
-    sized = (members.select("a", "component").distinct()
-             .join(group.select(F.col("node").alias("a"), F.col("component").alias("group")), "a"))
-    sized = C.cut_lineage(sized, "groups")
-    blocks = C.cut_lineage(sized.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "groups")
+    named = scratch.cut(named, "runs")
+    opened = scratch.cut(named.groupBy("run").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("run", "lo"), "runs")
+    members = scratch.cut(named.join(opened, "run").select("a", "component", "lo").distinct(), "runs")
+    edges = members.where("component <> lo").select(F.col("lo").alias("a"), F.col("component").alias("b")).distinct()
+    return members.select("a", "component").distinct(), edges
+
+
+def fine_runs(members: DataFrame, texts: DataFrame, seed: int, scratch: C.Scratch) -> DataFrame:
+    """Stored (run, a): the segments of the second partition that ``members`` share and do not leave out."""
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offs in C.blocks(batch.column(1), READ_BYTES // 4):
+                sets, bounds = S.shingle_sets(data, offs, seed)
+                which, band, slack, made = S.fine_signatures(sets, bounds)
+                node = batch.column(0).slice(lo, hi - lo).take(pa.array(which))
+                yield pa.RecordBatch.from_arrays([pa.array(made.view(np.int64)), node, pa.array(band.astype(np.int32)), pa.array(slack.astype(np.int32))],
+                                                 ["run", "a", "band", "slack"])
+
+    rows = texts.join(members.select(F.col("a").alias("node")).distinct(), "node").select("node", "text")
+    rows = scratch.cut(C.map_arrow(rows, read, "run long, a long, band int, slack int"), "fine")
+    shared = scratch.cut(rows.groupBy("run").agg(F.count("*").alias("members")).where("members > 1"), "fine")
+    place = F.row_number().over(Window.partitionBy("a", "band").orderBy(F.desc("members"), "run"))
+    return scratch.cut(rows.join(shared, "run").withColumn("place", place).where("place >= slack").select("run", "a"), "fine")
+
+
+def link_groups(runs: DataFrame, found: DataFrame, texts: DataFrame, seed: int = 0) -> DataFrame:
+    """Stored links between members of one frequent signature that lie in different components so far."""
+    scratch = C.Scratch(runs.sparkSession)
+    members, _ = open_runs(runs, found, scratch)
+    members, edges = open_runs(fine_runs(members, texts, seed, scratch), found, scratch)
+    # signatures that share components are handled together, so a pair is compared once
+    group = components(edges)
+    sized = scratch.cut(members.join(group.select(F.col("node").alias("component"), F.col("component").alias("group")), "component"), "groups")
+    blocks = scratch.cut(sized.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "groups")
     dealt = (sized.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
                      F.col("a").alias("node"), "component")
              .join(texts, "node"))
-    C.ship(spark)
-    return dealt.groupBy("group", "i", "j").applyInPandas(link_block, "a long, b long")
+    C.ship(runs.sparkSession)
 
+    def link(part: pd.DataFrame) -> pd.DataFrame:
+        return link_block(part, seed)
 
-def near_links(docs: DataFrame, sets: DataFrame, text_col: str = "text") -> DataFrame:
-    """Stored links (a, b) between sets that, taken together, connect exactly the linked ones."""
+    out = C.cut_lineage(dealt.groupBy("group", "i", "j").applyInPandas(link, "a long, b long"), "links")
+    scratch.drop()
+    return out
+
+
+def near_links(docs: DataFrame, sets: DataFrame, text_col: str = "text", seed: int = 0) -> DataFrame:
+    """Links (a, b) between sets that, taken together, connect exactly the linked ones, in stored tables."""
     spark = docs.sparkSession
+    scratch = C.Scratch(spark)
     total = sets.agg(F.sum("n_shingles")).head()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
-    packed = packed_signatures(docs, text_col, buckets).repartitionById(buckets, F.col("bucket"))
-    matched = C.cut_lineage(C.map_arrow(packed, match, "run long, a long, b long, band int, n long, slack int, members long"), "matched")
+    packed = packed_signatures(docs, text_col, buckets, seed).repartitionById(buckets, F.col("bucket"))
+    matched = scratch.cut(C.map_arrow(packed, match, "run long, a long, b long, band int, n long, slack int, members long"), "matched")
 
     mine = Window.partitionBy("a", "band")
     runs = (matched.where("run IS NOT NULL")
             .withColumn("place", F.row_number().over(mine.orderBy(F.desc("members"), "run")))
             .withColumn("frequent", F.count("*").over(mine))
             .where("place >= slack").select("run", "a", "n", "frequent"))
-    runs = C.cut_lineage(runs, "runs")
-    hubs = C.cut_lineage(runs.groupBy("run").agg(F.max(F.struct("frequent", "a", "n")).alias("top"))
-                         .select("run", F.col("top.a").alias("hub"), F.col("top.n").alias("hub_n")), "hubs")
+    runs = scratch.cut(runs, "runs")
+    hubs = scratch.cut(runs.groupBy("run").agg(F.max(F.struct("frequent", "a", "n")).alias("top"))
+                       .select("run", F.col("top.a").alias("hub"), F.col("top.n").alias("hub_n")), "hubs")
     star = runs.join(hubs, "run").where(f"a <> hub AND 100 * least(n, hub_n) >= {S.SIMILARITY} * greatest(n, hub_n)")
     # a linked pair shares many segments: those found as pairs, frequent ones, or empty ones (taken off already)
-    often = C.cut_lineage(matched.where("run IS NOT NULL").groupBy("a", "band").agg(F.count("*").alias("often")), "often")
-    paired = C.cut_lineage(matched.where("run IS NULL").groupBy("a", "b", "band", "slack").agg(F.sum("members").alias("shared")), "pairs")
+    often = scratch.cut(matched.where("run IS NOT NULL").groupBy("a", "band").agg(F.count("*").alias("often")), "often")
+    paired = scratch.cut(matched.where("run IS NULL").groupBy("a", "b", "band", "slack").agg(F.sum("members").alias("shared")), "pairs")
     paired = (paired.join(often.withColumnRenamed("often", "often_a"), ["a", "band"], "left")
               .join(often.select(F.col("a").alias("b"), "band", F.col("often").alias("often_b")), ["b", "band"], "left")
               .where("shared + least(coalesce(often_a, 0), coalesce(often_b, 0)) >= slack"))
     pairs = (paired.select("a", "b")
              .unionByName(star.select(F.least("a", "hub").alias("a"), F.greatest("a", "hub").alias("b"))).distinct())
-    pairs = C.cut_lineage(pairs, "pairs")
+    pairs = scratch.cut(pairs, "pairs")
 
     wanted = (pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
               .unionByName(runs.select(F.col("a").alias("node"))).distinct())
-    wanted = C.cut_lineage(sets.where("node IS NOT NULL").groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(wanted, "node"), "wanted")
-    texts = C.cut_lineage(texts_of(docs, wanted, text_col), "texts")
+    wanted = scratch.cut(sets.where("node IS NOT NULL").groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(wanted, "node"), "wanted")
+    texts = texts_of(docs, wanted, text_col, seed, scratch)
 
-    links = C.cut_lineage(verify_pairs(pairs, texts), "links")
-    found = components(links)
-    more = C.cut_lineage(link_groups(runs, found, texts), "links")
+    links = C.cut_lineage(verify_pairs(pairs, texts, seed), "links")
+    more = link_groups(runs, components(links), texts, seed)
+    scratch.drop()
     return links.unionByName(more)
 
 
@@ -311,8 +374,8 @@ def _place(hashes: np.ndarray) -> np.ndarray:
     return (C.mix(hashes.view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
-    """(node, text) for each row of the stored table ``wanted`` (node, text_hash).
+def texts_of(docs: DataFrame, wanted: DataFrame, text_col: str, seed: int, scratch: C.Scratch) -> DataFrame:
+    """Stored (node, text) for each row of the stored table ``wanted`` (node, text_hash).
 
     A broadcast bitmap of fixed size keeps most other texts out of the join's shuffle; the join decides. With many
     more candidates than the bitmap has bits it lets everything through, and the texts are shuffled once.
@@ -328,19 +391,22 @@ def texts_of(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
     def same(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offs in C.blocks(batch.column(1), READ_BYTES):
-                node = S.set_hashes(*S.shingle_sets(data, offs))[0].view(np.int64)
+                node = S.set_hashes(*S.shingle_sets(data, offs, seed))[0].view(np.int64)
                 part = batch.slice(lo, hi - lo)
                 yield part.filter(pa.array(node == part.column(0).to_numpy(zero_copy_only=False)))
 
     some = C.map_arrow(docs.select(C.text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text")), maybe, "text_hash long, text string")
     named = some.join(wanted, "text_hash").select("node", "text")
-    return C.map_arrow(named, same, "node long, text string").dropDuplicates(["node"])
+    out = scratch.cut(C.map_arrow(named, same, "node long, text string").dropDuplicates(["node"]), "texts")
+    bits.unpersist()
+    return out
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component (null for an empty set), component_id of every row."""
-    sets = C.cut_lineage(doc_sets(docs, id_col, text_col), "sets")
-    joined = components(C.cut_lineage(near_links(docs, sets, text_col), "links"))
+    seed = new_seed()
+    sets = C.cut_lineage(doc_sets(docs, id_col, text_col, seed), "sets")
+    joined = components(near_links(docs, sets, text_col, seed))
     named = (sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
              .join(joined, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component")))
     named = C.cut_lineage(named, "named")

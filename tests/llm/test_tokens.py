@@ -103,6 +103,17 @@ def test_token_files_with_a_hot_id_and_without_rows(spark, tmp_path):
     assert huffman.read_digests(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_token_files_of_large_ids(spark, tmp_path):
+    """Ids that doubles cannot tell apart, one of them hot, and many null ids: ascending, and dealt over several parts."""
+    top = 1 << 62
+    ids = [top + k for k in range(300)] + [top + 7] * 300 + [-top - k for k in range(50)] + [(1 << 63) - 1, -(1 << 63), 0] + [None] * 200
+    huffman.write_tokens(cases.docs(spark, [(i, cases.prose(k % 50, 6)) for k, i in enumerate(ids)]), str(tmp_path / "l"))
+    got = sorted(huffman.read_digests(spark, str(tmp_path / "l")).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * 200 + sorted(i for i in ids if i is not None)
+    parts = spark.read.parquet(str(tmp_path / "l/blocks")).selectExpr("part", "explode(doc_ids) id")
+    assert parts.where(f"id = {top + 7}").select("part").distinct().count() > 1 and parts.where("id IS NULL").select("part").distinct().count() > 1
+
+
 def packed(df):
     return [r.asDict() for r in df.collect()]
 
@@ -135,6 +146,18 @@ def test_packing(spark, encoder):
     assert packing.pack_documents(cases.docs(spark, [])).count() == 0
 
 
+def test_packing_in_many_lanes(spark, encoder, tmp_path):
+    """Copies of one row, full pieces, and lanes of a few pieces; the query runs on the whole table."""
+    texts = cases.texts() + [(5, "same few words")] * 300 + [(6, cases.prose(3, 1500))] * 5
+    cut = C.cut_lineage(packing.pieces(cases.docs(spark, texts)), "pieces")
+    got = packed(packing.pack(cut, lane_rows=7))
+    assert check_packing(got, texts, encoder) <= -(-sum(r["length"] for r in got) // 1024) + 1
+    d = cases.folder(spark, tmp_path, cases.docs(spark, texts))
+    check_packing(packed(packing.op3_packing(spark, d)), texts, encoder)
+    huffman_rows = sorted(huffman.op1_token_files(spark, d).collect(), key=lambda r: r.start)
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in huffman_rows) == sorted((str(i), len(plain(encoder, t)) + 1, crc(plain(encoder, t) + [2])) for i, t in texts)
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 30), min_size=1, max_size=60))
 def test_patterns_use_every_piece_and_the_fullest_sum(lengths):
@@ -167,6 +190,41 @@ def test_ring(spark):
     assert ring.shard_rows(rows.limit(0), "doc_id", 8).count() == 0
 
 
+def test_ring_of_clashing_columns_and_many_lanes(spark):
+    """A caller's columns of any name pass; a hot key's rows are ranked in lanes."""
+    from pyspark.sql import functions as F
+
+    names = ["hash", "arc", "lane", "nth", "rank", "before", "first", "cell", "n"]
+    rows = spark.range(900).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"), *[F.col("id").alias(n) for n in names])
+    got = ring.shard_rows(rows, "doc_id", 5, lane_rows=20).collect()
+    assert set(names) <= set(got[0].asDict()) and sorted(r["hash"] for r in got) == list(range(900)) == sorted(r["n"] for r in got)
+    by = {}
+    for r in got:
+        by.setdefault(r.shard, []).append(r.slot)
+    assert sorted(len(v) for v in by.values()) == [180] * 5 and all(sorted(v) == list(range(180)) for v in by.values())
+
+
+def test_sharding_query_against_brute_force(spark, tmp_path):
+    """The query's columns, the law, and the shard of every row as bounded loads on the ring give it."""
+    from pyspark.sql import functions as F
+
+    texts = cases.texts() + [(5, "same")] * 200
+    d = cases.folder(spark, tmp_path, cases.docs(spark, texts))
+    got = ring.op2_sharding(spark, d).collect()
+    want = sorted((str(i), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in texts)
+    assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in got) == want
+    assert {r.law for r in got} == {"rows"} and {r.grown_shard for r in got} == {None}
+    places = ring.ring_places(8)
+    hashes = {r.doc_id: r.h for r in cases.docs(spark, texts).select("doc_id", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 32)).alias("h")).collect()}
+    home = {i: next((s for p, s in places if p >= h), places[0][1]) for i, h in hashes.items()}
+    assert all(r.home_shard == home[r.doc_id] for r in got)
+    n = [sum(r.shard == s for r in got) for s in range(8)]
+    assert max(n) - min(n) <= 1 and sum(n) == len(texts)
+    own = [sum(home[r.doc_id] == s for r in got) for s in range(8)]
+    bound = [len(texts) // 8 + (s < len(texts) % 8) for s in range(8)]
+    assert sum(r.shard == r.home_shard for r in got) == sum(map(min, own, bound))  # only overflow moves
+
+
 def test_ring_moves_only_overflow_and_keeps_home_when_it_fits():
     places = ring.ring_places(8)
     owner = np.array([s for _, s in places])
@@ -176,12 +234,15 @@ def test_ring_moves_only_overflow_and_keeps_home_when_it_fits():
     bounds = np.array([total // 8 + (s < total % 8) for s in range(8)])
     parts = ring.settle(counts, owner, bounds)
     taken, home = np.zeros(8, int), 0
+    slots = {s: [] for s in range(8)}
     for arc, rules in enumerate(parts):
         ends = [x[0] for x in rules[1:]] + [int(counts[arc])]
         for (first, shard, slot, _), end in zip(rules, ends):
-            assert slot == taken[shard] or True
+            slots[shard].append((slot, slot + end - first))
             taken[shard] += end - first
             home += (end - first) * (shard == owner[arc])
+    for ranges in slots.values():  # gapless from 0
+        assert [a for a, _ in sorted(ranges)] == [0, *[b for _, b in sorted(ranges)][:-1]]
     own = np.bincount(owner, counts, 8)
     assert (taken == bounds).all() and home == int(np.minimum(own, bounds).sum())
     assert set(ring.ring_places(8)) <= set(ring.ring_places(9))  # a ninth shard leaves the other places alone
