@@ -3,7 +3,8 @@
 A payload of any size is rows of (record, chunk, at most ``CHUNK`` bytes); no task holds more than a batch of them.
 
 1. The chunk table is made in one pass over the pages and stored. The chunks of a record follow each other in a task, so
-   each row carries the length and the SHA-256 of the payload up to its end; the last chunk's are the record's.
+   each row carries the length and the SHA-256 of the payload up to its end; the last chunk's are the record's. A chunk's
+   bytes are stored, and shuffled later, compressed one by one.
 2. Records are narrow rows. Of equal payloads (length and SHA-256) of at least ``LEAST`` bytes the smallest page id is the
    response. The counts per payload are partial aggregates, and a payload that a third of all pages share is one row on
    the other side of a join that adaptive execution splits.
@@ -42,7 +43,8 @@ DATE = "2000-01-01T00:00:00Z"
 
 END = "\r\n"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-CHUNKS = "record long, page_id string, url string, chunk long, last boolean, bytes long, digest string, data binary"
+CHUNKS = "record long, page_id string, url string, chunk long, last boolean, bytes long, digest string, size int, data binary"
+CODEC = "zstd"
 RECORD = "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string"
 
 
@@ -57,30 +59,34 @@ def chunk_table(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, size = hashlib.sha256(), 0
+        codec = pa.Codec(CODEC)
         for batch in batches:
-            sizes, digests = [], []
+            ends, digests, sizes, packed = [], [], [], []
             for k, data in zip(batch.column("chunk").to_pylist(), batch.column("data")):
                 if k == 0:
                     state, size = hashlib.sha256(), 0
                 held = data.as_buffer()
                 state.update(held)
                 size += len(held)
-                sizes.append(size)
+                ends.append(size)
                 digests.append(state.hexdigest())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), batch.column(5)],
-                                             ["record", "page_id", "url", "chunk", "last", "bytes", "digest", "data"])
+                sizes.append(len(held))
+                packed.append(codec.compress(held, asbytes=True))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:5], pa.array(ends, pa.int64()), pa.array(digests, pa.string()), pa.array(sizes, pa.int32()), pa.array(packed, pa.binary())],
+                ["record", "page_id", "url", "chunk", "last", "bytes", "digest", "size", "data"])
 
     return C.map_arrow(parts, digest, CHUNKS)
 
 
-def decide(chunks: DataFrame, kind: str = "string", least: int = LEAST) -> DataFrame:
+def decide(chunks: DataFrame, scratch: C.Scratch, kind: str = "string", least: int = LEAST) -> DataFrame:
     """record, page_id, url, bytes, digest, type, and of the response that a revisit refers to: page_id, url, record."""
-    records = C.cut_lineage(chunks.where("last").select("record", "page_id", "url", "bytes", "digest"), "records")
+    records = scratch.cut(chunks.where("last").select("record", "page_id", "url", "bytes", "digest"), "records")
     order = F.struct(F.col("page_id").isNull(), F.col("page_id").cast(kind), "record", "page_id", "url")
     shared = (records.where(F.col("bytes") >= least).groupBy("bytes", "digest").agg(F.count("*").alias("n"), F.min(order).alias("first"))
               .where("n > 1").select("bytes", "digest", F.col("first.record").alias("to_record"), F.col("first.page_id").alias("to_page"),
                                      F.col("first.url").alias("to_url")))
-    shared = C.cut_lineage(shared, "shared")
+    shared = scratch.cut(shared, "shared")
     again = F.coalesce(F.col("record") != F.col("to_record"), F.lit(False))
     return (records.join(shared, ["bytes", "digest"], "left")
             .withColumn("type", F.when(again, "revisit").otherwise("response")))
@@ -128,12 +134,13 @@ def write_archives(chunks: DataFrame, records: DataFrame, path: str, chunk: int
     total = records.agg(F.sum("bytes")).head()[0] or 0
     archives = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // archive))
     heads = records.select("record", F.lit(-1).cast("long").alias("chunk"), F.struct(*records.columns).alias("head"),
-                           F.lit(False).alias("last"), F.lit(None).cast("binary").alias("data"))
-    bodies = chunks.select("record", "chunk", F.lit(None).cast(heads.schema["head"].dataType).alias("head"), "last", "data")
+                           F.lit(False).alias("last"), F.lit(0).alias("size"), F.lit(None).cast("binary").alias("data"))
+    bodies = chunks.select("record", "chunk", F.lit(None).cast(heads.schema["head"].dataType).alias("head"), "last", "size", "data")
     dealt = heads.unionByName(bodies).repartition(archives, "record").sortWithinPartitions("record", "chunk")
 
     def compose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         written = opened = False
+        codec = pa.Codec(CODEC)
         for batch in batches:
             out = []
             if not opened and len(batch):
@@ -141,7 +148,7 @@ def write_archives(chunks: DataFrame, records: DataFrame, path: str, chunk: int
                 out.append(END.join(["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: {record_id(-1)}", f"WARC-Date: {date}",
                                      "Content-Type: application/warc-fields", f"Content-Length: {len(about)}", "", about, ""]).encode())
                 opened = True
-            for head, last, data in zip(batch.column("head"), batch.column("last"), batch.column("data")):
+            for head, last, size, data in zip(batch.column("head"), batch.column("last").to_pylist(), batch.column("size").to_pylist(), batch.column("data")):
                 if head.is_valid:
                     row = head.as_py()
                     written = row["type"] == "response"
@@ -149,10 +156,9 @@ def write_archives(chunks: DataFrame, records: DataFrame, path: str, chunk: int
                     if not written:
                         out.append(b"\r\n")
                 elif written:
-                    held = data.as_buffer()
-                    if len(held):
-                        out.append(b"%x\r\n" % len(held) + held.to_pybytes())
-                    if last.as_py():
+                    if size:
+                        out.append(b"%x\r\n" % size + codec.decompress(data.as_buffer(), size, asbytes=True))
+                    if last:
                         out.append(b"0\r\n\r\n\r\n")
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
@@ -246,9 +252,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def archive_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", chunk: int = CHUNK,
                   least: int = LEAST, date: str = DATE, archive: int = ARCHIVE) -> None:
     """Write one record per row of ``pages`` to archives under ``path``."""
-    chunks = C.cut_lineage(chunk_table(pages, id_col, url_col, payload_col, chunk), "chunks")
-    records = C.cut_lineage(decide(chunks, pages.schema[id_col].dataType.simpleString(), least), "decided")
+    scratch = C.Scratch(pages.sparkSession)
+    chunks = scratch.cut(chunk_table(pages, id_col, url_col, payload_col, chunk), "chunks")
+    records = scratch.cut(decide(chunks, scratch, pages.schema[id_col].dataType.simpleString(), least), "decided")
     write_archives(chunks, records, path, chunk, date, archive)
+    scratch.drop()
 
 
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
