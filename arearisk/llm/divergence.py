@@ -1,14 +1,15 @@
 """Source divergence audit: how far the word use of each source stands from the other sources of its language.
 
 In-mapper stripes. A task folds whole documents into hash stripes, one a (lang, term): the document frequency and the
-occurrences per source. It sends its stripes out, sorted, whenever they hold ``CELLS`` counts, and at the end; a shuffle
-by (lang, term) merges them. Merged stripes of the kept terms are stored; the totals come from them, and each stripe
+occurrences per source. A hash table numbers the terms; the stripes are cells (number, source) of one sorted array, to
+which each block of documents adds its own. A task sends its stripes out whenever there are ``CELLS`` cells or ``HELD``
+terms, and at the end; a shuffle by (lang, term) merges them. Merged stripes of the kept terms are stored; the totals come from them, and each stripe
 then gives its share of every divergence directly, all sources at once, as one row of a term by source matrix.
 
 Arithmetic is exact: 1 + floor(10^9 (count + 1) / (N + V)) by long division in int64 for N + V below 9 * 10^15.
 
-What is held: ``CELLS`` counts in the folding task, one merged stripe (at most one count a source), and a matrix of
-``MATRIX`` counts. The list of a language's sources and totals goes with its stripes by a join; the result has a row
+What is held: ``CELLS`` cells, ``HELD`` terms and a block of words in the folding task, a batch of stripes in the merging
+one, and a matrix of ``MATRIX`` counts. The list of a language's sources and totals goes with its stripes by a join; the result has a row
 for every pair of its sources anyway. A hot language or source is spread over the terms; a hot term has one stripe a
 spill.
 
@@ -19,7 +20,6 @@ are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,8 +35,10 @@ DOCUMENTS = 3
 #: ranks of a group's terms
 TERMS = 200
 SCALE = 1_000_000_000
-#: counts held by a folding task before it sends its stripes out
-CELLS = 200_000
+#: cells and terms held by a folding task before it sends its stripes out, and words of a block
+CELLS = 1_500_000
+HELD = 400_000
+BLOCK = 300_000
 #: counts in a matrix of terms by sources
 MATRIX = 1 << 19
 
@@ -46,76 +48,134 @@ LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 els
 STRIPE = "lang string, term binary, documents long, sources array<string>, counts array<long>"
 
 
-def _stripes(rows: list[tuple]) -> pa.RecordBatch:
-    """Arrow form of (lang, term, documents, {source: count}) rows."""
-    at = np.concatenate(([0], np.cumsum([len(r[3]) for r in rows]))).astype(np.int32)
-    names = pa.array([s for r in rows for s in r[3]], pa.string())
-    counts = pa.array([c for r in rows for c in r[3].values()], pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.int64()),
-         pa.ListArray.from_arrays(at, names), pa.ListArray.from_arrays(at, counts)], ["lang", "term", "documents", "sources", "counts"])
-
-
-def fold(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", cells: int = CELLS) -> DataFrame:
-    """Stripes of each task. The stripe without a term holds the sources that occur in a language."""
-
-    def spill(held: dict[str, dict]) -> Iterator[pa.RecordBatch]:
-        for lang, stripes in held.items():
-            terms = sorted(stripes, key=lambda t: (t is not None, t))
-            for k in range(0, len(terms), 5000):
-                yield _stripes([(lang, t, *stripes[t]) for t in terms[k:k + 5000]])
+NAMES = ["lang", "term", "documents", "sources", "counts"]
+
+
+class Numbers(dict):
+    """Numbers of the terms met, from 0."""
+
+    def __init__(self):
+        self.names: list[bytes] = []
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = n = len(self.names)
+        self.names.append(term)
+        return n
+
+
+class Stripes:
+    """The stripes of one language in a task. Cell (number << 24) counts documents, (number << 24 | source + 1) occurrences."""
+
+    def __init__(self):
+        self.number, self.source = Numbers(), {}
+        self.cells = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.words: list[int] = []
+        self.sizes: list[int] = []
+        self.of: list[int] = []
+
+    def read(self, text: bytes, source: str) -> int:
+        number = self.number
+        ids = [number[w] for w in text.translate(LETTERS).split()]
+        self.words += ids
+        self.sizes.append(len(ids))
+        self.of.append(self.source.setdefault(source, len(self.source)))
+        return len(ids)
+
+    def add(self) -> None:
+        """The cells of the documents read since."""
+        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        each, n = np.unique(doc << 32 | np.array(self.words, np.int64), return_counts=True)
+        term, source = each & 0xFFFFFFFF, np.array(self.of, np.int64)[each >> 32]
+        one = C.summed(np.concatenate([term << 24, term << 24 | source + 1]), np.concatenate([np.ones(len(term), np.int64), n]))
+        self.cells = C.summed(*(np.concatenate(x) for x in zip(self.cells, one)))
+        self.words, self.sizes, self.of = [], [], []
+
+    def send(self, lang: str, rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+        """All stripes, and one without a term that holds the sources."""
+        sources = pa.array(self.source, pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([None], pa.binary()), pa.array([0]), pa.array([list(self.source)], pa.list_(pa.string())),
+                                          pa.array([[0] * len(self.source)], pa.list_(pa.int64()))], NAMES)
+        keys, values = self.cells
+        heads = np.flatnonzero(keys & 0xFFFFFF == 0)  # one a term, in order of the numbers
+        ends = np.append(heads[1:], len(keys))
+        for k in range(0, len(heads), rows):
+            head, last = heads[k:k + rows], int(ends[min(k + rows, len(heads)) - 1])
+            inside = np.ones(last - int(head[0]), bool)
+            inside[head - head[0]] = False
+            at = np.flatnonzero(inside) + head[0]
+            bounds = pa.array(np.append(0, np.cumsum(ends[k:k + rows] - head - 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(head), pa.string()), pa.array(self.number.names[k:k + len(head)], pa.binary()), pa.array(values[head]),
+                 pa.ListArray.from_arrays(bounds, sources.take(pa.array((keys[at] & 0xFFFFFF) - 1))),
+                 pa.ListArray.from_arrays(bounds, pa.array(values[at]))], NAMES)
+
+
+def fold(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", cells: int = CELLS, held: int = HELD,
+         block: int = BLOCK) -> DataFrame:
+    """Stripes of each task, and for each language one without a term that holds the sources that occur."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict] = {}
-        full = 0
+        of: dict[str, Stripes] = {}
+        waiting = 0
         for batch in batches:
             for text, lang, source in zip(*(c.to_pylist() for c in batch.columns)):
-                stripes = held.setdefault(lang, {None: [0, {}]})
-                stripes[None][1].setdefault(source, 0)
-                for term, n in Counter(text.translate(LETTERS).split()).items():
-                    stripe = stripes.get(term)
-                    if stripe is None:
-                        stripes[term] = [1, {source: n}]
-                        full += 1
-                        continue
-                    stripe[0] += 1
-                    if source in stripe[1]:
-                        stripe[1][source] += n
-                    else:
-                        stripe[1][source] = n
-                        full += 1
-                if full > cells:
-                    yield from spill(held)
-                    held, full = {}, 0
-        yield from spill(held)
+                if lang not in of:
+                    of[lang] = Stripes()
+                waiting += 1 + of[lang].read(text, source)
+                if waiting > block:
+                    for stripes in of.values():
+                        stripes.add()
+                    waiting = 0
+                    if sum(len(s.cells[0]) for s in of.values()) > cells or sum(len(s.number) for s in of.values()) > held:
+                        for name, stripes in of.items():
+                            yield from stripes.send(name)
+                        of.clear()
+        for name, stripes in of.items():
+            stripes.add()
+            yield from stripes.send(name)
 
     words = docs.select(F.coalesce(text_col, F.lit("")).cast("binary"), F.coalesce(lang_col, F.lit("")), F.coalesce(source_col, F.lit("")))
     return C.map_arrow(words, read, STRIPE)
 
 
+def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """One stripe for each run of stripes with the same language and term."""
+    n = batch.num_rows
+    lang, term = batch.column(0), batch.column(1)
+    same = pc.and_(pc.equal(lang.slice(1), lang.slice(0, n - 1)), pc.or_(
+        pc.fill_null(pc.equal(term.slice(1), term.slice(0, n - 1)), False), pc.and_(pc.is_null(term.slice(1)), pc.is_null(term.slice(0, n - 1)))))
+    first = np.flatnonzero(np.append(True, ~same.to_numpy(zero_copy_only=False)))
+    group = np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
+    row = np.repeat(group, pc.list_value_length(batch.column(3)).to_numpy(zero_copy_only=False))
+    source = pc.dictionary_encode(batch.column(3).flatten())
+    keys, values = C.summed(row << 32 | source.indices.to_numpy(zero_copy_only=False).astype(np.int64),
+                          batch.column(4).flatten().to_numpy(zero_copy_only=False))
+    bounds = pa.array(np.searchsorted(keys >> 32, np.arange(len(first) + 1)), pa.int32())
+    at = pa.array(first)
+    return pa.RecordBatch.from_arrays(
+        [lang.take(at), term.take(at), pa.array(np.add.reduceat(batch.column(2).to_numpy(zero_copy_only=False), first)),
+         pa.ListArray.from_arrays(bounds, source.dictionary.take(pa.array(keys & 0xFFFFFFFF))), pa.ListArray.from_arrays(bounds, pa.array(values))], NAMES)
+
+
 def merge(stripes: DataFrame, documents: int = DOCUMENTS) -> DataFrame:
     """One stripe a (lang, term) that is in enough documents, and each language's stripe without a term."""
 
-    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, total, counts, done = None, 0, {}, []
-
-        def close():
-            if key is not None and (key[1] is None or total >= documents):
-                done.append((*key, total, counts))
+    def kept(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pc.or_(pc.is_null(batch.column(1)), pc.greater_equal(batch.column(2), documents)))
 
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # the stripe that may go on
         for batch in batches:
-            for lang, term, n, names, values in zip(*(c.to_pylist() for c in batch.columns)):
-                if (lang, term) != key:
-                    close()
-                    key, total, counts = (lang, term), 0, {}
-                    if len(done) >= 5000:
-                        yield _stripes(done)
-                        done.clear()
-                total += n
-                for s, c in zip(names, values):
-                    counts[s] = counts.get(s, 0) + c
-        close()
-        yield _stripes(done)
+            if not batch.num_rows:
+                continue
+            batch = pa.RecordBatch.from_arrays(batch.columns, NAMES)
+            if last is not None:
+                batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+            batch = _merged(batch)
+            last = batch.slice(batch.num_rows - 1)
+            yield kept(batch.slice(0, batch.num_rows - 1))
+        if last is not None:
+            yield kept(last)
 
     return C.map_arrow(stripes.repartition("lang", "term").sortWithinPartitions("lang", "term"), read, STRIPE)
 
@@ -187,10 +247,10 @@ def shares(stripes: DataFrame, totals: DataFrame, terms: int = TERMS) -> DataFra
 
 
 def divergences(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", documents: int = DOCUMENTS,
-                terms: int = TERMS, cells: int = CELLS) -> DataFrame:
+                terms: int = TERMS, cells: int = CELLS, held: int = HELD, block: int = BLOCK) -> DataFrame:
     """lang, source, part, item, value, rank: the divergence of each (lang, source) from the other sources of the language
     (part pair, all ranks), and the terms that set it apart from the language (part term, the first ``terms``)."""
-    stripes = C.cut_lineage(merge(fold(docs, text_col, lang_col, source_col, cells), documents), "stripes")
+    stripes = C.cut_lineage(merge(fold(docs, text_col, lang_col, source_col, cells, held, block), documents), "stripes")
     groups = (stripes.select("lang", F.inline(F.arrays_zip("sources", "counts"))).groupBy("lang", F.col("sources").alias("source"))
               .agg(F.sum("counts").alias("n")))
     totals = C.cut_lineage(groups.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("source", "n"))).alias("groups"))
