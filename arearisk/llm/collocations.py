@@ -1,9 +1,12 @@
 """Phrase collocation mining: contiguous phrases that come together far more often than their parts would by chance.
 
-Counting is by HAT-tries. A task numbers the words it meets; its trie has hash containers of phrase endings under a
-shallow trie of word numbers, and a container that grows beyond ``BURST`` endings bursts into one for each next word. A
-trie beyond ``HELD`` phrases sends out its largest subtrees whole, as sorted runs, until half is left. Runs are merged
-per prefix partition: rows meet by language and their first three words, where a sum over the phrases ends the count.
+Counting is by HAT-tries over word numbers that a task gives out. The shallow levels, words and pairs of words, are
+sorted arrays of node keys with counts, to which each block of text adds its own. Longer phrases are endings in hash
+containers under the trie; a container that grows beyond ``BURST`` endings bursts into one for each next word. A trie beyond
+``HELD`` nodes (``ENDINGS`` endings) sends out its largest subtrees whole, those under one first word, as sorted runs, until
+half is left. A run is cut by prefix partition, the hash of a phrase's first ``PREFIX`` words, and its sorted phrases and
+counts are compressed; a prefix partition merges the runs that reach it and keeps what is frequent. Their number grows
+with the bytes of text.
 
 Levels. All parts of a phrase are at least as frequent as the phrase, so words are counted first, then pairs of words
 that are frequent, then phrases of three to five words of which all neighbouring pairs are frequent. What is frequent is
@@ -15,7 +18,8 @@ and is scored in decimals of 38 digits. A candidate is contained in a longer one
 longer one's first or last words at some step, and all steps between have that count too, so candidates look one word
 further only.
 
-What is held: a trie of ``HELD`` phrases, ``WORDS`` word numbers, a block of text. Nothing is held per language but its
+What is held: a trie of ``HELD`` nodes or ``ENDINGS`` endings, ``WORDS`` word numbers, a block of text; a prefix
+partition's phrases, from about ``PARTITION`` bytes of text. Nothing is held per language but its
 total. A hot language, word or pair is spread over the phrases and counted inside tasks before.
 
 Defined results: a null text has no words, a null language is 'und'. Repeated rows count again. A language without
@@ -25,12 +29,14 @@ candidates has no rows. An empty table gives an empty result. Other columns are
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,22 +47,25 @@ LONGEST = 5
 OFTEN = 100
 #: phrases of a language in the result
 BEST = 2000
-#: words of the prefix by which runs meet
+#: words of the prefix by which runs meet, and bytes of text for each partition of it
 PREFIX = 3
+PARTITION = 8 << 20
 #: endings of a container before it bursts
 BURST = 4096
-#: phrases in a task's trie
-HELD = 300_000
+#: nodes of the shallow levels, and endings, in a task's trie
+HELD = 1_500_000
+ENDINGS = 300_000
 #: word numbers in a task
-WORDS = 400_000
+WORDS = 600_000
 #: words of a block
-BLOCK = 200_000
+BLOCK = 400_000
 BITS_EACH = 16
 MOST_BITS = 1 << 27
 
 #: A-Z in lower case, a tab as a space, and all that ends a piece as a colon
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 58 if b in b".,;:!?" or 10 <= b <= 13 else b for b in range(256))
-RUNS = "lang string, prefix binary, phrase binary, words int, n long"
+RUNS = "partition int, lang string, phrases binary, counts binary"
+COUNTS = "lang string, phrase binary, words int, n long"
 
 
 class Trie:
@@ -130,28 +139,80 @@ class Trie:
         return out
 
 
+class Shallow:
+    """Counts of the nodes of one of the first two levels: keys (word, or first << 32 | second) in a sorted array."""
+
+    def __init__(self):
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.new: list[tuple] = []
+        self.waiting = 0
+
+    @property
+    def size(self) -> int:
+        return len(self.keys) + self.waiting
+
+    def add(self, keys: np.ndarray) -> None:
+        each, n = np.unique(keys, return_counts=True)
+        self.new.append((each, n))
+        self.waiting += len(each)
+        if self.waiting > max(BLOCK, len(self.keys) // 2):
+            self.settle()
+
+    def settle(self) -> None:
+        self.keys, self.counts = C.summed(*(np.concatenate(x) for x in zip((self.keys, self.counts), *self.new)))
+        self.new, self.waiting = [], 0
+
+    def take(self, leave: int) -> tuple[np.ndarray, np.ndarray]:
+        """The nodes of the largest subtrees of a first word, so many that at most ``leave`` nodes stay; they go."""
+        self.settle()
+        first = self.keys >> 32
+        word, back, size = np.unique(first, return_inverse=True, return_counts=True)
+        order = np.argsort(-size, kind="stable")
+        before = np.cumsum(size[order]) - size[order]
+        goes = np.zeros(len(word), bool)
+        goes[order[len(first) - before > leave]] = True
+        goes = goes[back]
+        out = self.keys[goes], self.counts[goes]
+        self.keys, self.counts = self.keys[~goes], self.counts[~goes]
+        return out
+
+
 class Words(dict):
     """Numbers of words from 1, and 0 for those that are not wanted."""
 
-    def __init__(self, wanted: Callable[[bytes], bool]):
-        self.names, self.wanted = [b""], wanted
+    def __init__(self, lang: str, wanted: np.ndarray | None):
+        self.names, self.hashes = [b""], [0]
+        self.seed, self.wanted = xxhash.xxh64_intdigest(lang.encode(), 42), wanted
+        self[b":"] = 0
 
     def __missing__(self, word: bytes) -> int:
-        if self.wanted(word):
+        h = xxhash.xxh64_intdigest(word, self.seed)  # Spark's xxhash64(lang, word)
+        k = 0 if self.wanted is None else h & (8 * len(self.wanted) - 1)
+        n = 0
+        if self.wanted is None or self.wanted[k >> 3] >> (k & 7) & 1:
+            n = len(self.names)
             self.names.append(word)
-            self[word] = n = len(self.names) - 1
-        else:
-            self[word] = n = 0
+            self.hashes.append(h)
+        self[word] = n
         return n
 
+    def shrink(self) -> None:
+        """Forget which words are not wanted."""
+        for word in [w for w, n in self.items() if not n and w != b":"]:
+            del self[word]
+
 
-def key_of(lang: str, phrase: bytes) -> int:
-    """Spark's xxhash64 of the two."""
-    return xxhash.xxh64_intdigest(phrase, xxhash.xxh64_intdigest(lang.encode(), 42))
+def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return first ^ (second << np.uint64(17) | second >> np.uint64(47))
 
 
-def bitmap(frequent: DataFrame) -> np.ndarray:
-    """Marks of (lang, phrase) rows; its size is set by their number and bounded."""
+#: SQL: the hash of a word, and of a pair of words, in column phrase
+HASH = {1: "xxhash64(lang, phrase)",
+        2: "xxhash64(lang, split(phrase, ' ')[0]) ^ (shiftleft(xxhash64(lang, split(phrase, ' ')[1]), 17) | shiftrightunsigned(xxhash64(lang, split(phrase, ' ')[1]), 47))"}
+
+
+def bitmap(frequent: DataFrame, words: int) -> np.ndarray:
+    """Marks of (lang, phrase) rows of one or two words; its size is set by their number and bounded."""
     rows = frequent.count()
     bits = min(MOST_BITS, max(1 << 19, 1 << int(max(rows, 1) * BITS_EACH - 1).bit_length()))
 
@@ -167,125 +228,195 @@ def bitmap(frequent: DataFrame) -> np.ndarray:
     def either(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"part": [key[0]], "bits": [np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in parts["bits"]]).tobytes()]})
 
-    place = F.expr(f"xxhash64(lang, cast(phrase AS string)) & {bits - 1}L")
+    place = F.expr(f"({HASH[words]}) & {bits - 1}L")
     out = np.zeros(bits // 8, np.uint8)
-    marked = C.map_arrow(frequent.select(place), mark, "part long, bits binary").groupBy("part").applyInPandas(either, "part long, bits binary")
+    marked = C.map_arrow(frequent.withColumn("phrase", F.col("phrase").cast("string")).select(place), mark, "part long, bits binary").groupBy("part").applyInPandas(either, "part long, bits binary")
     for r in marked.collect():  # the bitmap, MOST_BITS at most
         out[r.part << 16:(r.part + 1) << 16] = np.frombuffer(bytes(r.bits), np.uint8)
     return out
 
 
-def runs(docs: DataFrame, shortest: int, longest: int, seen=None, held: int = HELD, burst: int = BURST, words: int = WORDS) -> DataFrame:
-    """Counts of the phrases of so many words, as each task sends them out. ``seen``: broadcast bitmap of the frequent
-    words (for pairs) or pairs (for longer phrases)."""
-
-    def told(lang: str, phrase: bytes, marks: np.ndarray) -> bool:
-        k = key_of(lang, phrase) & (8 * len(marks) - 1)
-        return bool(marks[k >> 3] >> (k & 7) & 1)
-
-    def send(lang: str, names: list[bytes], phrases: Iterable[tuple[tuple, int]]) -> Iterator[pa.RecordBatch]:
-        """A sorted run."""
-        run = sorted((b" ".join([names[w] for w in p]), b" ".join([names[w] for w in p[:PREFIX]]), len(p), n) for p, n in phrases)
-        for k in range(0, len(run), 10_000):
-            phrase, prefix, size, n = zip(*run[k:k + 10_000])
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(prefix, pa.binary()), pa.array(phrase, pa.binary()),
-                                              pa.array(size, pa.int32()), pa.array(n, pa.int64())], ["lang", "prefix", "phrase", "words", "n"])
+def runs(docs: DataFrame, longest: int, partitions: int, seen=None, held: int = HELD, endings: int = ENDINGS, burst: int = BURST, words: int = WORDS, block: int = BLOCK) -> DataFrame:
+    """Sorted runs of the words (``longest`` 1), pairs (2) or longer phrases, as each task sends them out. ``seen``:
+    broadcast bitmap of the frequent words (for pairs) or pairs (for longer phrases)."""
+
+    def run_of(lang: str, partition: np.ndarray, phrases: pa.Array, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """A sorted run, cut and compressed by partition; every phrase ends with a line end, which is in no word."""
+        packer = zstandard.ZstdCompressor()
+        offs = np.frombuffer(phrases.buffers()[1], np.int32)[phrases.offset:phrases.offset + len(phrases) + 1]
+        data = memoryview(phrases.buffers()[2])
+        cuts = np.append(np.flatnonzero(np.diff(partition, prepend=-1)), len(partition)).tolist()
+        for k in range(0, len(cuts) - 1, 500):
+            part = list(zip(cuts[k:k + 500], cuts[k + 1:k + 501]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(partition[a]) for a, _ in part], pa.int32()), pa.array([lang] * len(part), pa.string()),
+                 pa.array([packer.compress(data[offs[a]:offs[b]]) for a, b in part], pa.binary()),
+                 pa.array([packer.compress(counts[a:b].astype("<i8").tobytes()) for a, b in part], pa.binary())], ["partition", "lang", "phrases", "counts"])
+
+    def send_nodes(lang: str, number: Words, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Nodes of a shallow level."""
+        if not len(keys):
+            return
+        h, first, last = np.array(number.hashes, np.uint64), keys >> 32, keys & 0xFFFFFFFF
+        rank = np.empty(len(number.names), np.int64)
+        rank[np.array(pc.sort_indices(pa.array(number.names, pa.binary())))] = np.arange(len(rank))
+        place = (C.mix(pair_hash(h[first], h[last]) if longest == 2 else h[last]) % np.uint64(partitions)).astype(np.int64)
+        order = np.lexsort((rank[last], rank[first], place))
+        phrases = pa.array([n + b"\n" for n in number.names], pa.binary()).take(pa.array(last[order]))
+        if longest == 2:
+            phrases = pc.binary_join_element_wise(pa.array(number.names, pa.binary()).take(pa.array(first[order])), phrases, b" ")
+        yield from run_of(lang, place[order], phrases, counts[order])
+
+    def send_endings(lang: str, number: Words, found: Iterable[tuple[tuple, int]]) -> Iterator[pa.RecordBatch]:
+        found = list(found)
+        if not found:
+            return
+        h, names = np.array(number.hashes, np.uint64), number.names
+        prefix = np.array([p[:PREFIX] for p, _ in found], np.int64)
+        place = np.zeros(len(found), np.uint64)
+        for k in range(PREFIX):
+            place = C.mix(place ^ h[prefix[:, k]])
+        rows = pa.table({"place": (place % np.uint64(partitions)).astype(np.int64), "n": np.array([n for _, n in found], np.int64),
+                         "phrase": pa.array([b" ".join([names[w] for w in p]) + b"\n" for p, _ in found], pa.binary())})
+        rows = rows.sort_by([("place", "ascending"), ("phrase", "ascending")]).combine_chunks()
+        yield from run_of(lang, rows["place"].to_numpy(), rows["phrase"].chunk(0), rows["n"].to_numpy())
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = None if seen is None else seen.value
         numbers: dict[str, Words] = {}
-        tries: dict[str, Trie] = {}
-        pairs: dict[str, dict[int, bool]] = {}
+        tries: dict[str, Shallow | Trie] = {}
+        flats: dict[str, list[int]] = {}
 
         def count(lang: str, ids: np.ndarray) -> None:
-            trie = tries.setdefault(lang, Trie(burst))
+            if lang not in tries:
+                tries[lang] = Trie(burst) if longest > 2 else Shallow()
+            trie = tries[lang]
             if longest == 1:
-                for w, n in zip(*(x.tolist() for x in np.unique(ids[ids > 0], return_counts=True))):
-                    trie.add((w,), n)
+                trie.add(ids[ids > 0])
                 return
-            two = np.where((ids[:-1] > 0) & (ids[1:] > 0), ids[:-1] << 32 | ids[1:], 0)
+            both = (ids[:-1] > 0) & (ids[1:] > 0)
             if longest == 2:
-                for w, n in zip(*(x.tolist() for x in np.unique(two[two > 0], return_counts=True))):
-                    trie.add((w >> 32, w & 0xFFFFFFFF), n)
+                trie.add((ids[:-1] << 32 | ids[1:])[both])
                 return
-            known, names = pairs.setdefault(lang, {}), numbers[lang].names
-            each, back = np.unique(two, return_inverse=True)
-            good = np.zeros(len(each), bool)
-            for i, w in enumerate(each.tolist()):
-                if w not in known:
-                    known[w] = w > 0 and told(lang, names[w >> 32] + b" " + names[w & 0xFFFFFFFF], marks)
-                good[i] = known[w]
-            good = good[back]
-            for size in range(shortest, longest + 1):
-                if len(good) < size - 1:
+            h = np.array(numbers[lang].hashes, np.uint64)[ids]
+            at = (pair_hash(h[:-1], h[1:]) & np.uint64(8 * len(marks) - 1)).astype(np.int64)
+            good = both & (marks[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0)
+            for size in range(3, longest + 1):
+                if len(ids) < size:
                     break
-                all_good = np.logical_and.reduce([good[k:len(good) - size + 2 + k] for k in range(size - 1)])
-                at = np.flatnonzero(all_good)
-                few = Counter(zip(*(ids[at + k].tolist() for k in range(size))))
-                for phrase, n in few.items():
+                at = np.flatnonzero(np.logical_and.reduce([good[k:len(good) - size + 2 + k] for k in range(size - 1)]))
+                for phrase, n in Counter(zip(*(ids[at + k].tolist() for k in range(size)))).items():
                     trie.add(phrase, n)
 
+        def some(lang: str, leave: int) -> Iterator[pa.RecordBatch]:
+            trie = tries[lang]
+            if longest > 2:
+                yield from send_endings(lang, numbers[lang], trie.take(trie.largest(leave)))
+            else:
+                yield from send_nodes(lang, numbers[lang], *trie.take(leave))
+
         def flush(last: bool) -> Iterator[pa.RecordBatch]:
             for lang, flat in flats.items():
                 if len(flat) > 1:
                     count(lang, np.array(flat, np.int64))
             flats.clear()
-            while not last and sum(t.size for t in tries.values()) > held:
+            most = endings if longest > 2 else held
+            while not last and sum(t.size for t in tries.values()) > most:
                 lang = max(tries, key=lambda x: tries[x].size)
-                yield from send(lang, numbers[lang].names, tries[lang].take(tries[lang].largest(tries[lang].size // 2)))
-            if last or sum(map(len, numbers.values())) > words or sum(map(len, pairs.values())) > 2 * words:
-                for lang, trie in tries.items():
-                    yield from send(lang, numbers[lang].names, trie.take(list(trie.root)))
-                for held_here in (tries, numbers, pairs):
-                    held_here.clear()
-
-        flats: dict[str, list[int]] = {}
+                yield from some(lang, tries[lang].size // 2)
+            if sum(map(len, numbers.values())) > words:
+                for number in numbers.values():
+                    number.shrink()
+            if last or sum(map(len, numbers.values())) > words:
+                for lang in tries:
+                    yield from some(lang, 0)
+                tries.clear()
+                numbers.clear()
+
+        waiting = 0
         for batch in batches:
             for text, lang in zip(*(c.to_pylist() for c in batch.columns)):
                 if lang not in numbers:
-                    numbers[lang] = Words((lambda w, of=lang: w != b":" and told(of, w, marks)) if longest == 2 else lambda w: w != b":")
+                    numbers[lang] = Words(lang, marks if longest == 2 else None)
                 number = numbers[lang]
                 flat = flats.setdefault(lang, [])
+                before = len(flat)
                 flat.append(0)
                 flat += [number[w] for w in text.translate(LETTERS).replace(b":", b" : ").split(b" ") if w]
-                if sum(map(len, flats.values())) > BLOCK:
+                waiting += len(flat) - before
+                if waiting > block:
                     yield from flush(False)
+                    waiting = 0
         yield from flush(True)
 
     rows = docs.select(F.coalesce("text", F.lit("")).cast("binary"), F.coalesce("lang", F.lit("und")))
     return C.map_arrow(rows, read, RUNS)
 
 
-def counted(found: DataFrame) -> DataFrame:
-    """lang, phrase, words, n: the runs merged per prefix partition."""
-    return found.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase", "words").agg(F.sum("n").alias("n")).drop("prefix")
+def merge(found: DataFrame, partitions: int, often: int, totals: bool = False) -> DataFrame:
+    """lang, phrase, words, n of the phrases that occur ``often``: the runs merged per prefix partition. ``totals``: also a row
+    without a phrase for each language, the sum of all counts in the partition."""
 
+    def summed(parts: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+        rows = pa.table({"phrase": pa.chunked_array([p for p, _ in parts]), "n": np.concatenate([n for _, n in parts])})
+        rows = rows.group_by("phrase", use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+        return (rows["phrase"].chunk(0) if len(rows) else pa.array([], pa.binary())), rows["n_sum"].to_numpy()
 
-def phrase_counts(docs: DataFrame, often: int = OFTEN, held: int = HELD, burst: int = BURST, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
+        held: dict[str, list] = {}
+        waiting = {}
+        total: dict[str, int] = {}
+        for batch in batches:
+            for lang, phrases, counts in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrases", "counts"))):
+                n = np.frombuffer(unpacker.decompress(counts), "<i8")
+                held.setdefault(lang, []).append((pa.array(unpacker.decompress(phrases)[:-1].split(b"\n"), pa.binary()), n))
+                total[lang] = total.get(lang, 0) + int(n.sum())
+                waiting[lang] = waiting.get(lang, 0) + len(n)
+                if waiting[lang] > 500_000 and waiting[lang] > 2 * len(held[lang][0][1]):
+                    held[lang], waiting[lang] = [summed(held[lang])], 0
+        for lang, parts in held.items():
+            phrase, n = summed(parts)
+            kept = np.flatnonzero(n >= often)
+            phrase, n = phrase.take(pa.array(kept)), n[kept]
+            words = pc.add(pc.count_substring(phrase, " "), 1).cast(pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), phrase, words, pa.array(n)], ["lang", "phrase", "words", "n"])
+            if totals:
+                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([None], pa.binary()), pa.array([0], pa.int32()), pa.array([total[lang]])],
+                                                 ["lang", "phrase", "words", "n"])
+
+    return C.map_arrow(found.repartitionById(partitions, F.col("partition")), read, COUNTS)
+
+
+def phrase_counts(docs: DataFrame, scratch: C.Scratch, often: int = OFTEN, **limits: int) -> tuple[DataFrame, DataFrame]:
     """Stored (lang, phrase, words, n) of the phrases of one to five words that occur ``often``, and (lang, n) of all words."""
     spark = docs.sparkSession
-    single = C.cut_lineage(counted(runs(docs, 1, 1, None, held, burst, words)), "words")
-    totals = C.cut_lineage(single.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    level = C.cut_lineage(single.where(F.col("n") >= often), "frequent")
+    size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION))
+    single = scratch.cut(merge(runs(docs, 1, partitions, None, **limits), partitions, often, totals=True), "words")
+    totals = scratch.cut(single.where("phrase IS NULL").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    level = single.where("phrase IS NOT NULL")
     levels = [level]
-    for shortest, longest in ((2, 2), (3, LONGEST)):
-        seen = spark.sparkContext.broadcast(bitmap(level))
-        level = C.cut_lineage(counted(runs(docs, shortest, longest, seen, held, burst, words)).where(F.col("n") >= often), "frequent")
+    for words, longest in ((1, 2), (2, LONGEST)):
+        seen = spark.sparkContext.broadcast(bitmap(level, words))
+        level = scratch.cut(merge(runs(docs, longest, partitions, seen, **limits), partitions, often), "frequent")
         seen.unpersist()
         levels.append(level)
     return levels[0].unionByName(levels[1]).unionByName(levels[2]), totals
 
 
-def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", often: int = OFTEN, best: int = BEST, held: int = HELD,
-                 burst: int = BURST, words: int = WORDS) -> DataFrame:
-    """lang, rank, phrase, a, l, r, n, score of each language's ``best`` phrases of two to five words."""
+def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", often: int = OFTEN, best: int = BEST,
+                 **limits: int) -> DataFrame:
+    """lang, rank, phrase, a, l, r, n, score of each language's ``best`` phrases of two to five words.
+    ``limits``: what tasks hold, as for ``runs``."""
     texts = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    frequent, totals = phrase_counts(texts, often, held, burst, words)
+    scratch = C.Scratch(docs.sparkSession)
+    frequent, totals = phrase_counts(texts, scratch, often, **limits)
     frequent = frequent.withColumn("phrase", F.col("phrase").cast("string"))
     longer = frequent.where("words > 2").withColumn("word", F.split("phrase", " "))
     parts = F.explode(F.array(F.array_join(F.slice("word", 1, F.size("word") - 1), " "), F.array_join(F.slice("word", F.lit(2), F.size("word") - 1), " ")))
     inside = longer.select("lang", parts.alias("phrase"), "n").groupBy("lang", "phrase").agg(F.max("n").alias("around"))
-    candidates = C.cut_lineage(frequent.where("words > 1").join(inside, ["lang", "phrase"], "left")
+    candidates = scratch.cut(frequent.where("words > 1").join(inside, ["lang", "phrase"], "left")
                                .where("around IS NULL OR 100 * around < 100 * n").select("lang", "phrase", F.col("n").alias("a")), "candidates")
 
     cuts = (candidates.withColumn("word", F.split("phrase", " "))
@@ -296,7 +427,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
               .join(frequent.select("lang", F.col("phrase").alias("right"), F.col("n").alias("r")), ["lang", "right"])
               .join(totals, "lang")
               .withColumn("score", F.expr("(1000 * cast(a AS decimal(15, 0)) * cast(n AS decimal(17, 0))) div (cast(l AS decimal(18, 0)) * cast(r AS decimal(18, 0)))")))
-    least = scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
+    least = C.cut_lineage(scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut")), "scores")
+    scratch.drop()
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     return (least.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)

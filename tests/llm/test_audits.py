@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -60,10 +61,10 @@ def divergence_rows():
     return rows + rows[:3] * 2
 
 
-@pytest.mark.parametrize("cells,top", [(divergence.CELLS, 200), (5, 3)])
-def test_divergence_equals_brute_force(spark, cells, top):
+@pytest.mark.parametrize("limits,top", [({}, 200), ({"cells": 5, "block": 10}, 3), ({"held": 2, "block": 50}, 4)])
+def test_divergence_equals_brute_force(spark, limits, top):
     rows = divergence_rows()
-    got = divergence.divergences(table(spark, rows), cells=cells, terms=top).collect()
+    got = divergence.divergences(table(spark, rows), **limits, terms=top).collect()
     assert sorted(map(tuple, got)) == brute_divergence(rows, top)
 
 
@@ -81,8 +82,6 @@ def test_divergence_without_rows(spark):
 
 @given(st.integers(1, 9 * 10**15 - 1), st.data())
 def test_scaled_is_exact(total, data):
-    import numpy as np
-
     count = data.draw(st.integers(0, total))
     assert divergence.scaled(np.array([count]), total)[0] == 10**9 * count // total
 
@@ -207,18 +206,22 @@ def phrase_rows():
     return rows + [(None, "en", None), ("", None, None), ("solo", "zz", "s"), ("tick tock " * 20_000, "en", "s"), ("one  two\tthree", "en", "s")] + rows[:2] * 2
 
 
-@pytest.mark.parametrize("limits", [{}, {"held": 10, "burst": 2, "words": 6}])
+@pytest.mark.parametrize("limits", [{}, {"held": 10, "endings": 10, "burst": 2, "words": 6, "block": 40}, {"held": 3, "endings": 4, "block": 500}])
 def test_phrases_equal_brute_force(spark, limits):
     rows = phrase_rows()
     got = collocations.collocations(table(spark, rows), often=6, best=7, **limits).collect()
     assert sorted(map(tuple, got)) == brute_phrases(rows, 6, 7)
 
 
+def test_phrases_in_many_partitions(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "PARTITION", 5000)
+    rows = phrase_rows()
+    assert sorted(map(tuple, collocations.collocations(table(spark, rows), often=4, best=30).collect())) == brute_phrases(rows, 4, 30)
+
+
 def test_phrases_with_a_full_bitmap(spark, monkeypatch):
     """Marks that say yes to everything leave the result as it is."""
-    import numpy as np
-
-    monkeypatch.setattr(collocations, "bitmap", lambda frequent: np.full(1 << 10, 255, np.uint8))
+    monkeypatch.setattr(collocations, "bitmap", lambda frequent, words: np.full(1 << 10, 255, np.uint8))
     rows = phrase_rows()
     assert sorted(map(tuple, collocations.collocations(table(spark, rows), often=6, best=50).collect())) == brute_phrases(rows, 6, 50)
 
@@ -242,7 +245,25 @@ def test_trie_counts(adds, burst, leave):
     assert {**first, **rest} == want and not trie.size
 
 
-def test_keys_are_those_of_spark(spark):
-    rows = [("en", "new york"), ("", "é 日"), ("und", "")]
-    got = spark.createDataFrame(rows, "lang string, phrase string").selectExpr("lang", "phrase", "xxhash64(lang, phrase) AS h").collect()
-    assert all(collocations.key_of(r.lang, r.phrase.encode()) == r.h % (1 << 64) for r in got)
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(1, 5), st.integers(1, 5)), max_size=20), max_size=8), st.integers(0, 20))
+def test_shallow_counts(blocks, leave):
+    nodes, want = collocations.Shallow(), Counter()
+    for block in blocks:
+        keys = [a << 32 | b for a, b in block]
+        nodes.add(np.array(keys, np.int64))
+        want.update(keys)
+    first = dict(zip(*(x.tolist() for x in nodes.take(leave))))
+    assert nodes.size <= leave and {k >> 32 for k in first}.isdisjoint((nodes.keys >> 32).tolist())
+    rest = dict(zip(*(x.tolist() for x in nodes.take(0))))
+    assert {**first, **rest} == want and not nodes.size
+
+
+def test_hashes_are_those_of_spark(spark):
+    rows = [("en", "new york"), ("", "é 日"), ("und", "a b")]
+    got = spark.createDataFrame(rows, "lang string, phrase string").selectExpr("lang", "phrase", f"{collocations.HASH[1]} AS one", f"{collocations.HASH[2]} AS two").collect()
+    for r in got:
+        words = collocations.Words(r.lang, None)
+        numbers = [words[w.encode()] for w in [r.phrase, *r.phrase.split(" ")]]
+        h = np.array(words.hashes, np.uint64)[numbers]
+        assert int(h[0]) == r.one % (1 << 64) and int(collocations.pair_hash(h[1:2], h[2:])[0]) == r.two % (1 << 64)
