@@ -8,10 +8,17 @@ summed per (host, path) in Spark with map-side combining, every host's winning p
 extracted again from the elements on that path. A page on which that path does not hold all the text of the page's own
 container, as with a second layout of the host, falls back to its own container.
 
+Asides are told by tags and by whole names of classes, ids and roles: the last word of a name decides ("main-menu" is a
+menu, "share-price" is none), some words also at its head; names that state something ("has-sidebar") count for nothing,
+and those of headings, paragraphs and inline elements for little. What is an aside by its name alone and yet holds most
+of the page's text outside of links is a wrapper, so a page with text comes out empty only if all of it is menus, notices
+or comments by other signs.
+
 A host of any size is folded by partial sums. The table of winners has one row per host; the join with the pages is
 planned by its measured size, and a hot host is split by adaptive execution.
 
-Defined results: a null or empty page, or one without text, gives an empty text. A url without host forms the host "".
+Defined results: a null or empty page, or one without text, gives an empty text. A script or style that is not closed
+reaches to the page's end, as in browsers. A url without host forms the host "".
 Repeated rows vote and are extracted each. An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -52,6 +59,23 @@ ASIDE_NAMES = frozenset("""ad ads advert adverts advertisement advertising banne
     newsletter subscribe subscription signup login share sharing social comment comments reply replies respond disqus discussion
     related recommended recommendations widget toolbar pagination pager copyright complementary contentinfo search hidden
     skip""".split())
+#: names of them that say so at the head of a class name too, as in "sidebar-left"
+LEADING = frozenset("""ad ads advert advertisement banner sponsored promo nav navbar navigation menu breadcrumb breadcrumbs sidebar masthead
+    footer cookie cookies consent gdpr popup modal newsletter subscribe signup social comment comments disqus related recommended widget
+    pagination""".split())
+#: last words that make an aside even of a name such as "main-menu"
+STRONG = frozenset("""menu sidebar nav navbar navigation footer share sharing breadcrumb breadcrumbs pagination pager comments comment
+    newsletter advertisement related""".split())
+COMMENTS = frozenset("comment comments reply replies respond disqus discussion".split())
+#: first words of names that state something about an element, as in "has-sidebar"
+STATES = frozenset("has no with without is not show hide".split())
+#: words before "header" of a part of the article
+ARTICLE_PARTS = frozenset("article entry post story hero content section title chapter".split())
+#: names that make an aside of a heading, a paragraph or an inline element; other names say how it looks
+SMALL_NAMES = frozenset("ad ads advert advertisement sponsored copyright cookie cookies comment comments hidden".split())
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd figcaption".split())
+#: an aside by its name that holds this share of the text outside of links is a wrapper, and none
+WRAPPER = 0.75
 #: elements that are main text by their meaning, and names that say so
 MAIN_TAGS, MAIN_NAMES = frozenset({"article", "main"}), frozenset({"article", "articlebody", "post", "entry", "story", "content", "main", "body", "maincontent"})
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -61,22 +85,54 @@ HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)"
 
 
 class Block:
-    """Text of one block, the ids, paths and tags of its enclosing elements, and how much of it is links."""
+    """Text of one block, the ids, paths and tags of its enclosing elements, which of these are asides (number, kind), and
+    how much of it is links."""
+
+    __slots__ = ("chain", "parts", "linked", "aside", "asides")
+
+    def __init__(self, chain: tuple, asides: list):
+        self.chain, self.asides, self.aside, self.parts, self.linked = chain, asides, bool(asides), [], 0
 
-    __slots__ = ("chain", "parts", "linked", "aside")
+    def plain(self) -> int:
+        """Characters outside of links, counted against those inside."""
+        return max(0, sum(map(len, self.parts)) - 2 * self.linked)
 
-    def __init__(self, chain: tuple, aside: bool):
-        self.chain, self.aside, self.parts, self.linked = chain, aside, [], 0
 
+#: kinds of asides: by an element's meaning, or by its name
+MEANT, NAMED = 2, 1
 
-def _names(attributes: str) -> tuple[str, set[str], bool]:
-    """(classes for the path, words of class, id and role, hidden)."""
+
+def judge(names: list[str], tag: str) -> tuple[int, bool]:
+    """(0, ``NAMED`` or ``MEANT`` for an aside, whether it is main text) by the whole names of class, id and role. A name
+    counts by its last word, or its first if that is one of ``LEADING``; reader comments are asides of any size."""
+    aside = strong = main = comments = False
+    for name in names:
+        words = [w for w in (x.lower() for x in _WORD.findall(name)) if not w.isdigit()]
+        if not words or (words[0] in STATES and len(words) > 1):
+            continue
+        last, whole = words[-1], name.lower()
+        if tag in TEXT_TAGS or tag not in BLOCKS:
+            aside = aside or whole in SMALL_NAMES
+            comments = comments or whole in COMMENTS
+            continue
+        of_article = last in ("header", "side") and not ARTICLE_PARTS.isdisjoint(words[:-1])
+        bad = (last in ASIDE_NAMES or whole in ASIDE_NAMES or words[0] in LEADING) and not of_article
+        aside, strong = aside or bad, strong or (bad and last in STRONG)
+        comments = comments or (bad and not COMMENTS.isdisjoint(words))
+        main = main or (not bad and (whole in MAIN_NAMES or not MAIN_NAMES.isdisjoint(words)))
+    main = main and tag in ("div", "section", "td")
+    if not aside or (main and not strong and not comments):
+        return 0, main
+    return MEANT if comments else NAMED, False
+
+
+def _names(attributes: str) -> tuple[str, list[str], bool]:
+    """(classes for the path, names in class, id, role and itemprop, hidden)."""
     found = {}
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         found.setdefault(name.lower(), html.unescape(a or b or c))
     classes = sorted(found.get("class", "").split())
-    words = {w.lower() for key in ("class", "id", "role") for w in _WORD.findall(found.get(key, ""))}
-    words |= {x.lower() for key in ("class", "id", "role", "itemprop") for x in found.get(key, "").split()}
+    words = [x for key in ("class", "id", "role", "itemprop") for x in found.get(key, "").split()]
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
     return ".".join(re.sub(r"\d+", "#", c) for c in classes), words, hidden
 
@@ -84,7 +140,7 @@ def _names(attributes: str) -> tuple[str, set[str], bool]:
 def read_page(page: str) -> list[Block]:
     """The text blocks of a page in page order."""
     blocks: list[Block] = []
-    stack: list[tuple] = []  # (tag, path, number, aside, main)
+    stack: list[tuple] = []  # (tag, path, number, kind of aside, main, block around an inline aside)
     drawing: list[str] = []  # tags of the open svg and of the elements open in it, whose text is none
     number, at, links = 0, 0, 0
     current: Block | None = None
@@ -95,7 +151,7 @@ def read_page(page: str) -> list[Block]:
             return
         if current is None:
             inside = [e for e in stack if e[0] in BLOCKS]
-            current = Block(tuple((e[2], e[1], e[0]) for e in inside), any(e[3] for e in stack))
+            current = Block(tuple((e[2], e[1], e[0]) for e in inside), [(e[2], e[3]) for e in stack if e[3]])
             blocks.append(current)
         current.parts.append(raw)
         if links:
@@ -105,15 +161,20 @@ def read_page(page: str) -> list[Block]:
         nonlocal current, links
         for e in stack[depth:]:
             links -= e[0] == "a"
-        if any(e[0] in BLOCKS or e[3] for e in stack[depth:]):
+        if any(e[0] in BLOCKS for e in stack[depth:]):
             current = None
+        else:
+            for e in stack[depth:]:
+                if e[3]:  # an inline aside: the block around it goes on
+                    current = e[5]
+                    break
         del stack[depth:]
 
     while True:
         m = _TOKEN.search(page, at)
         text(page[at:m.start() if m else len(page)])
         if not m:
-            return blocks
+            return without_wrappers(blocks)
         at = m.end()
         if m[2] is None:
             continue
@@ -166,18 +227,38 @@ def read_page(page: str) -> list[Block]:
                     break
                 if stack[k][0] in limit:
                     break
-        classes, words, hidden = _names(m[3]) if m[3] else ("", frozenset(), False)
+        classes, names, hidden = _names(m[3]) if m[3] else ("", [], False)
         in_main = any(e[4] for e in stack)
-        main = tag in MAIN_TAGS or bool(words & MAIN_NAMES and tag in ("div", "section", "td"))
-        aside = (tag in ASIDE_TAGS or hidden or (tag == "header" and not in_main)
-                 or bool(words & ASIDE_NAMES) and tag not in ("html", "body") and not (main and not words & {"comment", "comments"}))
-        if aside and tag in BLOCKS:
+        kind, main = judge(names, tag) if names and tag not in ("html", "body") else (0, False)
+        main = main or tag in MAIN_TAGS
+        if hidden or (tag in ASIDE_TAGS and tag != "form") or (tag == "header" and not in_main):
+            kind = MEANT
+        elif tag == "form":
+            kind = kind or NAMED
+        elif tag in MAIN_TAGS and kind == NAMED:
+            kind = 0
+        around = current
+        if kind and tag not in BLOCKS or tag in BLOCKS:
             current = None
         number += 1
-        stack.append((tag, (stack[-1][1] + ">" if stack else "") + tag + ("." + classes if classes else ""), number, aside, main))
+        stack.append((tag, (stack[-1][1] + ">" if stack else "") + tag + ("." + classes if classes else ""), number, kind, main, around))
         links += tag == "a"
 
 
+def without_wrappers(blocks: list[Block]) -> list[Block]:
+    """Lifts the asides by name alone that hold most of what else would be text: a page's wrapper, or a form around it."""
+    free = [b for b in blocks if all(kind == NAMED for _, kind in b.asides)]
+    total = sum(b.plain() for b in free)
+    held: dict[int, int] = {}
+    for b in free:
+        for number, _ in b.asides:
+            held[number] = held.get(number, 0) + b.plain()
+    wrappers = {number for number, n in held.items() if n and n >= WRAPPER * total}
+    for b in blocks if wrappers else ():
+        b.aside = any(number not in wrappers for number, _ in b.asides)
+    return blocks
+
+
 def _shown(block: Block) -> str:
     return _SPACE.sub(" ", html.unescape("".join(block.parts))).strip()
 
@@ -186,7 +267,7 @@ def container(blocks: list[Block]) -> tuple[str, int]:
     """(path, score) of the element that holds a page's main text. Where ``main`` elements, or else ``article`` elements,
     hold half of the text outside of links, it is the outermost of them; otherwise all text that is no aside is meant.
     Of several places, it is the deepest element, or path of elements, that leaves none of the meant text outside."""
-    shown = [(b, max(0, sum(map(len, b.parts)) - 2 * b.linked)) for b in blocks if not b.aside and _shown(b)]
+    shown = [(b, b.plain()) for b in blocks if not b.aside and _shown(b)]
     total = sum(w for _, w in shown)
     chains = [b.chain for b, _ in shown]
     for kind in ("main", "article"):

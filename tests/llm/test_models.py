@@ -182,6 +182,41 @@ def test_extraction_of_a_host_with_two_layouts(spark):
     assert got[4].text == "teaser\n\nOther\n\n" + ("whole text " * 20).strip() and got[5].text == "Else"
 
 
+NAMED = [
+    # names that state something, wrappers by name, and forms around the page
+    ('<div class="layout has-sidebar">{}</div>', True), ('<div id="page" class="page no-sidebar">{}</div>', True), ('<div class="widget">{}</div>', True),
+    ('<form id="aspnetForm">{}</form>', True), ('<div id="search"><div class="sidebar-layout">{}</div></div>', True),
+    # beside the article
+    ('{}<h1 class="header">kept</h1>', "kept"), ('{}<div class="hero-header"><h1>kept</h1></div>', "kept"), ('{}<p class="share-price">kept</p>', "kept"),
+    ('{}<div class="share-price">kept</div>', "kept"), ('{}<p>kept <span class="search">word</span></p>', "kept word"), ('{}<p>kept <button>no</button>on</p>', "kept on"),
+    ('{}<div class="main-menu">no</div>', ""), ('{}<div class="content-sidebar">no</div>', ""), ('{}<div class="post-navigation">no</div>', ""),
+    ('{}<div class="entry-footer">no</div>', ""), ('{}<div class="post-share">no</div>', ""), ('{}<div class="sidebar-left">no</div>', ""), ('{}<div class="ad">no</div>', ""),
+    ('{}<div class="cookie-notice"><h2>no</h2>no</div>', ""), ('{}<p class="advertisement">no</p>', ""), ('{}<ul class="nav"><li>no</ul>', ""), ('{}<td id="sidebar">no</td>', ""),
+    ('{}<section class="comments"><p>' + "no comment " * 300 + "</p></section>", ""), ('{}<div id="comment-list">no</div>', ""), ('{}<form>no</form>', ""),
+]
+
+
+@pytest.mark.parametrize("around,more", NAMED)
+def test_asides_by_whole_names(around, more):
+    article = "<h1>Title</h1><p>" + "The text of the article. " * 8 + "</p><p>And its end.</p>"
+    want = ["Title", ("The text of the article. " * 8).strip(), "And its end."] + ([more] if isinstance(more, str) and more else [])
+    for page in (around.format(article), "<html><body>" + around.format(f'<div class="content">{article}</div>') + "<footer>foot</footer>"):
+        blocks = hostpaths.read_page(page)
+        path, _ = hostpaths.container([b for b in blocks])
+        got = [t for t in hostpaths.main_text(blocks, "").split("\n\n") if t]
+        assert got == want, (page, path)
+        assert hostpaths.main_text(blocks, path)
+
+
+def test_names_are_judged_whole():
+    judge = hostpaths.judge
+    assert judge(["post", "post-7"], "div") == (0, True) and judge(["entry-content"], "div") == (0, True)
+    assert judge(["main-menu"], "div") == (hostpaths.NAMED, False) and judge(["has-sidebar", "layout"], "div") == (0, False)
+    assert judge(["post", "related"], "section") == (hostpaths.NAMED, False) and judge(["comments"], "div") == (hostpaths.MEANT, False)
+    assert judge(["site-header"], "div") == (hostpaths.NAMED, False) and judge(["article-header"], "div")[0] == 0
+    assert judge(["header"], "h1") == (0, False) and judge(["ad"], "span") == (hostpaths.NAMED, False)
+
+
 @pytest.mark.parametrize("tag", ['<svg class="icon"/>', "<svg/>", "<math/>", "<svg><path d='M0'/><title/><style/></svg>", "<svg><title>Icon</title><style>a>b{}</style><g><path></g></svg>",
                                  "<svg><foreignObject><div>label<p>x</p></div></foreignObject><text>y</text></svg>", "<svg class=icon/>no text", "<svg><path d=M0><use>", "<math><mspace/></math>"])
 def test_drawings_cut_nothing_off(tag):
@@ -238,6 +273,49 @@ def test_secrets(spark):
     assert secret_scan.find_secrets(cases.docs(spark, [])).count() == 0
 
 
+def test_long_tokens_and_many_spans(spark):
+    """Time and places for tokens of a megabyte's order and tens of thousands of spans in one text."""
+    import time
+
+    rng = random.Random(8)
+    image = random_token(rng, 200_000)
+    many = " ".join("%016x" % rng.getrandbits(64) for _ in range(20_000))
+    rows = [(1, "img " + image + " end"), (2, many), (3, "no " * 1000)]
+    start = time.time()
+    got = {r.doc_id: r for r in secret_scan.find_secrets(cases.docs(spark, rows)).collect()}
+    assert time.time() - start < 60
+    assert got[2].n_hex == sum(k == 2 for _, k, _ in base_spans(many)) and got[2].base_sha256 == hashlib.sha256(shown(base_spans(many)).encode()).hexdigest()
+    assert got[1].spans == f"random:4:{4 + len(image)}" and got[3].spans == ""
+
+
+def test_parts_of_paths_and_short_tokens(spark):
+    rng = random.Random(6)
+    rows = [(k, " ".join(rng.choice(["ordinary", "words/and/paths", "international", "some_long_snake_case_name"]) for _ in range(40))) for k in range(60)]
+    secrets = {}
+    for k in range(100, 130):
+        t = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(36))
+        secrets[k] = (f"see /internationalization/configuration/{t}/download-these-documents now", t)
+        rows.append((k, secrets[k][0]))
+    got = {r.doc_id: r.spans for r in secret_scan.find_secrets(cases.docs(spark, rows)).collect()}
+    found = [k for k, (text, t) in secrets.items() if got[k] == f"random:{text.index(t)}:{text.index(t) + len(t)}"]
+    assert len(found) >= 27 and not any(got[k] for k in range(60))
+
+
+@pytest.mark.parametrize("spans,base", [([], []), ([(0, 5)], []), ([], [(1, 2)]), ([(0, 5), (7, 9), (12, 20)], [(5, 7), (13, 14)]), ([(3, 6), (6, 9)], [(0, 3), (9, 12), (1, 4)])])
+def test_tokens_apart_from_spans(spark, spans, base):
+    kind = "array<struct<start:int,kind:int,end:int>>"
+    df = spark.createDataFrame([([(a, 3, b) for a, b in spans], [(a, 0, b) for a, b in base])], f"spans {kind}, base {kind}")
+    got = df.selectExpr(f"{secret_scan.apart('spans', 'base')} AS free").head().free
+    assert got == [not any(x < b and a < y for x, y in base) for a, b in spans]
+
+
+@pytest.mark.parametrize("numbers", [[], [4], [1, 2], [3, 0, 5, 7, 1], list(range(100))])
+def test_running_sums(spark, numbers):
+    df = spark.createDataFrame([(numbers,)], "n array<int>")
+    got = df.selectExpr(f"element_at(transform(array(named_struct('n', n)), f -> {secret_scan.running('f.n')}), 1) AS r").head().r
+    assert got == np.cumsum(numbers).tolist()
+
+
 def test_discoveries_are_the_step_up_rule(spark):
     """The bins decide as Benjamini-Hochberg on the bins' p-values does."""
     rng = np.random.default_rng(2)
