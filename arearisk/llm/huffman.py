@@ -131,9 +131,31 @@ class Decoder:
 
 # ---- files -------------------------------------------------------------------------------------------------------
 
-def tokenised(docs: DataFrame, id_col: str, text_col: str, bounds: list[float], tokenizer: str, end_id: int) -> DataFrame:
+def id_ranges(docs: DataFrame, id_col: str, parts: int) -> tuple[int, list[int]]:
+    """(ranges for null ids, cuts between the ranges of the others). Quantiles are taken of the ids as doubles; where
+    several fall on one double, which beyond 2^53 stands for many ids, they are taken again of the distance from it."""
+    ids = docs.select(F.col(id_col).cast("long").alias("id"))
+    rows, known = ids.agg(F.count("*"), F.count("id")).head()
+    nulls = -(-parts * (rows - known) // rows) if rows > known else 0
+    if parts < 2 or not known:
+        return nulls, []
+    number = F.col("id").cast("double")
+    found = ids.select(number.alias("id")).approxQuantile("id", [k / parts for k in range(1, parts)], 0.2 / parts)
+    cuts = []
+    for value in sorted(set(found)):
+        times = found.count(value)
+        base = min(int(value), (1 << 63) - 1)
+        if times > 1 and abs(base) > 1 << 53:
+            near = ids.where(number == F.lit(value)).select((F.col("id") - F.lit(base)).cast("double").alias("d"))
+            cuts += [base + int(d) for d in near.approxQuantile("d", [(k + 0.5) / times for k in range(times)], 0.1 / times)]
+        else:
+            cuts += [base] * times
+    return nulls, sorted(cuts)
+
+
+def tokenised(docs: DataFrame, id_col: str, text_col: str, nulls: int, bounds: list[int], tokenizer: str, end_id: int) -> DataFrame:
     """part (range of the id), doc_id, ids of every row."""
-    cuts = np.array(bounds, np.float64)
+    cuts = np.array(bounds, np.int64)
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = T.encoder(T.tokenizer_path(tokenizer))
@@ -142,16 +164,20 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, bounds: list[float],
             for lo, hi, data, offs in C.blocks(batch.column(1)):
                 ids, at = T.with_end(*enc.encode(data, offs), end_id)
                 key = batch.column(0).slice(lo, hi - lo).cast(pa.int64())
-                number = key.fill_null(-(1 << 62)).to_numpy().astype(np.float64)
+                number = key.fill_null(0).to_numpy()
                 low, high = np.searchsorted(cuts, number, side="left"), np.searchsorted(cuts, number, side="right")
-                # rows of an id so frequent that several ranges begin with it are dealt over those ranges
-                part = np.where(high > low + 1, low + 1 + (row + np.arange(hi - lo)) % np.maximum(1, high - low), high)
+                nth = row + np.arange(hi - lo)
+                # rows of an id so frequent that several ranges begin with it are dealt over those ranges, null ids over theirs
+                part = nulls + np.where(high > low + 1, low + 1 + nth % np.maximum(1, high - low), high)
+                if key.null_count:
+                    part = np.where(key.is_null().to_numpy(zero_copy_only=False), nth % max(1, nulls), part)
                 row += hi - lo
                 size = ids.dtype.itemsize
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part, pa.int32()), key,
                      pa.Array.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer((at * size).astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())],
                     ["part", "doc_id", "ids"])
+        enc.forget()
 
     return C.map_arrow(docs.select(id_col, text_col), read, "part int, doc_id long, ids binary")
 
@@ -163,10 +189,10 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     enc = T.encoder(T.tokenizer_path(tokenizer))
     dtype, vocabulary = enc.dtype, max(enc.size, end_id + 1)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = docs.select(F.col(id_col).cast("double").alias("id")).approxQuantile("id", [k / parts for k in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    frame = tokenised(docs, id_col, text_col, sorted(bounds), tokenizer, end_id)
+    nulls, bounds = id_ranges(docs, id_col, parts)
+    frame = tokenised(docs, id_col, text_col, nulls, bounds, tokenizer, end_id)
     # one tokenising pass: counting and encoding read the same shuffle files, which lineage can make anew
-    ordered = frame.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "doc_id").rdd
+    ordered = frame.repartitionById(nulls + len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "doc_id").rdd
 
     def count(rows) -> Iterator[tuple[int, np.ndarray]]:
         counts = np.zeros(vocabulary, np.int64)
