@@ -43,8 +43,11 @@ from .components import components
 
 #: a signature shared by more sets counts as frequent
 PAIRED = 4
-#: signatures in a bucket, about
-BUCKET = 1_000_000
+#: shingles whose signatures make a bucket, about: a set has an entry in each bucket that one of its signatures falls into,
+#: so few large buckets are less to shuffle
+BUCKET = 4_000_000
+#: signatures of a bucket that are sorted at a time
+SORTED = 1 << 19
 #: sets of a bucket whose numbers fit beside a signature's 40 bits; more are sorted by both
 OWNERS = 1 << 24
 #: sets in a block of a large group
@@ -81,8 +84,8 @@ _ENTRY = np.dtype([("node", "<u8"), ("n", "<u4"), ("slack", "<i2"), ("count", "<
 
 
 def _columns(rec: np.ndarray) -> bytes:
-    """The entries field by field, which the shuffle's compression likes better than row by row."""
-    return b"".join(rec[f].tobytes() for f in _ENTRY.names)
+    """The entries field by field, and these byte by byte: most high bytes are 0, which the shuffle's compression likes."""
+    return b"".join(np.ascontiguousarray(rec[f]).view(np.uint8).reshape(len(rec), -1).T.tobytes() for f in _ENTRY.names)
 
 
 def _entries(raw: bytes) -> np.ndarray:
@@ -90,11 +93,17 @@ def _entries(raw: bytes) -> np.ndarray:
     rec = np.empty(n, _ENTRY)
     for f in _ENTRY.names:
         kind = _ENTRY[f]
-        rec[f] = np.frombuffer(raw, kind, n, at)
+        planes = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        rec[f] = np.ascontiguousarray(planes.T).view(kind).ravel()
         at += n * kind.itemsize
     return rec
 
 
+def bucket_count(shingles: int, cores: int) -> int:
+    """Two buckets for each core as long as they are not tiny, and more where these would be large."""
+    return max(1, -(-shingles // BUCKET), min(2 * cores, -(-shingles // SORTED)))
+
+
 def packed_signatures(docs: DataFrame, text_col: str, buckets: int, seed: int = 0) -> DataFrame:
     """bucket, entries, keys: the signatures of a block of texts that fall into a bucket, packed."""
 
@@ -146,58 +155,75 @@ def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sort the signatures of each bucket: the members of frequent signatures, and pairs (run null; slack then holds the
-    segments that a linked pair must share, members those found here)."""
+    segments that a linked pair must share, members those found here). A bucket is held as it came, packed, and sorted in
+    ranges of its signatures, of which all copies are in one."""
     buckets: dict[int, list] = {}
     for batch in batches:
         for bucket, entries, keys in zip(*(c.to_pylist() for c in batch.columns)):
-            buckets.setdefault(bucket, []).append((_entries(entries), np.frombuffer(keys, np.uint8)))
-    for bucket, parts in buckets.items():
-        rec = np.concatenate([p[0] for p in parts])
-        wide = np.zeros((sum(len(p[1]) for p in parts) // 5, 8), np.uint8)
-        wide[:, :5] = np.concatenate([p[1] for p in parts]).reshape(-1, 5)
-        key = wide.view("<u8").ravel()
-        who, member = np.unique(np.rec.fromarrays([rec["node"], rec["band"]], names="node,band"), return_inverse=True)
-        back = np.zeros(len(who), np.int64)
-        back[member] = np.arange(len(rec))
-        owner = np.repeat(member, rec["count"].astype(np.int64))
-        if len(who) <= OWNERS:  # key and set in one number
-            both = np.unique(key << np.uint64(24) | owner.astype(np.uint64))
-            key, owner = both >> np.uint64(24), back[(both & np.uint64((1 << 24) - 1)).astype(np.int64)]
-        else:
-            order = np.lexsort((owner, key))
-            key, owner = key[order], owner[order]
-            fresh = np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))
-            key, owner = key[fresh], back[owner[fresh]]
-        first = np.flatnonzero(np.diff(key, prepend=key[0] ^ np.uint64(1)))
-        size = np.diff(np.append(first, len(key)))
-        pairs = []
-        for c in range(2, PAIRED + 1):
-            run = first[size == c]
-            pairs += [np.stack([owner[run + i], owner[run + j]]) for i in range(c) for j in range(i)]
-        a, b = np.concatenate(pairs, axis=1) if pairs else (np.zeros(0, int), np.zeros(0, int))
-        node, n = rec["node"].view(np.int64), rec["n"].astype(np.int64)
-        good = _near(n[a], n[b]) & (node[a] != node[b])
-        a, b = a[good], b[good]
-        a, b = np.where(node[a] < node[b], a, b), np.where(node[a] < node[b], b, a)
-        ab, at, shared = np.unique(np.stack([node[a], node[b], rec["band"][a].astype(np.int64)], axis=1), axis=0, return_index=True, return_counts=True)
-        need = S.least_shared(rec[a[at]], rec[b[at]])
-        many = np.repeat(size, size)
-        at_hot = np.flatnonzero(many > PAIRED)
-        hot = owner[at_hot]
-        none = len(ab)
-
-        def both_kinds(x, y, kind):
-            return pa.concat_arrays([x, y]).cast(kind)
-
-        yield pa.RecordBatch.from_arrays([
-            both_kinds(pa.nulls(none, pa.int64()), pa.array(C.mix(key[at_hot] * np.uint64(1 << 20) + np.uint64(bucket)).view(np.int64)), pa.int64()),
-            both_kinds(pa.array(ab[:, 0]), pa.array(node[hot]), pa.int64()),
-            both_kinds(pa.array(ab[:, 1]), pa.nulls(len(hot), pa.int64()), pa.int64()),
-            both_kinds(pa.array(ab[:, 2].astype(np.int32)), pa.array(rec["band"][hot].astype(np.int32)), pa.int32()),
-            both_kinds(pa.nulls(none, pa.int64()), pa.array(n[hot]), pa.int64()),
-            both_kinds(pa.array(need.astype(np.int32)), pa.array(rec["slack"][hot].astype(np.int32)), pa.int32()),
-            both_kinds(pa.array(shared.astype(np.int64)), pa.array(many[at_hot].astype(np.int64)), pa.int64())],
-            ["run", "a", "b", "band", "n", "slack", "members"])
+            buckets.setdefault(bucket, []).append((entries, keys))
+    for bucket in list(buckets):
+        parts = buckets.pop(bucket)
+        rec = np.concatenate([_entries(e) for e, _ in parts])
+        packed = np.frombuffer(b"".join(k for _, k in parts), np.uint8).reshape(-1, 5)
+        del parts
+        # entries of one set and segmentation, which several tasks may have sent, count as the last of them
+        order = np.lexsort((rec["band"], rec["node"]))
+        last = np.append((np.diff(rec["node"][order]) != 0) | (np.diff(rec["band"][order]) != 0), True)
+        back, member = order[last].astype(np.int32), np.empty(len(rec), np.int32)
+        member[order] = np.cumsum(last) - last
+        del order, last
+        owner = np.repeat(member, rec["count"])
+        ranges = min(-(-len(packed) // SORTED), 256)
+        part = (packed[:, 0].astype(np.uint16) * ranges >> 8).astype(np.uint8)
+        for r in range(ranges):
+            at = np.flatnonzero(part == r)
+            if len(at):
+                yield _match_range(bucket, rec, back, owner[at], packed[at])
+
+
+def _match_range(bucket: int, rec: np.ndarray, back: np.ndarray, owner: np.ndarray, packed: np.ndarray) -> pa.RecordBatch:
+    """``match`` of the signatures ``packed`` of the sets ``owner``; ``back``: the entry of each set."""
+    wide = np.zeros((len(packed), 8), np.uint8)
+    wide[:, :5] = packed
+    key = wide.view("<u8").ravel()
+    if len(back) <= OWNERS:  # key and set in one number
+        both = np.unique(key << np.uint64(24) | owner.astype(np.uint64))
+        key, owner = both >> np.uint64(24), back[(both & np.uint64((1 << 24) - 1)).astype(np.int64)]
+    else:
+        order = np.lexsort((owner, key))
+        key, owner = key[order], owner[order]
+        fresh = np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))
+        key, owner = key[fresh], back[owner[fresh]]
+    first = np.flatnonzero(np.diff(key, prepend=key[0] ^ np.uint64(1)))
+    size = np.diff(np.append(first, len(key)))
+    pairs = []
+    for c in range(2, PAIRED + 1):
+        run = first[size == c]
+        pairs += [np.stack([owner[run + i], owner[run + j]]) for i in range(c) for j in range(i)]
+    a, b = np.concatenate(pairs, axis=1) if pairs else (np.zeros(0, int), np.zeros(0, int))
+    node, n = rec["node"].view(np.int64), rec["n"].astype(np.int64)
+    good = _near(n[a], n[b]) & (node[a] != node[b])
+    a, b = a[good], b[good]
+    a, b = np.where(node[a] < node[b], a, b), np.where(node[a] < node[b], b, a)
+    ab, at, shared = np.unique(np.stack([node[a], node[b], rec["band"][a].astype(np.int64)], axis=1), axis=0, return_index=True, return_counts=True)
+    need = S.least_shared(rec[a[at]], rec[b[at]])
+    many = np.repeat(size, size)
+    at_hot = np.flatnonzero(many > PAIRED)
+    hot = owner[at_hot]
+    none = len(ab)
+
+    def both_kinds(x, y, kind):
+        return pa.concat_arrays([x, y]).cast(kind)
+
+    return pa.RecordBatch.from_arrays([
+        both_kinds(pa.nulls(none, pa.int64()), pa.array(C.mix(key[at_hot] * np.uint64(1 << 20) + np.uint64(bucket)).view(np.int64)), pa.int64()),
+        both_kinds(pa.array(ab[:, 0]), pa.array(node[hot]), pa.int64()),
+        both_kinds(pa.array(ab[:, 1]), pa.nulls(len(hot), pa.int64()), pa.int64()),
+        both_kinds(pa.array(ab[:, 2].astype(np.int32)), pa.array(rec["band"][hot].astype(np.int32)), pa.int32()),
+        both_kinds(pa.nulls(none, pa.int64()), pa.array(n[hot]), pa.int64()),
+        both_kinds(pa.array(need.astype(np.int32)), pa.array(rec["slack"][hot].astype(np.int32)), pa.int32()),
+        both_kinds(pa.array(shared.astype(np.int64)), pa.array(many[at_hot].astype(np.int64)), pa.int64())],
+        ["run", "a", "b", "band", "n", "slack", "members"])
 
 
 # ---- verification --------------------------------------------------------------------------------------------------
@@ -312,7 +338,7 @@ def near_links(docs: DataFrame, sets: DataFrame, text_col: str = "text", seed: i
     spark = docs.sparkSession
     scratch = C.Scratch(spark)
     total = sets.agg(F.sum("n_shingles")).head()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
+    buckets = bucket_count(total, spark.sparkContext.defaultParallelism)
     packed = packed_signatures(docs, text_col, buckets, seed).repartitionById(buckets, F.col("bucket"))
     matched = scratch.cut(C.map_arrow(packed, match, "run long, a long, b long, band int, n long, slack int, members long"), "matched")
 

@@ -374,3 +374,44 @@ def test_index_finds_every_place(pieces, pattern):
     found = index.locate(np.arange(low[0], high[0])).tolist() if len(which) else []
     k = len(pattern)
     assert sorted(found) == [i for i in range(len(seq) - k + 1) if seq[i:i + k].tolist() == pattern]
+
+
+def test_large_bucket_sorted_in_ranges(monkeypatch):
+    """A bucket sorted range by range gives the frequent members and shared counts that one sort gives."""
+    import pyarrow as pa
+    from collections import Counter
+
+    rng = np.random.default_rng(5)
+    rec = np.zeros(300, segjoin._ENTRY)
+    rec["node"], rec["n"], rec["count"], rec["band"], rec["slack"] = rng.integers(0, 90, 300), 300, 4, 15, 2
+    keys = rng.integers(0, 260, 1200).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+    batch = pa.RecordBatch.from_arrays([pa.array([3], pa.int32()), pa.array([segjoin._columns(rec)]), pa.array([keys])], ["bucket", "entries", "keys"])
+    out = []
+    for most in (1 << 19, 100):
+        monkeypatch.setattr(segjoin, "SORTED", most)
+        batches = list(segjoin.match(iter([batch])))
+        assert (len(batches) > 5) == (most == 100)
+        rows = [r for b in batches for r in b.to_pylist()]
+        shared = Counter()
+        for r in rows:
+            if r["run"] is None:
+                shared[r["a"], r["b"], r["band"], r["slack"]] += r["members"]
+        out.append((shared, Counter(tuple(r.values()) for r in rows if r["run"] is not None)))
+    assert out[0] == out[1] and out[0][0] and out[0][1]
+
+
+def test_buckets_grow_less_than_their_entries():
+    """A set has an entry in each bucket that it falls into: 0.5 GB of text (125 million shingles) makes few buckets, and
+    packed entries come back as they were."""
+    assert segjoin.bucket_count(125_000_000, 6) <= 40 and segjoin.bucket_count(7_500_000_000, 6) <= 2000
+    assert segjoin.bucket_count(0, 6) == 1 and segjoin.bucket_count(25_000_000, 6) == 12
+    rec = np.zeros(500, segjoin._ENTRY)
+    rng = np.random.default_rng(1)
+    for f, top in (("node", 1 << 63), ("n", 20_000), ("slack", 300), ("count", 4), ("band", 20)):
+        rec[f] = rng.integers(0, top, 500)
+    rec["slack"][::7] = -3
+    raw = segjoin._columns(rec)
+    assert (segjoin._entries(raw) == rec).all()
+    import pyarrow as pa
+
+    assert len(pa.compress(raw, "lz4_raw", asbytes=True)) < 14 * len(rec)
