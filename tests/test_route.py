@@ -143,3 +143,24 @@ def test_must_accept_passes_what_is_accepted(spark):
     assert rows(route.must_accept(df)) == [(1,)]
     with pytest.raises(Exception, match="odd"):
         route.must_accept(df.withColumn("reason", F.lit("odd"))).count()
+
+
+def test_judging_lines_is_compiled(spark, capsys):
+    """No method of the generated code is longer than the 8,000 bytes up to which the JVM compiles it."""
+    import re
+
+    lines = spark.createDataFrame([("x",)], "value string")
+    C.judged_incidents(lines).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_bad_measures_are_named(spark):
+    """The first, the last and a too large count; blanks around one and a sign are fine."""
+    counts = [["x", "1", "2", "3", "4", "5", "6", ""], [" 1 ", "+2", "-3", "4", "5", "6", "7", "8"], ["1", "99999999999", "3", "1.0", "5", "6", "7", "8"]]
+    lines = [",".join(["1/2/2012", "1:05", "B", "83"] + ["a"] * 6 + c + [""] * 11) for c in counts]
+    rows = {r.value: r for r in C.judged_incidents(spark.createDataFrame([(x,) for x in lines], "value string")).collect()}
+    first, fine, third = (rows[x] for x in lines)
+    assert (first.reason, first.detail) == ("measure", "per_i=x, mot_k=")
+    assert (third.reason, third.detail) == ("measure", "per_k=99999999999, ped_k=1.0")
+    assert fine.reason is None and (fine.per_i, fine.per_k, fine.ped_i, fine.mot_k) == (1, 2, -3, 8)
