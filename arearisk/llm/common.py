@@ -6,7 +6,8 @@ hashes and chunks are found with array operations and no per-word Python objects
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: rows of an Arrow batch, where the session has Spark's own default: texts are long, and a batch is held several times
 BATCH_ROWS = 1000
+#: bytes of an Arrow batch, where the session states none: rows may be long
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -37,6 +40,8 @@ def ship(spark: SparkSession) -> None:
 
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     home = Path(__file__).resolve().parents[2]
     sc = spark.sparkContext
     if str(home) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_arearisk_shipped", False):
@@ -71,9 +76,23 @@ class Scratch:
                 del self.paths[path]
 
 
+def give_back() -> None:
+    """Return the memory that a worker has freed to the system: workers are kept for later tasks, beside others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)
 
 
 def id_hash(col: str = "doc_id"):

@@ -67,3 +67,18 @@ def test_nothing_else_imports_the_subpackage():
     for p in (home / "arearisk").rglob("*.py"):
         if "llm" not in p.parts:
             assert not re.search(r"^\s*(from|import) .*\bllm\b", p.read_text(), re.M), p
+
+
+def test_batches_of_long_rows_are_small_and_workers_give_memory_back(spark, tmp_path):
+    """A batch holds about ``BATCH_BYTES`` at most, however long its rows, and a task ends with ``give_back``."""
+    import pyarrow as pa
+
+    from arearisk.llm import common as C
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    rows = spark.range(0, 1000, 1, 1).selectExpr("repeat('x', 20000) AS text")
+    assert max(r.n for r in C.map_arrow(rows, sizes, "n long").collect()) < 1.5 * C.BATCH_BYTES
+    C.give_back()
